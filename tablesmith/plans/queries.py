@@ -1,16 +1,38 @@
-"""One query per operator, over the test tables (``sf_dir``).
+"""One query per operator of the inventory, over the test tables (``sf_dir``).
 
 Every query reads the star tables and derives the raw-shaped tables from
 them (``tablesmith.sources.adapter``), so its work grows with the data.
+The DuckDB oracles live in ``oracle_queries.py`` at the repository root.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablesmith.functions import clean as C
+from tablesmith.operators import contract as K
+from tablesmith.operators import lookup as L
+from tablesmith.operators import versions as V
+from tablesmith.operators.ids import assign_id
+from tablesmith.operators.upsert import upsert_by_key, upsert_counts as _upsert_counts
+from tablesmith.plans import build as B
 from tablesmith.plans import firm_transport_rate as FTR
-from tablesmith.session import apply_required_conf
-from tablesmith.sources.adapter import raw_tables
+from tablesmith.plans import report as R
+from tablesmith.plans.tabledef import default_definitions
+from tablesmith.session import apply_required_conf, checkpoint_root
+from tablesmith.sources.adapter import RAW_TABLES, raw_tables
+from tablesmith.sources.store import Store
+
+# Fixed value: the upsert scenario splits rate versions at this ingestion time
+# (earlier versions were loaded before; later ones arrive as the next batch).
+UPSERT_CUTOFF = "1996-01-01 00:00:00"
+
+FIRM_KEY = ["firmid"]
+RATE_KEY = ["firmid", "uniqueid"]
+LOC_KEY = ["firmid", "loc"]
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -18,11 +40,279 @@ def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return raw_tables(spark, sf_dir)
 
 
+# ------------------------------------------------------------ dedup / filters
+def status_filter(spark, sf_dir):
+    return V.loaded_versions(_raw(spark, sf_dir)["gtran_firm"])
+
+
+def latest_single_key(spark, sf_dir):
+    return V.latest_by_key(_raw(spark, sf_dir)["gtran_firm"], FIRM_KEY)
+
+
+def latest_composite_key(spark, sf_dir):
+    return V.latest_by_key(_raw(spark, sf_dir)["gtran_rates"], RATE_KEY)
+
+
+def latest_lookup(spark, sf_dir):
+    return V.latest_by_key(_raw(spark, sf_dir)["gtran_loc"], LOC_KEY)
+
+
+def superseded_versions(spark, sf_dir):
+    return V.superseded_versions(_raw(spark, sf_dir)["gtran_rates"], RATE_KEY)
+
+
+# ------------------------------------------------------------------- joins
+def inner_latest_header(spark, sf_dir):
+    firm, rate, _ = FTR.latest_inputs(_raw(spark, sf_dir))
+    return FTR.rates_with_header(rate, firm)
+
+
+def header_orphans(spark, sf_dir):
+    firm, rate, _ = FTR.latest_inputs(_raw(spark, sf_dir))
+    return L.header_orphans(rate, firm, FIRM_KEY)
+
+
+def dual_role_lookup(spark, sf_dir):
+    _, rate, loc = FTR.latest_inputs(_raw(spark, sf_dir))
+    rate = rate.select("firmid", "uniqueid", "recloc", "delloc")
+    return FTR.with_point_quantities(rate, loc)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The curated load: 42 loaded columns of ``firm_transport_rate``."""
     return FTR.build(_raw(spark, sf_dir))
 
 
+def conform_columns(spark, sf_dir):
+    built = flagship(spark, sf_dir)
+    shuffled = built.select(*reversed(built.columns), F.lit(1).alias("not_in_contract"))
+    return K.conform(shuffled, FTR.CONTRACT)
+
+
+# ------------------------------------------------------------------ scalars
+def blank_to_null(spark, sf_dir):
+    firm = _raw(spark, sf_dir)["gtran_firm"]
+    return firm.select(
+        "firmid",
+        "bronze_row_id",
+        C.blank_to_null("tspduns").alias("tspduns"),
+        C.blank_to_null("kqtyk").alias("kqtyk"),
+        C.blank_to_null("kenddatetime").alias("kenddatetime"),
+        C.blank_to_null("ngtdrateind").alias("ngtdrateind"),
+    )
+
+
+def cast_long(spark, sf_dir):
+    firm = _raw(spark, sf_dir)["gtran_firm"]
+    return firm.select("firmid", "bronze_row_id", C.strict_long("tspduns").alias("tsp_duns"))
+
+
+def cast_decimal(spark, sf_dir):
+    rate = _raw(spark, sf_dir)["gtran_rates"]
+    return rate.select(
+        "firmid",
+        "uniqueid",
+        "bronze_row_id",
+        C.strict_decimal("ratechgd").alias("rate_charged"),
+        C.strict_decimal("maxtrfrate").alias("max_tariff_rate"),
+        C.strict_decimal("totsurchg").alias("total_surcharge"),
+    )
+
+
+def cast_timestamp(spark, sf_dir):
+    firm = _raw(spark, sf_dir)["gtran_firm"]
+    return firm.select(
+        "firmid",
+        "bronze_row_id",
+        C.strict_timestamp("kbegdatetime").alias("contract_begin_ts"),
+        C.strict_timestamp("kenddatetime").alias("contract_end_ts"),
+    )
+
+
+def cast_date(spark, sf_dir):
+    rate = _raw(spark, sf_dir)["gtran_rates"]
+    return rate.select(
+        "firmid",
+        "uniqueid",
+        "bronze_row_id",
+        C.strict_date("seasnlst").alias("season_start_date"),
+        C.strict_date("seasnlend").alias("season_end_date"),
+    )
+
+
+def ts_to_date(spark, sf_dir):
+    firm = _raw(spark, sf_dir)["gtran_firm"]
+    return firm.select(
+        "firmid",
+        "bronze_row_id",
+        C.ts_to_date("ingestion_timestamp").alias("ingestion_date"),
+        C.ts_to_date(C.strict_timestamp("kenddatetime")).alias("contract_end_date"),
+    )
+
+
+def term_days(spark, sf_dir):
+    firm = _raw(spark, sf_dir)["gtran_firm"]
+    begin = C.ts_to_date(C.strict_timestamp("kbegdatetime"))
+    end = C.ts_to_date(C.strict_timestamp("kenddatetime"))
+    return firm.select("firmid", "bronze_row_id", C.days_between(begin, end).alias("contract_term_days"))
+
+
+def yes_no_flag(spark, sf_dir):
+    firm = _raw(spark, sf_dir)["gtran_firm"]
+    return firm.select(
+        "firmid", "bronze_row_id", "ngtdrateind", C.yes_no_flag("ngtdrateind").alias("is_negotiated_rate")
+    )
+
+
+def all_in_amount(spark, sf_dir):
+    rate = _raw(spark, sf_dir)["gtran_rates"]
+    return rate.select(
+        "firmid",
+        "uniqueid",
+        "bronze_row_id",
+        C.sum_missing_as_zero(C.strict_decimal("ratechgd"), C.strict_decimal("totsurchg")).alias("all_in_rate"),
+    )
+
+
+# ------------------------------------------------------- ids and upserts
+def surrogate_id(spark, sf_dir):
+    keys = flagship(spark, sf_dir).select(*FTR.KEY)
+    return assign_id(keys, FTR.KEY, FTR.ID_COL)
+
+
+def _split_sources(spark, sf_dir):
+    """Raw tables as of the previous load, and the batch that arrived since."""
+    raw = _raw(spark, sf_dir)
+    ts = F.col("ingestion_timestamp")
+    cutoff = F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
+    before = dict(raw, gtran_rates=raw["gtran_rates"].filter(ts < cutoff))
+    batch = dict(raw, gtran_rates=raw["gtran_rates"].filter(ts >= cutoff))
+    return before, batch
+
+
+def _upsert_inputs(spark, sf_dir):
+    before, batch = _split_sources(spark, sf_dir)
+    target = assign_id(FTR.build(before), FTR.KEY, FTR.ID_COL)
+    incoming = FTR.build(batch)
+    return target, incoming
+
+
+def upsert_by_key_query(spark, sf_dir):
+    target, incoming = _upsert_inputs(spark, sf_dir)
+    return upsert_by_key(target, incoming, FTR.KEY, FTR.ID_COL)
+
+
+def upsert_counts(spark, sf_dir):
+    target, incoming = _upsert_inputs(spark, sf_dir)
+    return _upsert_counts(target, incoming, FTR.KEY, FTR.ID_COL)
+
+
+# ----------------------------------------------------------- contract checks
+def duplicate_keys(spark, sf_dir):
+    return K.duplicate_keys(_raw(spark, sf_dir)["gtran_rates"], RATE_KEY)
+
+
+def null_key_counts(spark, sf_dir):
+    cols = ["firm_id", "rate_unique_id", "receipt_loc_code", "tsp_duns", "contract_qty_dth", "receipt_point_qty_dth"]
+    return K.null_counts(flagship(spark, sf_dir), cols)
+
+
+# ---------------------------------------------------------- store reports
+def _query_store(spark, sf_dir, with_raw_views=True, root=None) -> Store:
+    apply_required_conf(spark)
+    store = Store(spark, root or checkpoint_root(spark), locations={"bronze": sf_dir})
+    if with_raw_views:
+        for name, df in raw_tables(spark, sf_dir).items():
+            store.register_view("bronze", name, df)
+    return store
+
+
+def table_snapshot(spark, sf_dir):
+    store = _query_store(spark, sf_dir)
+    return R.table_snapshot(store, store.raw_schema)
+
+
+def snapshot_total(spark, sf_dir):
+    store = _query_store(spark, sf_dir)
+    return R.snapshot_total(R.table_snapshot(store, store.raw_schema))
+
+
+def missing_sources(spark, sf_dir):
+    """Against the raw folder as stored: the raw tables are derived, not
+    stored there, so all three are reported missing."""
+    store = _query_store(spark, sf_dir, with_raw_views=False)
+    return R.missing_sources(store, default_definitions())
+
+
+def source_readiness(spark, sf_dir):
+    store = _query_store(spark, sf_dir)
+    return R.source_readiness(store, default_definitions())
+
+
+# ------------------------------------------------------------- run results
+_RESULTS: dict = {}
+
+
+def _build_results(spark, sf_dir) -> list:
+    """Build every definition once into a fresh scratch store (cached per
+    session and folder), then remove the scratch tables."""
+    key = (id(spark), sf_dir)
+    if key not in _RESULTS:
+        root = f"{checkpoint_root(spark).rstrip('/')}/query-store-{uuid.uuid4().hex}"
+        store = _query_store(spark, sf_dir, root=root)
+        defs = default_definitions()
+        results = B.build_all(store, defs)
+        for d in defs.values():
+            store.drop(store.curated_schema, d.table)
+        _RESULTS[key] = [(r.name, r.status, r.rows, r.duration_s, r.error) for r in results]
+    return [B.RunResult(*r) for r in _RESULTS[key]]
+
+
+def load_row_count(spark, sf_dir):
+    res = B.results_frame(spark, _build_results(spark, sf_dir))
+    return res.select("name", "status", "rows")
+
+
+def run_summary(spark, sf_dir):
+    return B.run_summary(B.results_frame(spark, _build_results(spark, sf_dir)))
+
+
+def any_failed(spark, sf_dir):
+    return B.run_totals(B.results_frame(spark, _build_results(spark, sf_dir)))
+
+
 QUERIES = {
+    "status_filter": status_filter,
+    "latest_single_key": latest_single_key,
+    "latest_composite_key": latest_composite_key,
+    "latest_lookup": latest_lookup,
+    "inner_latest_header": inner_latest_header,
+    "dual_role_lookup": dual_role_lookup,
     "flagship": flagship,
+    "conform_columns": conform_columns,
+    "blank_to_null": blank_to_null,
+    "cast_long": cast_long,
+    "cast_decimal": cast_decimal,
+    "cast_timestamp": cast_timestamp,
+    "cast_date": cast_date,
+    "ts_to_date": ts_to_date,
+    "term_days": term_days,
+    "yes_no_flag": yes_no_flag,
+    "all_in_amount": all_in_amount,
+    "surrogate_id": surrogate_id,
+    "upsert_by_key": upsert_by_key_query,
+    "upsert_counts": upsert_counts,
+    "load_row_count": load_row_count,
+    "duplicate_keys": duplicate_keys,
+    "null_key_counts": null_key_counts,
+    "table_snapshot": table_snapshot,
+    "snapshot_total": snapshot_total,
+    "missing_sources": missing_sources,
+    "source_readiness": source_readiness,
+    "run_summary": run_summary,
+    "any_failed": any_failed,
+    "header_orphans": header_orphans,
+    "superseded_versions": superseded_versions,
 }
+
+assert set(RAW_TABLES) == set(FTR.SOURCES)
