@@ -1,13 +1,16 @@
 """Column functions that turn raw text into typed values.
 
-Every function takes and returns a ``Column`` built only from built-in
-Spark expressions, so it stays inside whole-stage code generation.
+Each function comes in two forms: ``name_sql(expr) -> str`` returns Spark
+SQL text (for ``selectExpr`` / ``spark.sql``), and ``name(expr) -> Column``
+wraps it with ``F.expr``. ``expr`` is a column name or any SQL expression.
+Both are built-in expressions only, so they stay inside whole-stage code
+generation, and a whole projection of them costs one call to the JVM.
 
 Rules (the raw tables keep business values as text):
 
 * the zero-length string means "missing" (only ``''``; ``'  '`` stays a
   value and fails a numeric cast);
-* a typed value is a *strict* cast: any text that is not a valid value
+* a typed value is a *strict* cast: text that is not a valid value
   aborts the query (ANSI mode), it never silently becomes NULL;
 * Spark accepts a few date/time shapes other systems reject (``'2024'``,
   ``'2024-03'``, ``'T12:30:00'``) and silently rounds extra fraction
@@ -27,91 +30,121 @@ FLAG_TRUE = "Y"
 FLAG_FALSE = "N"
 
 # A date or timestamp text must start with year-month-day.
-_DATE_SHAPE = r"^\s*[+-]?\d{4,}-\d{1,2}-\d{1,2}"
-# More than DECIMAL_SCALE fraction digits with a non-zero digit past the scale.
-_SCALE_LOSS = r"\.\d{%d}\d*[1-9]" % DECIMAL_SCALE
+DATE_SHAPE = "^[ \t\r\n]*[+-]?[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}"
+# More fraction digits than DECIMAL_SCALE, with a non-zero digit past the scale.
+SCALE_LOSS = "[.][0-9]{%d}[0-9]*[1-9]" % DECIMAL_SCALE
 
+DECIMAL_SQL = f"DECIMAL({DECIMAL_PRECISION},{DECIMAL_SCALE})"
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
-
-def blank_to_null(c) -> Column:
-    """``''`` becomes NULL; everything else (including spaces) is kept."""
-    c = _col(c)
-    return F.nullif(c, F.lit(""))
+def decimal_type() -> DecimalType:
+    return DecimalType(DECIMAL_PRECISION, DECIMAL_SCALE)
 
 
-def _guarded(text: Column, bad: Column, message: str, typed: Column) -> Column:
-    return F.when(text.isNull(), typed).when(bad, F.raise_error(F.concat(F.lit(message), text))).otherwise(typed)
+# ------------------------------------------------------------------ SQL text
+def blank_to_null_sql(c: str) -> str:
+    """``''`` becomes NULL; everything else (including spaces) is kept."""
+    return f"nullif({c}, '')"
 
 
-def strict_long(c) -> Column:
+def strict_long_sql(c: str) -> str:
     """Blank -> NULL, otherwise text -> bigint; invalid text raises."""
-    text = blank_to_null(c)
-    return text.cast("bigint")
-
-
-def decimal_type() -> DecimalType:
-    return DecimalType(DECIMAL_PRECISION, DECIMAL_SCALE)
+    return f"CAST({blank_to_null_sql(c)} AS BIGINT)"
 
 
-def strict_decimal(c, allow_rounding: bool = False) -> Column:
+def strict_decimal_sql(c: str, allow_rounding: bool = False) -> str:
     """Blank -> NULL, otherwise text -> decimal(37, 10).
 
     Invalid text raises (ANSI cast). Text with more significant fraction
     digits than the scale raises too, unless ``allow_rounding``.
     """
-    text = blank_to_null(c)
-    typed = text.cast(decimal_type())
+    t = blank_to_null_sql(c)
+    typed = f"CAST({t} AS {DECIMAL_SQL})"
     if allow_rounding:
         return typed
-    return _guarded(text, text.rlike(_SCALE_LOSS), "decimal text would be rounded: ", typed)
+    return f"CASE WHEN {t} RLIKE '{SCALE_LOSS}' THEN raise_error(concat('decimal text would be rounded: ', {t})) ELSE {typed} END"
+
 
+def _shape_guarded(t: str, typed: str, what: str) -> str:
+    return f"CASE WHEN NOT ({t} RLIKE '{DATE_SHAPE}') THEN raise_error(concat('not a {what}: ', {t})) ELSE {typed} END"
 
-def strict_timestamp(c) -> Column:
-    """Blank -> NULL, otherwise text -> timestamp (instant, session zone
-    for text without offset). Text that does not start with a full date
-    raises, as does any text the cast rejects."""
-    text = blank_to_null(c)
-    typed = text.cast("timestamp")
-    return _guarded(text, ~text.rlike(_DATE_SHAPE), "not a timestamp: ", typed)
 
+def strict_timestamp_sql(c: str) -> str:
+    """Blank -> NULL, otherwise text -> timestamp (an instant; text without
+    offset is read in the session zone). Text that does not start with a
+    full date raises, as does anything the cast rejects."""
+    t = blank_to_null_sql(c)
+    return _shape_guarded(t, f"CAST({t} AS TIMESTAMP)", "timestamp")
 
-def strict_date(c) -> Column:
+
+def strict_date_sql(c: str) -> str:
     """Blank -> NULL, otherwise text -> date; partial dates raise."""
-    text = blank_to_null(c)
-    typed = text.cast("date")
-    return _guarded(text, ~text.rlike(_DATE_SHAPE), "not a date: ", typed)
+    t = blank_to_null_sql(c)
+    return _shape_guarded(t, f"CAST({t} AS DATE)", "date")
 
 
-def ts_to_date(c) -> Column:
+def ts_to_date_sql(c: str) -> str:
     """Calendar date of an instant in the session time zone."""
-    return F.to_date(_col(c))
+    return f"to_date({c})"
 
 
-def days_between(start, end) -> Column:
+def days_between_sql(start: str, end: str) -> str:
     """Whole days from ``start`` date to ``end`` date (end exclusive,
     negative when end is before start, NULL when either is NULL)."""
-    return F.datediff(_col(end), _col(start))
+    return f"datediff({end}, {start})"
 
 
-def yes_no_flag(c) -> Column:
+def yes_no_flag_sql(c: str) -> str:
     """``Y``/``y`` -> true, ``N``/``n`` -> false, anything else -> NULL.
-
     No trimming: ``' Y'`` is not a flag value."""
-    u = F.upper(blank_to_null(c))
-    return F.when(u == F.lit(FLAG_TRUE), F.lit(True)).when(u == F.lit(FLAG_FALSE), F.lit(False))
+    return f"CASE upper({blank_to_null_sql(c)}) WHEN '{FLAG_TRUE}' THEN true WHEN '{FLAG_FALSE}' THEN false END"
 
 
-def zero_if_null(c) -> Column:
-    return F.coalesce(_col(c), F.lit(0))
+def zero_if_null_sql(c: str) -> str:
+    return f"coalesce({c}, 0)"
 
 
-def sum_missing_as_zero(*cols) -> Column:
+def sum_missing_as_zero_sql(*cols: str) -> str:
     """``coalesce(a, 0) + coalesce(b, 0) + ...`` — never NULL."""
-    parts = [zero_if_null(c) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out + p
-    return out
+    return " + ".join(f"({zero_if_null_sql(c)})" for c in cols)
+
+
+# ------------------------------------------------------------------ Columns
+def blank_to_null(c: str) -> Column:
+    return F.expr(blank_to_null_sql(c))
+
+
+def strict_long(c: str) -> Column:
+    return F.expr(strict_long_sql(c))
+
+
+def strict_decimal(c: str, allow_rounding: bool = False) -> Column:
+    return F.expr(strict_decimal_sql(c, allow_rounding))
+
+
+def strict_timestamp(c: str) -> Column:
+    return F.expr(strict_timestamp_sql(c))
+
+
+def strict_date(c: str) -> Column:
+    return F.expr(strict_date_sql(c))
+
+
+def ts_to_date(c: str) -> Column:
+    return F.expr(ts_to_date_sql(c))
+
+
+def days_between(start: str, end: str) -> Column:
+    return F.expr(days_between_sql(start, end))
+
+
+def yes_no_flag(c: str) -> Column:
+    return F.expr(yes_no_flag_sql(c))
+
+
+def zero_if_null(c: str) -> Column:
+    return F.expr(zero_if_null_sql(c))
+
+
+def sum_missing_as_zero(*cols: str) -> Column:
+    return F.expr(sum_missing_as_zero_sql(*cols))

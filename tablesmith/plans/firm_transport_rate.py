@@ -17,7 +17,6 @@ one inner join to the header, two left joins to the same location set
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesmith.functions import clean as C
@@ -114,57 +113,60 @@ def with_point_quantities(df: DataFrame, loc: DataFrame) -> DataFrame:
     return lookup_as(df, loc, {"firmid": "firmid", "delloc": "loc"}, {"kqtyloc": "ld_kqtyloc"}, role="delivery")
 
 
+def loaded_column_sql() -> list[tuple[str, str]]:
+    """(curated column, SQL over the joined raw columns) for the 42 loaded
+    columns; header columns carry the ``f_`` prefix."""
+    begin_ts = C.strict_timestamp_sql("f_kbegdatetime")
+    end_ts = C.strict_timestamp_sql("f_kenddatetime")
+    return [
+        ("firm_id", "firmid"),
+        ("rate_unique_id", "uniqueid"),
+        ("contract_id", "f_id"),
+        ("tsp_name", "f_tspname"),
+        ("tsp_duns", C.strict_long_sql("f_tspduns")),
+        ("contract_holder_name", "f_kholdername"),
+        ("rate_schedule", "f_ratesch"),
+        ("service_request_k", "f_svcreqk"),
+        ("contract_qty_dth", C.strict_decimal_sql("f_kqtyk")),
+        ("contract_begin_ts", begin_ts),
+        ("contract_end_ts", end_ts),
+        ("contract_term_days", C.days_between_sql(C.ts_to_date_sql(begin_ts), C.ts_to_date_sql(end_ts))),
+        ("contract_status_code", "f_kstat"),
+        ("contract_status_desc", "f_kstatdesc"),
+        ("is_negotiated_rate", C.yes_no_flag_sql("f_ngtdrateind")),
+        ("receipt_loc_code", "recloc"),
+        ("receipt_loc_name", "reclocname"),
+        ("receipt_zone", "recloczn"),
+        ("receipt_point_qty_dth", C.strict_decimal_sql("lr_kqtyloc")),
+        ("delivery_loc_code", "delloc"),
+        ("delivery_loc_name", "dellocname"),
+        ("delivery_zone", "delloczn"),
+        ("delivery_point_qty_dth", C.strict_decimal_sql("ld_kqtyloc")),
+        ("rate_form_type", "rateformtype"),
+        ("rate_form_type_desc", "rateformtypedesc"),
+        ("rate_id", "rateid"),
+        ("rate_charged", C.strict_decimal_sql("ratechgd")),
+        ("max_tariff_rate", C.strict_decimal_sql("maxtrfrate")),
+        ("total_surcharge", C.strict_decimal_sql("totsurchg")),
+        ("all_in_rate", C.sum_missing_as_zero_sql(C.strict_decimal_sql("ratechgd"), C.strict_decimal_sql("totsurchg"))),
+        ("is_market_based_rate", C.yes_no_flag_sql("mktbasedrateind")),
+        ("has_surcharge", C.yes_no_flag_sql("surchgind")),
+        ("season_start_date", C.strict_date_sql("seasnlst")),
+        ("season_end_date", C.strict_date_sql("seasnlend")),
+        ("rate_begin_ts", C.strict_timestamp_sql("kentbegdatetime")),
+        ("rate_end_ts", C.strict_timestamp_sql("kentenddatetime")),
+        ("posted_ts", C.strict_timestamp_sql("posteddatetime")),
+        ("source_system", "source_system"),
+        ("source_api", "source_api"),
+        ("pipeline_run_id", "pipeline_run_id"),
+        ("firm_hash_key", "f_hash_key"),
+        ("rate_hash_key", "hash_key"),
+    ]
+
+
 def project(df: DataFrame) -> DataFrame:
-    """Raw text columns -> the 42 loaded curated columns."""
-    r, f = F.col, (lambda c: F.col(f"f_{c}"))
-    begin_ts = C.strict_timestamp(f("kbegdatetime"))
-    end_ts = C.strict_timestamp(f("kenddatetime"))
-    charged = C.strict_decimal(r("ratechgd"))
-    surcharge = C.strict_decimal(r("totsurchg"))
-    return df.select(
-        r("firmid").alias("firm_id"),
-        r("uniqueid").alias("rate_unique_id"),
-        f("id").alias("contract_id"),
-        f("tspname").alias("tsp_name"),
-        C.strict_long(f("tspduns")).alias("tsp_duns"),
-        f("kholdername").alias("contract_holder_name"),
-        f("ratesch").alias("rate_schedule"),
-        f("svcreqk").alias("service_request_k"),
-        C.strict_decimal(f("kqtyk")).alias("contract_qty_dth"),
-        begin_ts.alias("contract_begin_ts"),
-        end_ts.alias("contract_end_ts"),
-        C.days_between(C.ts_to_date(begin_ts), C.ts_to_date(end_ts)).alias("contract_term_days"),
-        f("kstat").alias("contract_status_code"),
-        f("kstatdesc").alias("contract_status_desc"),
-        C.yes_no_flag(f("ngtdrateind")).alias("is_negotiated_rate"),
-        r("recloc").alias("receipt_loc_code"),
-        r("reclocname").alias("receipt_loc_name"),
-        r("recloczn").alias("receipt_zone"),
-        C.strict_decimal(r("lr_kqtyloc")).alias("receipt_point_qty_dth"),
-        r("delloc").alias("delivery_loc_code"),
-        r("dellocname").alias("delivery_loc_name"),
-        r("delloczn").alias("delivery_zone"),
-        C.strict_decimal(r("ld_kqtyloc")).alias("delivery_point_qty_dth"),
-        r("rateformtype").alias("rate_form_type"),
-        r("rateformtypedesc").alias("rate_form_type_desc"),
-        r("rateid").alias("rate_id"),
-        charged.alias("rate_charged"),
-        C.strict_decimal(r("maxtrfrate")).alias("max_tariff_rate"),
-        surcharge.alias("total_surcharge"),
-        C.sum_missing_as_zero(charged, surcharge).alias("all_in_rate"),
-        C.yes_no_flag(r("mktbasedrateind")).alias("is_market_based_rate"),
-        C.yes_no_flag(r("surchgind")).alias("has_surcharge"),
-        C.strict_date(r("seasnlst")).alias("season_start_date"),
-        C.strict_date(r("seasnlend")).alias("season_end_date"),
-        C.strict_timestamp(r("kentbegdatetime")).alias("rate_begin_ts"),
-        C.strict_timestamp(r("kentenddatetime")).alias("rate_end_ts"),
-        C.strict_timestamp(r("posteddatetime")).alias("posted_ts"),
-        r("source_system").alias("source_system"),
-        r("source_api").alias("source_api"),
-        r("pipeline_run_id").alias("pipeline_run_id"),
-        f("hash_key").alias("firm_hash_key"),
-        r("hash_key").alias("rate_hash_key"),
-    )
+    """Raw text columns -> the 42 loaded curated columns (one projection)."""
+    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in loaded_column_sql()])
 
 
 def build(sources: dict[str, DataFrame]) -> DataFrame:

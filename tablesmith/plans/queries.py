@@ -146,14 +146,14 @@ def ts_to_date(spark, sf_dir):
         "firmid",
         "bronze_row_id",
         C.ts_to_date("ingestion_timestamp").alias("ingestion_date"),
-        C.ts_to_date(C.strict_timestamp("kenddatetime")).alias("contract_end_date"),
+        C.ts_to_date(C.strict_timestamp_sql("kenddatetime")).alias("contract_end_date"),
     )
 
 
 def term_days(spark, sf_dir):
     firm = _raw(spark, sf_dir)["gtran_firm"]
-    begin = C.ts_to_date(C.strict_timestamp("kbegdatetime"))
-    end = C.ts_to_date(C.strict_timestamp("kenddatetime"))
+    begin = C.ts_to_date_sql(C.strict_timestamp_sql("kbegdatetime"))
+    end = C.ts_to_date_sql(C.strict_timestamp_sql("kenddatetime"))
     return firm.select("firmid", "bronze_row_id", C.days_between(begin, end).alias("contract_term_days"))
 
 
@@ -170,7 +170,7 @@ def all_in_amount(spark, sf_dir):
         "firmid",
         "uniqueid",
         "bronze_row_id",
-        C.sum_missing_as_zero(C.strict_decimal("ratechgd"), C.strict_decimal("totsurchg")).alias("all_in_rate"),
+        C.sum_missing_as_zero(C.strict_decimal_sql("ratechgd"), C.strict_decimal_sql("totsurchg")).alias("all_in_rate"),
     )
 
 

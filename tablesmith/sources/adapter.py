@@ -2,128 +2,124 @@
 
 The raw tables the curated load reads are not part of the test data, so
 they are derived from ``orders`` and ``lineitem`` with plain column
-expressions (no shuffles; each raw table is a projection of one star
-table, the firm table additionally an explode into versions). The same
-expressions are written in SQL for the DuckDB oracle, so both sides see
+expressions (no shuffles: each raw table is a projection of one star
+table; the header table is additionally exploded into versions). The
+same expressions are written for the DuckDB oracle, so both sides see
 identical raw rows.
 
 * ``gtran_firm`` — one header per order, up to three ingested versions
-  (version 3 and some version 1/2 rows FAILED; some timestamps NULL).
+  (version 3 and some other rows FAILED; some timestamps NULL).
 * ``gtran_rates`` — one rate version per line item; key
   ``(firmid, uniqueid)`` = ``(l_orderkey, l_linenumber)`` is not unique in
   the data, which gives several versions per key.
 * ``gtran_loc`` — one location quantity per line item, key
   ``(firmid, loc)`` = ``(l_orderkey, l_suppkey)``.
+
+Each table is one ``selectExpr`` (parsed on the JVM side) over a Parquet
+scan with a declared schema, so no schema-inference job runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+# Schemas of the star tables read here (declared, not inferred).
+STAR_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+}
 
 # The version-timestamp base of the header table.
 FIRM_TS_BASE = "2024-01-01 00:00:00"
 
-
-def _s(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _money_text(c: Column) -> Column:
-    return c.cast("decimal(18,2)").cast("string")
+FIRM_EXPRS = [
+    "CAST(o_orderkey AS STRING) AS firmid",
+    "concat('K', CAST(o_orderkey AS STRING), '-', CAST(ver AS STRING)) AS id",
+    "o_orderpriority AS tspname",
+    "CASE WHEN o_custkey % 10 = 0 THEN '' ELSE CAST(o_custkey AS STRING) END AS tspduns",
+    "concat('holder ', CAST(o_custkey AS STRING)) AS kholdername",
+    "o_orderstatus AS ratesch",
+    "concat('S', CAST(o_orderkey AS STRING)) AS svcreqk",
+    "CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE CAST(CAST(o_totalprice + ver AS DECIMAL(18,2)) AS STRING) END AS kqtyk",
+    "CAST(CAST(o_orderdate AS DATE) AS STRING) AS kbegdatetime",
+    "CASE WHEN o_orderkey % 13 = 0 THEN '' "
+    "ELSE CAST(date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 400 AS INT)) AS STRING) END AS kenddatetime",
+    "o_orderstatus AS kstat",
+    "concat('status ', o_orderstatus) AS kstatdesc",
+    "CASE o_orderkey % 4 WHEN 0 THEN 'Y' WHEN 1 THEN 'n' WHEN 2 THEN '' ELSE 'X' END AS ngtdrateind",
+    "concat('hf', CAST(o_orderkey AS STRING), '-', CAST(ver AS STRING)) AS hash_key",
+    "CASE WHEN ver = 3 THEN 'FAILED' WHEN o_orderkey % 50 = 49 THEN 'FAILED' ELSE 'LOADED' END AS ingestion_status",
+    "CASE WHEN o_orderkey % 11 = 0 AND ver = 1 THEN CAST(NULL AS TIMESTAMP) "
+    f"WHEN o_orderkey % 3 = 0 THEN TIMESTAMP'{FIRM_TS_BASE}' "
+    f"ELSE TIMESTAMP'{FIRM_TS_BASE}' + make_dt_interval(ver) END AS ingestion_timestamp",
+    "o_orderkey * 10 + ver AS bronze_row_id",
+]
+
+RATE_EXPRS = [
+    "CAST(l_orderkey AS STRING) AS firmid",
+    "CAST(l_linenumber AS STRING) AS uniqueid",
+    "CASE WHEN l_partkey % 17 = 0 THEN CAST(NULL AS STRING) ELSE CAST(l_suppkey AS STRING) END AS recloc",
+    "concat('rec ', CAST(l_suppkey AS STRING)) AS reclocname",
+    "l_returnflag AS recloczn",
+    "CAST(l_suppkey + l_linenumber % 2 AS STRING) AS delloc",
+    "concat('del ', CAST(l_suppkey AS STRING)) AS dellocname",
+    "l_linestatus AS delloczn",
+    "l_returnflag AS rateformtype",
+    "concat('form ', l_returnflag) AS rateformtypedesc",
+    "CAST(l_partkey AS STRING) AS rateid",
+    "CASE WHEN l_partkey % 9 = 0 THEN '' ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) END AS ratechgd",
+    "CAST(CAST(l_extendedprice * 2 AS DECIMAL(18,2)) AS STRING) AS maxtrfrate",
+    "CASE WHEN l_partkey % 5 = 0 THEN '' ELSE CAST(CAST(l_tax AS DECIMAL(18,2)) AS STRING) END AS totsurchg",
+    "l_returnflag AS mktbasedrateind",
+    "CASE WHEN l_tax > 0 THEN 'y' ELSE 'N' END AS surchgind",
+    "CAST(CAST(l_shipdate AS DATE) AS STRING) AS seasnlst",
+    "CASE WHEN l_suppkey % 6 = 0 THEN '' ELSE CAST(date_add(CAST(l_shipdate AS DATE), 30) AS STRING) END AS seasnlend",
+    "CAST(CAST(l_shipdate AS DATE) AS STRING) AS kentbegdatetime",
+    "'' AS kentenddatetime",
+    "CAST(CAST(l_shipdate AS DATE) AS STRING) AS posteddatetime",
+    "'star' AS source_system",
+    "'lineitem' AS source_api",
+    "concat('run-', CAST(l_suppkey % 3 AS STRING)) AS pipeline_run_id",
+    "concat('hr', CAST(l_orderkey AS STRING), '-', CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING)) AS hash_key",
+    "CASE WHEN l_partkey % 20 = 0 THEN 'FAILED' ELSE 'LOADED' END AS ingestion_status",
+    "l_shipdate AS ingestion_timestamp",
+    "l_suppkey * 1000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS bronze_row_id",
+]
+
+LOC_EXPRS = [
+    "CAST(l_orderkey AS STRING) AS firmid",
+    "CAST(l_suppkey AS STRING) AS loc",
+    "CASE WHEN l_linenumber = 3 THEN '' ELSE CAST(CAST(l_quantity AS DECIMAL(18,2)) AS STRING) END AS kqtyloc",
+    "'LOADED' AS ingestion_status",
+    "l_shipdate AS ingestion_timestamp",
+    "l_partkey * 1000 + l_linenumber AS bronze_row_id",
+]
 
 
 def read_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in STAR_SCHEMAS:
+        reader = reader.schema(STAR_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def firm_versions(orders: DataFrame) -> DataFrame:
     """``gtran_firm``: versions 1..3 of each order header (2, 3 only for even keys)."""
-    k = F.col("o_orderkey")
-    ver = F.col("ver")
-    day = F.col("o_orderdate").cast("date")
-    base_ts = F.lit(FIRM_TS_BASE).cast("timestamp")
-    v = orders.select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("ver")).filter(
-        (ver == 1) | (k % 2 == 0)
-    )
-    return v.select(
-        _s(k).alias("firmid"),
-        F.concat(F.lit("K"), _s(k), F.lit("-"), _s(ver)).alias("id"),
-        F.col("o_orderpriority").alias("tspname"),
-        F.when(F.col("o_custkey") % 10 == 0, F.lit("")).otherwise(_s(F.col("o_custkey"))).alias("tspduns"),
-        F.concat(F.lit("holder "), _s(F.col("o_custkey"))).alias("kholdername"),
-        F.col("o_orderstatus").alias("ratesch"),
-        F.concat(F.lit("S"), _s(k)).alias("svcreqk"),
-        F.when(k % 7 == 0, F.lit("")).otherwise(_money_text(F.col("o_totalprice") + ver)).alias("kqtyk"),
-        _s(day).alias("kbegdatetime"),
-        F.when(k % 13 == 0, F.lit("")).otherwise(_s(F.date_add(day, (k % 400).cast("int")))).alias("kenddatetime"),
-        F.col("o_orderstatus").alias("kstat"),
-        F.concat(F.lit("status "), F.col("o_orderstatus")).alias("kstatdesc"),
-        F.when(k % 4 == 0, F.lit("Y"))
-        .when(k % 4 == 1, F.lit("n"))
-        .when(k % 4 == 2, F.lit(""))
-        .otherwise(F.lit("X"))
-        .alias("ngtdrateind"),
-        F.concat(F.lit("hf"), _s(k), F.lit("-"), _s(ver)).alias("hash_key"),
-        F.when(ver == 3, F.lit("FAILED"))
-        .when(k % 50 == 49, F.lit("FAILED"))
-        .otherwise(F.lit("LOADED"))
-        .alias("ingestion_status"),
-        F.when((k % 11 == 0) & (ver == 1), F.lit(None).cast("timestamp"))
-        .when(k % 3 == 0, base_ts)
-        .otherwise(base_ts + F.make_dt_interval(ver))
-        .alias("ingestion_timestamp"),
-        (k * 10 + ver).alias("bronze_row_id"),
-    )
+    versions = orders.selectExpr("*", "explode(array(1, 2, 3)) AS ver").where("ver = 1 OR o_orderkey % 2 = 0")
+    return versions.selectExpr(*FIRM_EXPRS)
 
 
 def rate_versions(lineitem: DataFrame) -> DataFrame:
     """``gtran_rates``: one rate/path version per line item."""
-    ship = F.col("l_shipdate").cast("date")
-    part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    price = F.col("l_extendedprice")
-    return lineitem.select(
-        _s(F.col("l_orderkey")).alias("firmid"),
-        _s(line).alias("uniqueid"),
-        F.when(part % 17 == 0, F.lit(None).cast("string")).otherwise(_s(supp)).alias("recloc"),
-        F.concat(F.lit("rec "), _s(supp)).alias("reclocname"),
-        F.col("l_returnflag").alias("recloczn"),
-        _s(supp + line % 2).alias("delloc"),
-        F.concat(F.lit("del "), _s(supp)).alias("dellocname"),
-        F.col("l_linestatus").alias("delloczn"),
-        F.col("l_returnflag").alias("rateformtype"),
-        F.concat(F.lit("form "), F.col("l_returnflag")).alias("rateformtypedesc"),
-        _s(part).alias("rateid"),
-        F.when(part % 9 == 0, F.lit("")).otherwise(_money_text(price)).alias("ratechgd"),
-        _money_text(price * 2).alias("maxtrfrate"),
-        F.when(part % 5 == 0, F.lit("")).otherwise(_money_text(F.col("l_tax"))).alias("totsurchg"),
-        F.col("l_returnflag").alias("mktbasedrateind"),
-        F.when(F.col("l_tax") > 0, F.lit("y")).otherwise(F.lit("N")).alias("surchgind"),
-        _s(ship).alias("seasnlst"),
-        F.when(supp % 6 == 0, F.lit("")).otherwise(_s(F.date_add(ship, 30))).alias("seasnlend"),
-        _s(ship).alias("kentbegdatetime"),
-        F.lit("").alias("kentenddatetime"),
-        _s(ship).alias("posteddatetime"),
-        F.lit("star").alias("source_system"),
-        F.lit("lineitem").alias("source_api"),
-        F.concat(F.lit("run-"), _s(supp % 3)).alias("pipeline_run_id"),
-        F.concat(F.lit("hr"), _s(F.col("l_orderkey")), F.lit("-"), _s(part), F.lit("-"), _s(supp)).alias("hash_key"),
-        F.when(part % 20 == 0, F.lit("FAILED")).otherwise(F.lit("LOADED")).alias("ingestion_status"),
-        F.col("l_shipdate").alias("ingestion_timestamp"),
-        (supp * 1000000 + F.round(price * 100).cast("bigint")).alias("bronze_row_id"),
-    )
+    return lineitem.selectExpr(*RATE_EXPRS)
 
 
 def loc_versions(lineitem: DataFrame) -> DataFrame:
     """``gtran_loc``: one point-quantity version per line item."""
-    return lineitem.select(
-        _s(F.col("l_orderkey")).alias("firmid"),
-        _s(F.col("l_suppkey")).alias("loc"),
-        F.when(F.col("l_linenumber") == 3, F.lit("")).otherwise(_money_text(F.col("l_quantity"))).alias("kqtyloc"),
-        F.lit("LOADED").alias("ingestion_status"),
-        F.col("l_shipdate").alias("ingestion_timestamp"),
-        (F.col("l_partkey") * 1000 + F.col("l_linenumber")).alias("bronze_row_id"),
-    )
+    return lineitem.selectExpr(*LOC_EXPRS)
 
 
 RAW_TABLES = ("gtran_firm", "gtran_rates", "gtran_loc")
