@@ -1,10 +1,17 @@
 """Benchmark the headline queries.
 
-Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
-``local[$BENCH_CPUS]`` and prints one JSON line. Each query is executed in
-full with the ``noop`` sink (every row computed, nothing collected); the
-``publish`` entry times a complete load: build, dense ids, staged write,
-checks, atomic rename.
+Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
+``local[$BENCH_CPUS]`` and prints one JSON line.
+
+1. ``prepare_raw``: derive the versioned, text-typed raw tables from the
+   star tables and store them as Parquet (what an ingestion job leaves
+   behind; the curated load starts from stored raw tables);
+2. each headline query over the stored raw tables, executed in full with
+   the ``noop`` sink (every row computed, nothing collected);
+3. ``publish``: a complete load — build, dense ids, staged write, checks,
+   atomic rename.
+
+``value`` is the sum of all timed entries, ``prepare_raw`` included.
 """
 
 from __future__ import annotations
@@ -60,18 +67,25 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
-    # Warm-up: JVM, file listing, code generation paths.
-    run_noop(Q.flagship(spark, sf_dir))
-
     times: dict[str, float] = {}
+    raw_dir = f"{scratch}/bronze"
+    t0 = time.perf_counter()
+    for name, df in raw_tables(spark, sf_dir).items():
+        df.repartition(int(cpus)).write.parquet(f"{raw_dir}/{name}")
+    times["prepare_raw"] = round(time.perf_counter() - t0, 3)
+    raw = {name: spark.read.parquet(f"{raw_dir}/{name}") for name in raw_tables(spark, sf_dir)}
+
+    # Warm-up: JVM code paths and code generation.
+    run_noop(Q.flagship.from_raw(raw))
+
     for name in HEADLINE:
+        query = Q.QUERIES[name]
         t0 = time.perf_counter()
-        run_noop(Q.QUERIES[name](spark, sf_dir))
+        df = query.from_raw(raw) if hasattr(query, "from_raw") else query(spark, sf_dir)
+        run_noop(df)
         times[name] = round(time.perf_counter() - t0, 3)
 
-    store = Store(spark, f"{scratch}/store-{uuid.uuid4().hex}", locations={"bronze": sf_dir})
-    for name, df in raw_tables(spark, sf_dir).items():
-        store.register_view("bronze", name, df)
+    store = Store(spark, f"{scratch}/store-{uuid.uuid4().hex}", locations={"bronze": raw_dir})
     t0 = time.perf_counter()
     result = build_table(store, DEFINITION, mode="once")
     times["publish"] = round(time.perf_counter() - t0, 3)

@@ -40,58 +40,83 @@ def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return raw_tables(spark, sf_dir)
 
 
+def on_raw(fn):
+    """Register ``fn(raw) -> DataFrame`` as a query ``(spark, sf_dir)`` over
+    the raw tables derived from ``sf_dir``; ``query.from_raw(raw)`` runs the
+    same query over any raw tables (for example stored ones)."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(_raw(spark, sf_dir))
+
+    query.__name__ = fn.__name__
+    query.__doc__ = fn.__doc__
+    query.from_raw = fn
+    return query
+
+
 # ------------------------------------------------------------ dedup / filters
-def status_filter(spark, sf_dir):
-    return V.loaded_versions(_raw(spark, sf_dir)["gtran_firm"])
+@on_raw
+def status_filter(raw):
+    return V.loaded_versions(raw["gtran_firm"])
 
 
-def latest_single_key(spark, sf_dir):
-    return V.latest_by_key(_raw(spark, sf_dir)["gtran_firm"], FIRM_KEY)
+@on_raw
+def latest_single_key(raw):
+    return V.latest_by_key(raw["gtran_firm"], FIRM_KEY)
 
 
-def latest_composite_key(spark, sf_dir):
-    return V.latest_by_key(_raw(spark, sf_dir)["gtran_rates"], RATE_KEY)
+@on_raw
+def latest_composite_key(raw):
+    return V.latest_by_key(raw["gtran_rates"], RATE_KEY)
 
 
-def latest_lookup(spark, sf_dir):
-    return V.latest_by_key(_raw(spark, sf_dir)["gtran_loc"], LOC_KEY)
+@on_raw
+def latest_lookup(raw):
+    return V.latest_by_key(raw["gtran_loc"], LOC_KEY)
 
 
-def superseded_versions(spark, sf_dir):
-    return V.superseded_versions(_raw(spark, sf_dir)["gtran_rates"], RATE_KEY)
+@on_raw
+def superseded_versions(raw):
+    return V.superseded_versions(raw["gtran_rates"], RATE_KEY)
 
 
 # ------------------------------------------------------------------- joins
-def inner_latest_header(spark, sf_dir):
-    firm, rate, _ = FTR.latest_inputs(_raw(spark, sf_dir))
+@on_raw
+def inner_latest_header(raw):
+    firm, rate, _ = FTR.latest_inputs(raw)
     return FTR.rates_with_header(rate, firm)
 
 
-def header_orphans(spark, sf_dir):
-    firm, rate, _ = FTR.latest_inputs(_raw(spark, sf_dir))
+@on_raw
+def header_orphans(raw):
+    firm, rate, _ = FTR.latest_inputs(raw)
     return L.header_orphans(rate, firm, FIRM_KEY)
 
 
-def dual_role_lookup(spark, sf_dir):
-    _, rate, loc = FTR.latest_inputs(_raw(spark, sf_dir))
+@on_raw
+def dual_role_lookup(raw):
+    _, rate, loc = FTR.latest_inputs(raw)
     rate = rate.select("firmid", "uniqueid", "recloc", "delloc")
     return FTR.with_point_quantities(rate, loc)
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+@on_raw
+def flagship(raw):
     """The curated load: 42 loaded columns of ``firm_transport_rate``."""
-    return FTR.build(_raw(spark, sf_dir))
+    return FTR.build(raw)
 
 
-def conform_columns(spark, sf_dir):
-    built = flagship(spark, sf_dir)
+@on_raw
+def conform_columns(raw):
+    built = FTR.build(raw)
     shuffled = built.select(*reversed(built.columns), F.lit(1).alias("not_in_contract"))
     return K.conform(shuffled, FTR.CONTRACT)
 
 
 # ------------------------------------------------------------------ scalars
-def blank_to_null(spark, sf_dir):
-    firm = _raw(spark, sf_dir)["gtran_firm"]
+@on_raw
+def blank_to_null(raw):
+    firm = raw["gtran_firm"]
     return firm.select(
         "firmid",
         "bronze_row_id",
@@ -102,13 +127,15 @@ def blank_to_null(spark, sf_dir):
     )
 
 
-def cast_long(spark, sf_dir):
-    firm = _raw(spark, sf_dir)["gtran_firm"]
+@on_raw
+def cast_long(raw):
+    firm = raw["gtran_firm"]
     return firm.select("firmid", "bronze_row_id", C.strict_long("tspduns").alias("tsp_duns"))
 
 
-def cast_decimal(spark, sf_dir):
-    rate = _raw(spark, sf_dir)["gtran_rates"]
+@on_raw
+def cast_decimal(raw):
+    rate = raw["gtran_rates"]
     return rate.select(
         "firmid",
         "uniqueid",
@@ -119,8 +146,9 @@ def cast_decimal(spark, sf_dir):
     )
 
 
-def cast_timestamp(spark, sf_dir):
-    firm = _raw(spark, sf_dir)["gtran_firm"]
+@on_raw
+def cast_timestamp(raw):
+    firm = raw["gtran_firm"]
     return firm.select(
         "firmid",
         "bronze_row_id",
@@ -129,8 +157,9 @@ def cast_timestamp(spark, sf_dir):
     )
 
 
-def cast_date(spark, sf_dir):
-    rate = _raw(spark, sf_dir)["gtran_rates"]
+@on_raw
+def cast_date(raw):
+    rate = raw["gtran_rates"]
     return rate.select(
         "firmid",
         "uniqueid",
@@ -140,8 +169,9 @@ def cast_date(spark, sf_dir):
     )
 
 
-def ts_to_date(spark, sf_dir):
-    firm = _raw(spark, sf_dir)["gtran_firm"]
+@on_raw
+def ts_to_date(raw):
+    firm = raw["gtran_firm"]
     return firm.select(
         "firmid",
         "bronze_row_id",
@@ -150,22 +180,25 @@ def ts_to_date(spark, sf_dir):
     )
 
 
-def term_days(spark, sf_dir):
-    firm = _raw(spark, sf_dir)["gtran_firm"]
+@on_raw
+def term_days(raw):
+    firm = raw["gtran_firm"]
     begin = C.ts_to_date_sql(C.strict_timestamp_sql("kbegdatetime"))
     end = C.ts_to_date_sql(C.strict_timestamp_sql("kenddatetime"))
     return firm.select("firmid", "bronze_row_id", C.days_between(begin, end).alias("contract_term_days"))
 
 
-def yes_no_flag(spark, sf_dir):
-    firm = _raw(spark, sf_dir)["gtran_firm"]
+@on_raw
+def yes_no_flag(raw):
+    firm = raw["gtran_firm"]
     return firm.select(
         "firmid", "bronze_row_id", "ngtdrateind", C.yes_no_flag("ngtdrateind").alias("is_negotiated_rate")
     )
 
 
-def all_in_amount(spark, sf_dir):
-    rate = _raw(spark, sf_dir)["gtran_rates"]
+@on_raw
+def all_in_amount(raw):
+    rate = raw["gtran_rates"]
     return rate.select(
         "firmid",
         "uniqueid",
@@ -175,14 +208,14 @@ def all_in_amount(spark, sf_dir):
 
 
 # ------------------------------------------------------- ids and upserts
-def surrogate_id(spark, sf_dir):
-    keys = flagship(spark, sf_dir).select(*FTR.KEY)
+@on_raw
+def surrogate_id(raw):
+    keys = FTR.build(raw).select(*FTR.KEY)
     return assign_id(keys, FTR.KEY, FTR.ID_COL)
 
 
-def _split_sources(spark, sf_dir):
+def _split_sources(raw):
     """Raw tables as of the previous load, and the batch that arrived since."""
-    raw = _raw(spark, sf_dir)
     ts = F.col("ingestion_timestamp")
     cutoff = F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
     before = dict(raw, gtran_rates=raw["gtran_rates"].filter(ts < cutoff))
@@ -190,31 +223,35 @@ def _split_sources(spark, sf_dir):
     return before, batch
 
 
-def _upsert_inputs(spark, sf_dir):
-    before, batch = _split_sources(spark, sf_dir)
+def _upsert_inputs(raw):
+    before, batch = _split_sources(raw)
     target = assign_id(FTR.build(before), FTR.KEY, FTR.ID_COL)
     incoming = FTR.build(batch)
     return target, incoming
 
 
-def upsert_by_key_query(spark, sf_dir):
-    target, incoming = _upsert_inputs(spark, sf_dir)
+@on_raw
+def upsert_by_key_query(raw):
+    target, incoming = _upsert_inputs(raw)
     return upsert_by_key(target, incoming, FTR.KEY, FTR.ID_COL)
 
 
-def upsert_counts(spark, sf_dir):
-    target, incoming = _upsert_inputs(spark, sf_dir)
+@on_raw
+def upsert_counts(raw):
+    target, incoming = _upsert_inputs(raw)
     return _upsert_counts(target, incoming, FTR.KEY, FTR.ID_COL)
 
 
 # ----------------------------------------------------------- contract checks
-def duplicate_keys(spark, sf_dir):
-    return K.duplicate_keys(_raw(spark, sf_dir)["gtran_rates"], RATE_KEY)
+@on_raw
+def duplicate_keys(raw):
+    return K.duplicate_keys(raw["gtran_rates"], RATE_KEY)
 
 
-def null_key_counts(spark, sf_dir):
+@on_raw
+def null_key_counts(raw):
     cols = ["firm_id", "rate_unique_id", "receipt_loc_code", "tsp_duns", "contract_qty_dth", "receipt_point_qty_dth"]
-    return K.null_counts(flagship(spark, sf_dir), cols)
+    return K.null_counts(FTR.build(raw), cols)
 
 
 # ---------------------------------------------------------- store reports
