@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The system this library re-expresses has no stream sources, watermarks,
+windows or state: it is a scheduled batch load, and "latest version per
+key" is a batch dedup over the whole raw table (see
+``tablesmith.operators.versions``). A scheduled run maps to calling
+``tablesmith.plans.build.build_all`` from any scheduler; with
+``mode="upsert"`` each run merges the current raw state into the curated
+table. No streaming operator is added here on purpose.
+"""
