@@ -20,6 +20,10 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Generated code for wide projections can exceed HotSpot's 8000-bytecode
+# JIT limit and would then run interpreted; let the JIT compile it.
+JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
+
 # Settings for the physical plan (safe to override per cluster).
 PLAN_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -45,7 +49,14 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {**REQUIRED_CONF, **PLAN_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    conf = {
+        **REQUIRED_CONF,
+        **PLAN_CONF,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.extraJavaOptions": JVM_OPTIONS,
+        "spark.executor.extraJavaOptions": JVM_OPTIONS,
+    }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
