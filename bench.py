@@ -28,7 +28,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tablesmith.plans import queries as Q  # noqa: E402
 from tablesmith.plans.build import build_table  # noqa: E402
 from tablesmith.plans.firm_transport_rate import DEFINITION  # noqa: E402
-from tablesmith.session import build_session  # noqa: E402
+from tablesmith.session import build_session, ensure_checkpoint_dir  # noqa: E402
 from tablesmith.sources.adapter import raw_tables  # noqa: E402
 from tablesmith.sources.store import Store  # noqa: E402
 
@@ -61,11 +61,11 @@ def main() -> None:
         shuffle_partitions=int(cpus),
         extra_conf={
             "spark.driver.memory": "16g",
-            "spark.checkpoint.dir": f"{scratch}/checkpoints",
             "spark.sql.warehouse.dir": f"{scratch}/warehouse",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(spark, fallback=f"{scratch}/checkpoints")  # only used when none is configured
 
     times: dict[str, float] = {}
     raw_dir = f"{scratch}/bronze"

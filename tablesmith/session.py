@@ -11,9 +11,12 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import SparkSession
 
+_URI = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*:")
+
 # Settings every load depends on for correct results.
 REQUIRED_CONF = {
     "spark.sql.ansi.enabled": "true",
@@ -30,6 +33,8 @@ PLAN_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # remove checkpoint files once the DataFrame that wrote them is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -95,7 +100,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if current:
         return current
     root = spark.conf.get("spark.checkpoint.dir", None) or fallback or checkpoint_root(spark)
-    if "://" not in root and not root.startswith("/"):
+    if not _URI.match(root) and not root.startswith("/"):
         root = os.path.abspath(root)
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import types as T  # noqa: E402
 
-from tablesmith.session import build_session  # noqa: E402
+from tablesmith.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -22,12 +22,13 @@ def spark():
         app_name="tablesmith-tests",
         shuffle_partitions=4,
         extra_conf={
-            "spark.checkpoint.dir": f"{scratch}/checkpoints",
             "spark.sql.warehouse.dir": f"{scratch}/warehouse",
             "spark.driver.memory": "4g",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
+    # keep the configured checkpoint folder; only an unset one gets a scratch folder
+    ensure_checkpoint_dir(session, fallback=f"{scratch}/checkpoints")
     yield session
     session.stop()
 
