@@ -70,8 +70,8 @@ def main() -> None:
     times: dict[str, float] = {}
     raw_dir = f"{scratch}/bronze"
     t0 = time.perf_counter()
-    for name, df in raw_tables(spark, sf_dir).items():
-        df.repartition(int(cpus)).write.parquet(f"{raw_dir}/{name}")
+    for name, df in raw_tables(spark, sf_dir, partitions=int(cpus)).items():
+        df.write.parquet(f"{raw_dir}/{name}")
     times["prepare_raw"] = round(time.perf_counter() - t0, 3)
     raw = {name: spark.read.parquet(f"{raw_dir}/{name}") for name in raw_tables(spark, sf_dir)}
 
