@@ -70,15 +70,23 @@ def latest_by_key(
 def superseded_versions(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column] | None = None,
     status_col: str | None = STATUS_COL,
     status: str = LOADED,
+    ts_col: str = TS_COL,
+    row_id_col: str = ROW_ID_COL,
 ) -> DataFrame:
-    """Loaded versions the dedup discards (rank > 1), with their rank.
+    """Loaded versions the dedup discards: the complement of
+    :func:`latest_by_key` within the loaded versions.
 
-    The complement of :func:`latest_by_key` within the loaded versions.
+    Written as an anti-join on key + version identity (timestamp, row id;
+    NULL-safe), not as a rank over each key's versions: a key holding a
+    third of all versions is then spread over many tasks by the join's hash
+    partitioning instead of being sorted in one window task.
     """
     if status_col is not None:
         df = loaded_versions(df, status_col, status)
-    order = list(order) if order is not None else version_order()
-    return _ranked(df, keys, order).filter(F.col(_RANK) > 1).withColumnRenamed(_RANK, "version_rank")
+    ident = [*keys, ts_col, row_id_col]
+    latest = latest_by_key(df, keys, version_order(ts_col, row_id_col), status_col=None).select(*ident)
+    tagged = latest.toDF(*[f"__latest_{c}" for c in ident])
+    cond = [df[c].eqNullSafe(tagged[f"__latest_{c}"]) for c in ident]
+    return df.join(tagged, cond, "left_anti")

@@ -70,7 +70,20 @@ def test_superseded_is_the_complement(spark):
     latest = ids(latest_by_key(firm, ["firmid"]))
     old = superseded_versions(firm, ["firmid"])
     assert latest == ["a3", "b1"]
-    assert sorted((r.id, r.version_rank) for r in old.collect()) == [("a1", 3), ("a2", 2)]
+    assert sorted(r.id for r in old.collect()) == ["a1", "a2"]
+
+
+def test_superseded_handles_null_timestamps_and_keys(spark):
+    firm = raw_firm(
+        spark,
+        [
+            {"firmid": None, "id": "n1", "ingestion_timestamp": None, "bronze_row_id": 1},
+            {"firmid": None, "id": "n2", "ingestion_timestamp": None, "bronze_row_id": 2},
+            {"firmid": "A", "id": "a-null", "ingestion_timestamp": None, "bronze_row_id": 3},
+            {"firmid": "A", "id": "a-old", "ingestion_timestamp": T2, "bronze_row_id": 4},
+        ],
+    )
+    assert ids(superseded_versions(firm, ["firmid"])) == ["a-old", "n1"]
 
 
 def test_latest_plan_limits_before_shuffle(spark):
