@@ -125,18 +125,15 @@ def loc_versions(lineitem: DataFrame) -> DataFrame:
 RAW_TABLES = ("gtran_firm", "gtran_rates", "gtran_loc")
 
 
-def raw_tables(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> dict[str, DataFrame]:
-    """All three raw-shaped tables, keyed by raw table name.
-
-    ``partitions`` spreads the star rows before the (text-heavy) projection,
-    for writing the raw tables out when the star files have few row groups.
-    """
-    orders = read_star(spark, sf_dir, "orders")
-    lineitem = read_star(spark, sf_dir, "lineitem")
-    if partitions:
-        orders, lineitem = orders.repartition(partitions), lineitem.repartition(partitions)
+def raw_from_star(orders: DataFrame, lineitem: DataFrame) -> dict[str, DataFrame]:
+    """All three raw-shaped tables from the two star tables."""
     return {
         "gtran_firm": firm_versions(orders),
         "gtran_rates": rate_versions(lineitem),
         "gtran_loc": loc_versions(lineitem),
     }
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All three raw-shaped tables, keyed by raw table name."""
+    return raw_from_star(read_star(spark, sf_dir, "orders"), read_star(spark, sf_dir, "lineitem"))
