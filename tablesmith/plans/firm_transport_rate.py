@@ -25,6 +25,8 @@ from tablesmith.operators.lookup import inner_header, lookup_as
 from tablesmith.operators.versions import latest_by_key
 from tablesmith.plans.tabledef import TableDef
 
+# Definition and table names, raw sources, natural key and the
+# curated column names and types below must equal the published table's.
 NAME = "silver_firm_transport_rate"
 TABLE = "firm_transport_rate"
 SOURCES = ("gtran_firm", "gtran_rates", "gtran_loc")

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tablesmith.plans.tabledef import TableDef
 from tablesmith.sources.store import Store
 
+# Readiness statuses.
 BLOCKED, SKIP, READY = "BLOCKED", "SKIP", "READY"
 
 SNAPSHOT_SCHEMA = T.StructType(
