@@ -96,3 +96,18 @@ def source_readiness(store: Store, defs: Mapping[str, TableDef]) -> DataFrame:
         "target_exists",
         "source_order",
     ).orderBy("definition", "source_order").drop("source_order")
+
+
+def inspect(store: Store, defs: Mapping[str, TableDef]) -> dict:
+    """Read-only state of a store, as DataFrames.
+
+    ``raw_schema_exists`` (bool), ``raw`` and ``curated`` snapshots (an
+    absent schema gives an empty snapshot) and per-definition ``readiness``.
+    Nothing is written.
+    """
+    return {
+        "raw_schema_exists": store.schema_exists(store.raw_schema),
+        "raw": table_snapshot(store, store.raw_schema),
+        "curated": table_snapshot(store, store.curated_schema),
+        "readiness": source_readiness(store, defs),
+    }
