@@ -138,3 +138,29 @@ def test_curated_load_matches_brute_force(spark):
         }
         norm = {k: (a, b, None if c is None else float(c), None if d is None else float(d)) for k, (a, b, c, d) in got.items()}
         assert norm == expected, seed
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.dictionaries(st.text("abc", min_size=1, max_size=3), st.integers(0, 9), max_size=12),
+    st.dictionaries(st.text("abcd", min_size=1, max_size=3), st.integers(10, 19), max_size=12),
+)
+def test_upsert_matches_brute_force(spark, target_rows, incoming_rows):
+    from tablesmith.operators.upsert import upsert_by_key
+
+    target_keys = sorted(target_rows)
+    target = spark.createDataFrame(
+        [(i + 1, k, target_rows[k]) for i, k in enumerate(target_keys)], "rid long, k string, v long"
+    )
+    incoming = spark.createDataFrame(list(incoming_rows.items()), "k string, v long")
+    got = {r.k: (r.rid, r.v) for r in upsert_by_key(target, incoming, ["k"], "rid").collect()}
+
+    expected = {k: (i + 1, target_rows[k]) for i, k in enumerate(target_keys)}
+    next_id = len(target_keys) + 1
+    for k in sorted(incoming_rows):
+        if k in expected:
+            expected[k] = (expected[k][0], incoming_rows[k])
+        else:
+            expected[k] = (next_id, incoming_rows[k])
+            next_id += 1
+    assert got == expected
