@@ -47,3 +47,23 @@ def test_projection_is_one_codegen_stage(spark, scratch_dir):
     final = tree.split("Initial Plan")[0]  # the adaptive plan as executed
     projects = [line for line in final.splitlines() if "Project [" in line and "AS firm_id" in line]
     assert len(projects) == 1 and "*(" in projects[0]
+
+
+def test_upsert_plan_shape(spark):
+    from tablesmith.operators.upsert import upsert_by_key
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.range(0, 200).selectExpr("id + 1 AS rid", "CAST(id AS STRING) AS k", "id AS v")
+        incoming = spark.range(100, 300).selectExpr("CAST(id AS STRING) AS k", "id * 10 AS v")
+        out = upsert_by_key(target, incoming, ["k"], "rid")
+        assert out.count() == 300
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("FullOuter") == 1
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
