@@ -171,10 +171,14 @@ def project(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"{sql} AS {name}" for name, sql in loaded_column_sql()])
 
 
+def assemble(firm: DataFrame, rate: DataFrame, loc: DataFrame) -> DataFrame:
+    """The 42 loaded columns from the latest firm, rate and location rows."""
+    return project(with_point_quantities(rates_with_header(rate, firm), loc))
+
+
 def build(sources: dict[str, DataFrame]) -> DataFrame:
     """The 42 loaded columns of ``firm_transport_rate`` from the raw tables."""
-    firm, rate, loc = latest_inputs(sources)
-    return project(with_point_quantities(rates_with_header(rate, firm), loc))
+    return assemble(*latest_inputs(sources))
 
 
 DEFINITION = TableDef(
