@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesmith.llm import mixing, ngram_jaccard, piece_bpe, secret_scan, toxicity
+from tablesmith.llm import ann_tree, embedding_dedup, html_extract, mixing, ngram_jaccard, piece_bpe, secret_scan, toxicity, url_filter
 from tablesmith.llm.common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -41,11 +41,25 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    found = html_extract.extract(pages, html_extract.fit(pages), ["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.document_takes(read(spark, sf_dir, "documents"))
     return taken.select("doc_id", "size", "source_size", "target", "taken", "first_position")
 
 
+def op8_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.nearest(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = secret_scan.find_secrets(docs, public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN, ["doc_id"])
@@ -64,6 +78,11 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "url_score")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -74,7 +93,11 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_html_extract": op6_html_extract,
     "op7_mixing": op7_mixing,
+    "op8_ann_search": op8_ann_search,
     "op9_secret_scan": op9_secret_scan,
+    "op10_url_filter": op10_url_filter,
     "pipeline": pipeline,
 }
