@@ -158,7 +158,7 @@ def _packed(df: DataFrame, keys: list[str], ids: str) -> DataFrame:
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema)
     n = len(keys)
 
-    def pack(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         lists = [np.atleast_1d(x).astype(np.int64) for x in rows[ids]]
         vectors = np.stack(rows["embedding"].to_numpy())
         return pd.DataFrame(

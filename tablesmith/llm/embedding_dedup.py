@@ -109,7 +109,7 @@ def _product(x: Tile, y: Tile, same: bool, threshold: float) -> pd.DataFrame:
     return pd.DataFrame({"rep": ids[some], "links": counts[some], "root": ids[parent[some]]})
 
 
-def _pack(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     vectors = np.stack(rows["embedding"].to_numpy())  # float32 or float64, as in the table
     return pd.DataFrame(
         {

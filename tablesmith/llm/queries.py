@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesmith.llm import ann_tree, embedding_dedup, html_extract, mixing, ngram_jaccard, piece_bpe, secret_scan, toxicity, url_filter
+from tablesmith.llm import ann_tree, embedding_dedup, html_extract, mixing, ngram_jaccard, piece_bpe, quality, secret_scan, toxicity, url_filter
 from tablesmith.llm.common import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -30,6 +30,17 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.jaccard_components(read(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.score(docs, model, ["doc_id"]).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     ids = piece_bpe.encode_decode(docs, public_tokenizers.path(PIECE_MODEL), ["doc_id"])
@@ -92,6 +103,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_quality": op3_quality,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_html_extract": op6_html_extract,

@@ -159,12 +159,13 @@ def fit(labelled: DataFrame) -> UrlModel:
 def add_score(df: DataFrame, model: UrlModel) -> DataFrame:
     """All columns of ``df`` and ``url_score`` from the column ``url``."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # at most MAX_GRAMS n-grams
-    at = df.columns.index("url")
+    names = [*df.columns, "url_score"]
+    at = names.index("url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = pa.array(shared.value.scores(batch.column(at).to_pylist()), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*df.columns, "url_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=names)
 
     return df.mapInArrow(run, df.withColumn("url_score", F.lit(0.0)).schema)
 
