@@ -3,7 +3,8 @@
 A document is a TF-IDF vector over the words and word beginnings that tell the
 two labels apart (by a likelihood-ratio test on the examples; beginnings catch
 inflected and compound forms). Inverse document frequencies count all
-documents. Its ``K`` nearest examples by cosine come from a block-max inverted
+documents. One more term counts all other words of a text, so that a single
+chance term in a long text weighs less than several in a short one. Its ``K`` nearest examples by cosine come from a block-max inverted
 index: postings of a term are cut into blocks of examples, each with the
 largest weight in the block, so the sum of query weight times block maximum
 bounds the cosine of every example of the block. Blocks are evaluated in the
@@ -47,8 +48,12 @@ BLOCK = 64
 EVIDENCE = 5
 PRIOR_WEIGHT = 0.25
 #: Lengths of the word beginnings; a beginning is written with a star.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
 MIN_DOCUMENTS = 4
+#: A chosen term's share of toxic examples is at least this many times that of the others.
+MORE = 5
+#: Weight of the term that stands for all other words of a text with chosen terms.
+OTHER_WEIGHT = 1.5
 THRESHOLD = 0.7
 CHUNK_ROWS = 512
 CACHE_WORDS = 500_000
@@ -76,9 +81,12 @@ class _Terms(dict):
 
 def term_counts(text: str | None, terms: _Terms) -> dict[int, int]:
     out: dict[int, int] = {}
-    for word, n in Counter(_WORD.findall(text.lower()) if text else ()).items():
+    words = _WORD.findall(text.lower()) if text else []
+    for word, n in Counter(words).items():
         for t in terms[word]:
             out[t] = out.get(t, 0) + n
+    if out:
+        out[len(terms.numbers)] = len(words)
     return out
 
 
@@ -132,10 +140,10 @@ class Model:
 
     def __init__(self, terms: list[str], idf: list[float], examples: list[tuple[int, int, dict[int, int]]]):
         self.numbers = {t: i for i, t in enumerate(terms)}
-        self.idf = idf
+        self.idf = [*idf, OTHER_WEIGHT]
         vectors = [self.vector(c) for _, _, c in examples]
         labels = [y for _, y, _ in examples]
-        self.index = BlockMaxIndex([i for i, _, _ in examples], labels, vectors, len(terms))
+        self.index = BlockMaxIndex([i for i, _, _ in examples], labels, vectors, len(self.idf))
         toxic = sum(labels)
         self.prior = (toxic + 0.5) / (len(labels) + 1)
         self.a, self.b = 1.0, 0.0
@@ -237,7 +245,7 @@ def _chosen_terms(examples: DataFrame) -> list[str]:
         + part(n1 - F.col("a"), (n1 + n0 - df) * share) + part(n0 - F.col("b"), (n1 + n0 - df) * (1 - share))
     )
     tested = counted.withColumn("ratio", ratio).withColumn("tests", F.count(F.lit(1)).over(_whole()))
-    more = F.col("a") * n0 > 2 * F.col("b") * n1
+    more = F.col("a") * n0 > MORE * F.col("b") * n1
     # the bound grows with the number of tests, so that chance passes few of them
     passed = tested.where(more & (F.col("ratio") > 2 * F.ln("tests")))
     return [r[0] for r in passed.orderBy(F.desc("ratio"), "term").limit(MAX_TERMS).select("term").collect()]
@@ -257,11 +265,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     numbers = {t: i for i, t in enumerate(names)}
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, found, n = _Terms(numbers), np.zeros(len(numbers) + 1, dtype=np.int64), 0
+        terms, found = _Terms(numbers), np.zeros(len(numbers) + 2, dtype=np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 found[list(term_counts(text, terms))] += 1
-                found[-1] += 1
+                found[-1] += 1  # all documents
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_pydict({"term": pa.array(some, pa.int64()), "n": pa.array(found[some], pa.int64())})
 
@@ -274,11 +282,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                 names=["doc_id", "toxic", "terms", "counts"],
             )
 
-    df = dict.fromkeys(range(len(names) + 1), 0)
+    df = dict.fromkeys(range(len(names) + 2), 0)
     if names:
         seen = _map(docs.select("text"), frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
         df.update({r[0]: r[1] for r in seen.collect()})  # a row per chosen term
-    idf = [math.log(1 + df[len(names)] / max(1, df[t])) for t in range(len(names))]
+    idf = [math.log(1 + df[len(names) + 1] / max(1, df[t])) for t in range(len(names))]
     rows = _map(examples.select("doc_id", "toxic", "text"), counts, "doc_id long, toxic int, terms array<long>, counts array<long>").collect()
     return Model(names, idf, sorted((r[0], r[1], dict(zip(r[2], r[3]))) for r in rows))
 
