@@ -77,7 +77,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share_percent=SHARE_PERCEN
     rest = ranked.withColumn("capped_sum", F.sum(F.when(F.col("capped"), F.col("cap")).otherwise(0)).over(everything)).withColumn(
         "free_weight", F.sum(F.when(F.col("capped"), 0).otherwise(F.col("weight"))).over(everything)
     )
-    share = (F.col("weight") * (F.col("budget") - 100 * F.col("capped_sum"))).cast("double") / (100 * F.col("free_weight")).cast("double")
+    share = F.try_divide(  # null where all are capped
+        (F.col("weight") * (F.col("budget") - 100 * F.col("capped_sum"))).cast("double"), (100 * F.col("free_weight")).cast("double")
+    )
     return rest.select(
         "source", "n", "source_size", "weight", "kind",
         F.when(F.col("capped") | (F.col("cap") == 0), F.col("cap").cast("double")).otherwise(share).alias("target"),
@@ -140,7 +142,7 @@ def document_takes(docs: DataFrame, keep: list[str] | None = None, **params) ->
     for k in range(params.get("max_repeats", MAX_REPEATS)):
         start = F.col("offset") + k * F.col("source_size")
         taken = F.greatest(F.lit(0), F.least(F.col("size"), words - start)).cast("long")
-        passes.append(F.struct(F.lit(k + 1).alias("pass"), taken.alias("words"), demand_inverse(F.col("kind"), start / F.col("target"), schedules).alias("position")))
+        passes.append(F.struct(F.lit(k + 1).alias("pass"), taken.alias("words"), demand_inverse(F.col("kind"), F.try_divide(start, F.col("target")), schedules).alias("position")))
     out = out.withColumn("takes", F.filter(F.array(*passes), lambda p: p["words"] > 0))
     taken = F.aggregate("takes", F.lit(0).cast("long"), lambda n, p: n + p["words"])
     return out.select("doc_id", "source", *keep, "size", "source_size", "target", taken.alias("taken"), F.when(F.size("takes") > 0, F.col("takes")[0]["position"]).alias("first_position"), "takes")

@@ -16,7 +16,8 @@ counts), so what is sent to the tasks has a fixed size bound.
 Defined results: a null URL or one without ``://`` has empty host and path and
 no rule; a null or empty URL has the score 0; without labelled URLs of both
 kinds all scores are 0 and every URL without a rule is allowed; repeated rows
-are judged each; an empty table gives an empty result.
+are judged each; an empty table gives an empty result; columns of the input
+that are named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -158,6 +159,7 @@ def fit(labelled: DataFrame) -> UrlModel:
 
 def add_score(df: DataFrame, model: UrlModel) -> DataFrame:
     """All columns of ``df`` and ``url_score`` from the column ``url``."""
+    df = df.drop("url_score")
     shared = df.sparkSession.sparkContext.broadcast(model)  # at most MAX_GRAMS n-grams
     names = [*df.columns, "url_score"]
     at = names.index("url")

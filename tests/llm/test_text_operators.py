@@ -1,0 +1,172 @@
+"""Tokenizer, secret scan and n-gram join against libraries and brute force."""
+
+import hashlib
+import random
+import re
+
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from tablesmith.llm import ngram_jaccard, piece_bpe, secret_scan
+from tablesmith.llm.queries import BYTE_RANKS, PIECE_MODEL, op4_sentencepiece, op9_secret_scan
+
+SF = "/root/testdata/sf0.001"
+
+
+def frame(spark, texts, extra=True):
+    rows = [(i, t, "en", "s", "x", 1) for i, t in enumerate(texts)]
+    # columns that are named like results or helpers
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, findings string, n long")
+
+
+# ------------------------------------------------------------ SentencePiece
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(PIECE_MODEL))
+
+
+def test_ids_and_text_equal_the_library(library):
+    rng = random.Random(3)
+    model = piece_bpe.load(public_tokenizers.path(PIECE_MODEL))
+    alphabet = "ab the  \n\t▁é漢🙂<s></s>\x00.,1234  aaaa"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 900))) for _ in range(300)]
+    texts += ["", " ", "   ", "\n", "a" * 3000, "ab" * 2000, "é" * 999, "x" * 401 + " y", "<0x41></s>"]
+    ids = model.encode(texts)
+    assert ids == [library.encode(t) + [2] for t in texts]
+    assert [model.decode(i) for i in ids] == [library.decode(i) for i in ids]
+    assert model.encode([None]) == [[2]]
+
+
+def test_decode_of_any_ids_equals_the_library(library):
+    rng = random.Random(4)
+    model = piece_bpe.load(public_tokenizers.path(PIECE_MODEL))
+    for _ in range(3000):
+        ids = [rng.choice([0, 1, 2, 28705, rng.randrange(3, 259), rng.randrange(32000), rng.randrange(130, 259)]) for _ in range(10)]
+        assert model.decode(ids) == library.decode(ids), ids
+
+
+def test_encode_query(spark, library):
+    rows = op4_sentencepiece(spark, SF).collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r["doc_id"]]) + [2]
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_encode_edges(spark):
+    docs = frame(spark, [None, "", "same", "same", "word " * 30_000])
+    rows = piece_bpe.encode_decode(docs, public_tokenizers.path(PIECE_MODEL), ["doc_id", "findings"]).collect()
+    assert [r["input_ids"] for r in rows[:2]] == [[2], [2]] and [r["decoded"] for r in rows[:2]] == ["", ""]
+    assert rows[2]["input_ids"] == rows[3]["input_ids"] and rows[4]["decoded"] == "word " * 30_000
+    assert piece_bpe.encode_decode(docs.limit(0), public_tokenizers.path(PIECE_MODEL), ["doc_id"]).collect() == []
+
+
+# ------------------------------------------------------------------ secrets
+def brute_base(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in secret_scan.ASSIGN.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found)
+
+
+def test_base_spans_equal_brute_force():
+    rng = random.Random(5)
+    parts = ["token", "API_KEY", "apiKey", "secret", '"', "'", ":", "=", " ", "  ", "abc", "AKIA", "AKIAABCDEFGH1234", "é", "0" * 31, "f" * 33, "ſecret", "\n", "x9/+=._-"]
+    encoding = secret_scan.vocabulary(public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 60))) for _ in range(3000)] + [None, ""]
+    for text, found in zip(texts, secret_scan.scan(texts, encoding)):
+        assert [f for f in found if f[1] < 3] == brute_base(text), text
+
+
+def test_random_strings_are_found_and_known_forms_are_not():
+    encoding = secret_scan.vocabulary(public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
+    secret = "zQ8vX2pL0rTn5WbYk7Hd3Jf9"
+    texts = [
+        f"the key {secret} is here", f"é {secret}", "a normal sentence with internationalization and counterrevolutionaries",
+        "d41d8cd98f00b204e9800998ecf8427e", "123e4567-e89b-12d3-a456-426614174000", "2024-01-01T00:00:00 1234567890123456789012345",
+        "/usr/local/share/applications/mimeinfo", "some.module.name.with_parts.and_words",
+    ]
+    found = secret_scan.scan(texts, encoding)
+    assert [(texts[0][s:e], secret_scan.KINDS[k]) for s, k, e in found[0]] == [(secret, "random")]
+    assert [texts[1][s:e] for s, _, e in found[1]] == [secret]
+    assert [[k for _, k, _ in f] for f in found[2:]] == [[], [2], [], [], [], []]
+
+
+def test_secret_query_and_redaction(spark):
+    rows = op9_secret_scan(spark, SF).collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in rows:
+        base = brute_base(texts[r["doc_id"]])
+        joined = ",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in base)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == i for _, k, _ in base) for i in range(3)]
+    docs = frame(spark, [None, "", 'é token = "' + "a1" * 20 + '" end', "plain"])
+    found = secret_scan.find_secrets(docs, public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN, ["doc_id", "text"])
+    safe = [r[0] for r in found.orderBy("doc_id").select(secret_scan.redact(found["text"], found["findings"])).collect()]
+    assert safe == [None, "", 'é [SECRET]" end', "plain"]
+
+
+# -------------------------------------------------------------- n-gram join
+def brute_components(texts, words, percent):
+    sets = []
+    for t in texts:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
+        sets.append({tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set())
+    parent = list(range(len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    return [(len(s), root(i)) for i, s in enumerate(sets)]
+
+
+@pytest.mark.parametrize("words,percent", [(3, 90), (5, 80)])
+def test_join_equals_brute_force(spark, words, percent):
+    rng = random.Random(words)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = [None, "", "  \t\n", "one", "One", "one two", "one two three", "ONE  two\nthree", "É a b", "é a b"]
+    for _ in range(25):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice([4, 11, 30, 120, 500]))]
+        for _ in range(rng.randrange(1, 8)):
+            copy = list(base)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 5, 9])):
+                at = rng.randrange(len(copy))
+                copy[at : at + 1] = rng.choice([[], [rng.choice(vocabulary)], [copy[at], "new"]])
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    got = ngram_jaccard.jaccard_components(frame(spark, texts), words, percent).orderBy("doc_id").collect()
+    assert [(r["n_shingles"], r["component_id"]) for r in got] == brute_components(texts, words, percent)
+
+
+def test_join_finishes_groups_that_are_no_copies(spark, monkeypatch):
+    # all share a signature by a weak hash: rounds must still reach every pair
+    monkeypatch.setattr(ngram_jaccard, "PIVOTS", 2)
+    monkeypatch.setattr(ngram_jaccard.Bands, "signatures", lambda self, items: __import__("numpy").array([1, 2], dtype="int64"))
+    rng = random.Random(1)
+    vocabulary = [f"w{i}" for i in range(200)]
+    base = [[rng.choice(vocabulary) for _ in range(40)] for _ in range(5)]
+    texts = [" ".join(b[:-1] + [x]) for b in base for x in ("p", "q")] + [" ".join(rng.sample(vocabulary, 40)) for _ in range(5)]
+    sets = ngram_jaccard._sets(frame(spark, texts), 3, 90)  # the patched signatures do not reach workers
+    monkeypatch.setattr(ngram_jaccard, "_sets", lambda *a: sets.withColumn("signatures", __import__("pyspark").sql.functions.expr("array(1L, 2L)")))
+    got = ngram_jaccard.jaccard_components(frame(spark, texts), 3, 90).orderBy("doc_id").collect()
+    assert [(r["n_shingles"], r["component_id"]) for r in got] == brute_components(texts, 3, 90)
+
+
+def test_join_edges(spark):
+    docs = spark.createDataFrame([(7, "a b c d"), (7, "a b c d"), (None, "a b c d"), (3, "a b c d"), (None, None)], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_jaccard.jaccard_components(docs).collect()), key=str)
+    assert got == [(3, 2, 3), (7, 2, 3), (7, 2, 3), (None, 0, None), (None, 2, 3)]
+    assert ngram_jaccard.jaccard_components(docs.limit(0)).collect() == []
