@@ -6,6 +6,8 @@ from tablesmith.functions.clean import (  # noqa: F401
     days_between,
     days_between_sql,
     decimal_type,
+    instant_to_date,
+    instant_to_date_sql,
     strict_date,
     strict_date_sql,
     strict_decimal,
@@ -23,27 +25,3 @@ from tablesmith.functions.clean import (  # noqa: F401
     zero_if_null,
     zero_if_null_sql,
 )
-
-__all__ = [
-    "blank_to_null",
-    "blank_to_null_sql",
-    "days_between",
-    "days_between_sql",
-    "decimal_type",
-    "strict_date",
-    "strict_date_sql",
-    "strict_decimal",
-    "strict_decimal_sql",
-    "strict_long",
-    "strict_long_sql",
-    "strict_timestamp",
-    "strict_timestamp_sql",
-    "sum_missing_as_zero",
-    "sum_missing_as_zero_sql",
-    "ts_to_date",
-    "ts_to_date_sql",
-    "yes_no_flag",
-    "yes_no_flag_sql",
-    "zero_if_null",
-    "zero_if_null_sql",
-]

@@ -10,15 +10,22 @@ Rules (the raw tables keep business values as text):
 
 * the zero-length string means "missing" (only ``''``; ``'  '`` stays a
   value and fails a numeric cast);
-* a typed value is a *strict* cast: text that is not a valid value
-  aborts the query (ANSI mode), it never silently becomes NULL;
+* a typed value is a *strict* cast: text that is not a valid value aborts
+  the query, it never silently becomes NULL. The casts raise by themselves
+  (``try_cast`` plus ``raise_error``) and read text without an offset as UTC,
+  so results depend neither on ANSI mode nor on the session's time zone;
 * Spark accepts a few date/time shapes other systems reject (``'2024'``,
   ``'2024-03'``, ``'T12:30:00'``) and silently rounds extra fraction
-  digits; the guards below turn those into errors as well.
+  digits; the guards below turn those into errors as well;
+* dates and timestamps may be declared in other formats: ``formats`` lists
+  Spark datetime patterns (or ``ISO``), tried in order.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -30,9 +37,13 @@ FLAG_TRUE = "Y"
 FLAG_FALSE = "N"
 
 # A date or timestamp text must start with year-month-day.
-DATE_SHAPE = "^[ \t\r\n]*[+-]?[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}"
-# More fraction digits than DECIMAL_SCALE, with a non-zero digit past the scale.
-SCALE_LOSS = "[.][0-9]{%d}[0-9]*[1-9]" % DECIMAL_SCALE
+_WS = " \t\r\n"
+_DATE = f"^[{_WS}]*[+-]?[0-9]{{4,}}-[0-9]{{1,2}}-[0-9]{{1,2}}"
+DATE_SHAPE = _DATE
+# Only these can need more fraction digits than DECIMAL_SCALE.
+_LONG_FRACTION = "[.][0-9]{%d}|[eE]" % (DECIMAL_SCALE + 1)
+# The default format: ISO 8601 as Spark's casts read it, from year to day at least.
+ISO = "ISO"
 
 DECIMAL_SQL = f"DECIMAL({DECIMAL_PRECISION},{DECIMAL_SCALE})"
 
@@ -47,44 +58,93 @@ def blank_to_null_sql(c: str) -> str:
     return f"nullif({c}, '')"
 
 
+def _or_raise(t: str, typed: str, what: str) -> str:
+    """``typed``, which is NULL for text it cannot read; such text raises."""
+    return f"coalesce({typed}, CASE WHEN {t} IS NOT NULL THEN raise_error(concat('not a {what}: ', {t})) END)"
+
+
 def strict_long_sql(c: str) -> str:
     """Blank -> NULL, otherwise text -> bigint; invalid text raises."""
-    return f"CAST({blank_to_null_sql(c)} AS BIGINT)"
+    t = blank_to_null_sql(c)
+    return _or_raise(t, f"try_cast({t} AS BIGINT)", "whole number")
+
+
+def _needed_scale_sql(t: str) -> str:
+    """Fraction digits that the number (not its spelling) needs: those of the
+    mantissa without trailing zeros, less the exponent."""
+    whole = f"regexp_extract({t}, '^[{_WS}+-]*([0-9]*)', 1)"
+    fraction = f"trim(TRAILING '0' FROM regexp_extract({t}, '^[^.eE]*[.]([0-9]*)', 1))"
+    exponent = f"coalesce(try_cast(nullif(regexp_extract({t}, '[eE]([+-]?[0-9]+)', 1), '') AS INT), 0)"
+    significant = f"trim(TRAILING '0' FROM {whole})"
+    return (
+        f"CASE WHEN {fraction} <> '' THEN length({fraction}) - {exponent} "
+        f"WHEN {significant} <> '' THEN length({significant}) - length({whole}) - {exponent} ELSE 0 END"
+    )
 
 
 def strict_decimal_sql(c: str, allow_rounding: bool = False) -> str:
     """Blank -> NULL, otherwise text -> decimal(37, 10).
 
-    Invalid text raises (ANSI cast). Text with more significant fraction
-    digits than the scale raises too, unless ``allow_rounding``.
+    Invalid text raises. A number that needs more fraction digits than the
+    scale raises too, unless ``allow_rounding``.
     """
     t = blank_to_null_sql(c)
-    typed = f"CAST({t} AS {DECIMAL_SQL})"
+    typed = _or_raise(t, f"try_cast({t} AS {DECIMAL_SQL})", "number")
     if allow_rounding:
         return typed
-    return f"CASE WHEN {t} RLIKE '{SCALE_LOSS}' THEN raise_error(concat('decimal text would be rounded: ', {t})) ELSE {typed} END"
+    return (
+        f"CASE WHEN {t} RLIKE '{_LONG_FRACTION}' AND {_needed_scale_sql(t)} > {DECIMAL_SCALE} "
+        f"THEN raise_error(concat('decimal text would be rounded: ', {t})) ELSE {typed} END"
+    )
 
 
-def _shape_guarded(t: str, typed: str, what: str) -> str:
-    return f"CASE WHEN NOT ({t} RLIKE '{DATE_SHAPE}') THEN raise_error(concat('not a {what}: ', {t})) ELSE {typed} END"
+def _iso_instant_sql(t: str) -> str:
+    """An instant, or NULL; without an offset the text is read as UTC."""
+    trimmed = f"trim(BOTH '{_WS}' FROM {t})"
+    return (
+        f"try_cast(CASE WHEN {t} RLIKE '{_DATE}[{_WS}]*$' THEN concat({trimmed}, ' 00:00:00Z') "
+        f"WHEN {t} RLIKE '{_DATE}[ T][0-9:.]+[{_WS}]*$' THEN concat({trimmed}, 'Z') "
+        f"WHEN {t} RLIKE '{_DATE}' THEN {t} END AS TIMESTAMP)"
+    )
 
 
-def strict_timestamp_sql(c: str) -> str:
+def _pattern_instant_sql(t: str, pattern: str) -> str:
+    """By a datetime pattern; a pattern without a zone is read as UTC."""
+    bare = re.sub(r"'[^']*'", "", pattern)
+    quoted = pattern.replace("'", "''") if "'" in pattern else pattern
+    if re.search(r"[VzOXxZ]", bare):
+        return f"try_to_timestamp({t}, '{quoted}')"
+    return f"try_to_timestamp(concat({t}, ' +00:00'), '{quoted} XXX')"
+
+
+def strict_timestamp_sql(c: str, formats: Sequence[str] = (ISO,)) -> str:
     """Blank -> NULL, otherwise text -> timestamp (an instant; text without
-    offset is read in the session zone). Text that does not start with a
-    full date raises, as does anything the cast rejects."""
+    offset is read as UTC). Text that no format fits raises."""
     t = blank_to_null_sql(c)
-    return _shape_guarded(t, f"CAST({t} AS TIMESTAMP)", "timestamp")
+    tries = [_iso_instant_sql(t) if f == ISO else _pattern_instant_sql(t, f) for f in formats]
+    return _or_raise(t, ", ".join(tries), "timestamp")
 
 
-def strict_date_sql(c: str) -> str:
-    """Blank -> NULL, otherwise text -> date; partial dates raise."""
+def strict_date_sql(c: str, formats: Sequence[str] = (ISO,)) -> str:
+    """Blank -> NULL, otherwise text -> date; text that no format fits
+    raises, partial dates as well."""
     t = blank_to_null_sql(c)
-    return _shape_guarded(t, f"CAST({t} AS DATE)", "date")
+    tries = [
+        f"CASE WHEN {t} RLIKE '{_DATE}' THEN try_cast({t} AS DATE) END" if f == ISO else instant_to_date_sql(_pattern_instant_sql(t, f))
+        for f in formats
+    ]
+    return _or_raise(t, ", ".join(tries), "date")
+
+
+def instant_to_date_sql(c: str) -> str:
+    """Calendar date of an instant (TIMESTAMP) in UTC, whatever the session zone."""
+    micros = f"unix_micros({c})"
+    return f"date_from_unix_date(CAST(({micros} - pmod({micros}, 86400000000)) div 86400000000 AS INT))"
 
 
 def ts_to_date_sql(c: str) -> str:
-    """Calendar date of an instant in the session time zone."""
+    """Calendar date of a timestamp without zone (TIMESTAMP_NTZ); of an
+    instant in the session time zone (see :func:`instant_to_date_sql`)."""
     return f"to_date({c})"
 
 
@@ -122,12 +182,16 @@ def strict_decimal(c: str, allow_rounding: bool = False) -> Column:
     return F.expr(strict_decimal_sql(c, allow_rounding))
 
 
-def strict_timestamp(c: str) -> Column:
-    return F.expr(strict_timestamp_sql(c))
+def strict_timestamp(c: str, formats: Sequence[str] = (ISO,)) -> Column:
+    return F.expr(strict_timestamp_sql(c, formats))
+
+
+def strict_date(c: str, formats: Sequence[str] = (ISO,)) -> Column:
+    return F.expr(strict_date_sql(c, formats))
 
 
-def strict_date(c: str) -> Column:
-    return F.expr(strict_date_sql(c))
+def instant_to_date(c: str) -> Column:
+    return F.expr(instant_to_date_sql(c))
 
 
 def ts_to_date(c: str) -> Column:

@@ -103,3 +103,52 @@ def test_functions_stay_jvm_side(spark):
     df = spark.createDataFrame([("1",)], "v string").select(C.strict_decimal("v"), C.yes_no_flag("v"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+# ------------------------------------------------- by value, not by spelling
+def _one(spark, text, column):
+    return spark.createDataFrame([(text,)], "c string").select(column).first()[0]
+
+
+@pytest.mark.parametrize("text", ["1e-11", "1.5e-10", "0.00000000001", "123456e-12", "1.00000000001"])
+def test_decimal_that_needs_more_digits_raises(spark, text):
+    with pytest.raises(Exception, match="would be rounded"):
+        _one(spark, text, C.strict_decimal("c"))
+
+
+@pytest.mark.parametrize(
+    "text,value",
+    [("1.00000000001e5", "100000.0000010000"), ("1e-10", "0.0000000001"), ("1.50000000000000", "1.5"), ("100e-12", "0.0000000001"), ("-2.5E3", "-2500"), (".5", "0.5"), ("0e-20", "0")],
+)
+def test_decimal_that_fits_is_exact(spark, text, value):
+    from decimal import Decimal
+
+    assert _one(spark, text, C.strict_decimal("c")) == Decimal(value)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_invalid_text_raises_in_any_session(spark, ansi):
+    saved = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for column, text in ((C.strict_long("c"), "12.5"), (C.strict_decimal("c"), "x"), (C.strict_timestamp("c"), "2024-13-01"), (C.strict_date("c"), "2024-02-30")):
+            with pytest.raises(Exception, match="not a"):
+                _one(spark, text, column)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", saved)
+
+
+def test_declared_formats_are_tried_in_order(spark):
+    formats = ["MM/dd/yyyy HH:mm", "yyyyMMdd HH:mm XXX", C.ISO]
+
+    def micros(text):
+        return spark.createDataFrame([(text,)], "c string").selectExpr(f"unix_micros({C.strict_timestamp_sql('c', formats)})").first()[0]
+
+    base = micros("2024-01-31 09:00:00")
+    assert micros("01/31/2024 09:00") == base and micros("20240131 11:00 +02:00") == base
+    with pytest.raises(Exception, match="not a timestamp"):
+        micros("31.01.2024")
+    day = _one(spark, "20240131", C.strict_date("c", ["yyyyMMdd"]))
+    assert str(day) == "2024-01-31" and _one(spark, "", C.strict_date("c", ["yyyyMMdd"])) is None
+    with pytest.raises(Exception, match="not a date"):
+        _one(spark, "2024-01-31", C.strict_date("c", ["yyyyMMdd"]))
