@@ -10,7 +10,8 @@ The current state of a record is its newest successfully loaded version:
 2. rank the versions of each key by ``ingestion_timestamp`` descending,
    then ``bronze_row_id`` descending, NULLs first (a version with an
    unknown timestamp wins, as in a descending sort that puts NULLs first);
-3. keep rank 1.
+3. keep rank 1; versions that tie on both are ordered by a hash of the row,
+   so the choice does not depend on how the rows were partitioned.
 
 Plan shape: ``row_number() ... = 1`` lets Catalyst insert a partial
 ``WindowGroupLimit`` *before* the shuffle, so each map task forwards at
@@ -44,8 +45,13 @@ def loaded_versions(df: DataFrame, status_col: str = STATUS_COL, status: str = L
     return df.filter(F.col(status_col) == F.lit(status))
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """Of all columns but maps, which have no hash."""
+    return F.xxhash64(*[F.col(c) for c, kind in df.dtypes if "map<" not in kind])
+
+
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order, _row_hash(df))
     return df.withColumn(_RANK, F.row_number().over(w))
 
 
@@ -78,15 +84,23 @@ def superseded_versions(
     """Loaded versions the dedup discards: the complement of
     :func:`latest_by_key` within the loaded versions.
 
-    Written as an anti-join on key + version identity (timestamp, row id;
+    Written as a join on key + version identity (timestamp, row id;
     NULL-safe), not as a rank over each key's versions: a key holding a
     third of all versions is then spread over many tasks by the join's hash
-    partitioning instead of being sorted in one window task.
+    partitioning instead of being sorted in one window task. Versions that
+    share the winner's identity are numbered within that tie only; all but
+    the winner stay.
     """
     if status_col is not None:
         df = loaded_versions(df, status_col, status)
     ident = [*keys, ts_col, row_id_col]
     latest = latest_by_key(df, keys, version_order(ts_col, row_id_col), status_col=None).select(*ident)
-    tagged = latest.toDF(*[f"__latest_{c}" for c in ident])
+    tagged = latest.toDF(*[f"__latest_{c}" for c in ident]).withColumn("__is_latest", F.lit(True))
     cond = [df[c].eqNullSafe(tagged[f"__latest_{c}"]) for c in ident]
-    return df.join(tagged, cond, "left_anti")
+    tie = Window.partitionBy(*[F.col(c) for c in ident]).orderBy(_row_hash(df))
+    joined = df.join(tagged, cond, "left").select(*[df[c] for c in df.columns], "__is_latest")
+    return (
+        joined.withColumn(_RANK, F.row_number().over(tie))
+        .where(F.col("__is_latest").isNull() | (F.col(_RANK) > 1))
+        .select(*df.columns)
+    )

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from tablesmith.functions import clean as C
 from tablesmith.operators.contract import TableContract
 from tablesmith.operators.lookup import inner_header, lookup_as
-from tablesmith.operators.versions import latest_by_key
+from tablesmith.operators.versions import ROW_ID_COL, STATUS_COL, TS_COL, latest_by_key
 from tablesmith.plans.tabledef import TableDef
 
 # Definition and table names, raw sources, natural key and the
@@ -96,12 +96,27 @@ CONTRACT = TableContract(
 LOADED_COLUMNS = [n for n, _, _ in COLUMNS if n not in (ID_COL, LOADED_TS_COL)]
 
 
+# The raw columns this table is made of (besides the control columns).
+RAW_COLUMNS = {
+    "gtran_firm": "firmid id tspname tspduns kholdername ratesch svcreqk kqtyk kbegdatetime kenddatetime kstat kstatdesc ngtdrateind hash_key".split(),
+    "gtran_rates": (
+        "firmid uniqueid recloc reclocname recloczn delloc dellocname delloczn rateformtype rateformtypedesc rateid ratechgd maxtrfrate "
+        "totsurchg mktbasedrateind surchgind seasnlst seasnlend kentbegdatetime kentenddatetime posteddatetime source_system source_api "
+        "pipeline_run_id hash_key"
+    ).split(),
+    "gtran_loc": "firmid loc kqtyloc".split(),
+}
+
+
 def latest_inputs(sources: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Newest loaded version of each firm, rate and location."""
-    firm = latest_by_key(sources["gtran_firm"], ["firmid"])
-    rate = latest_by_key(sources["gtran_rates"], ["firmid", "uniqueid"])
-    loc = latest_by_key(sources["gtran_loc"], ["firmid", "loc"])
-    return firm, rate, loc
+    """Newest loaded version of each firm, rate and location. Other raw
+    columns are left out first, so that ties are decided by, and scans read,
+    only what the table is made of."""
+
+    def latest(table: str, *key: str) -> DataFrame:
+        return latest_by_key(sources[table].select(*RAW_COLUMNS[table], STATUS_COL, TS_COL, ROW_ID_COL), list(key))
+
+    return latest("gtran_firm", "firmid"), latest("gtran_rates", "firmid", "uniqueid"), latest("gtran_loc", "firmid", "loc")
 
 
 def rates_with_header(rate: DataFrame, firm: DataFrame) -> DataFrame:
@@ -132,7 +147,7 @@ def loaded_column_sql() -> list[tuple[str, str]]:
         ("contract_qty_dth", C.strict_decimal_sql("f_kqtyk")),
         ("contract_begin_ts", begin_ts),
         ("contract_end_ts", end_ts),
-        ("contract_term_days", C.days_between_sql(C.ts_to_date_sql(begin_ts), C.ts_to_date_sql(end_ts))),
+        ("contract_term_days", C.days_between_sql(C.instant_to_date_sql(begin_ts), C.instant_to_date_sql(end_ts))),
         ("contract_status_code", "f_kstat"),
         ("contract_status_desc", "f_kstatdesc"),
         ("is_negotiated_rate", C.yes_no_flag_sql("f_ngtdrateind")),
