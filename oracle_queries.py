@@ -3,10 +3,9 @@
 Each string runs on DuckDB with the star tables registered as views
 (``orders``, ``lineitem``, ...). The raw-shaped tables are rebuilt here
 with the same expressions as ``tablesmith.sources.adapter``; everything
-after that is written independently in plain SQL.
+after that states the result in plain SQL.
 
 Differences between engines handled here:
-* ``DESC NULLS FIRST`` is written out (DuckDB sorts NULLs last by default);
 * date difference: ``CAST(end - start AS INTEGER)``;
 * casts to ``DECIMAL(37,10)`` so ``a + b`` is ``DECIMAL(38,10)`` on both sides.
 """
@@ -26,9 +25,10 @@ gtran_firm AS (
     'S' || CAST(o_orderkey AS VARCHAR) AS svcreqk,
     CASE WHEN o_orderkey % 7 = 0 THEN ''
          ELSE CAST(CAST(o_totalprice + ver AS DECIMAL(18,2)) AS VARCHAR) END AS kqtyk,
-    CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS kbegdatetime,
+    CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || CASE WHEN o_orderkey % 3 = 1 THEN ' 07:30:05' ELSE '' END AS kbegdatetime,
     CASE WHEN o_orderkey % 13 = 0 THEN ''
-         ELSE CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INTEGER) AS VARCHAR) END AS kenddatetime,
+         ELSE CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INTEGER) AS VARCHAR)
+              || CASE WHEN o_orderkey % 5 = 2 THEN ' 23:45:10' ELSE '' END END AS kenddatetime,
     o_orderstatus AS kstat,
     'status ' || o_orderstatus AS kstatdesc,
     CASE o_orderkey % 4 WHEN 0 THEN 'Y' WHEN 1 THEN 'n' WHEN 2 THEN '' ELSE 'X' END AS ngtdrateind,
@@ -45,7 +45,7 @@ gtran_firm AS (
 RAW_RATES = """
 gtran_rates AS (
   SELECT
-    CAST(l_orderkey AS VARCHAR) AS firmid,
+    CASE WHEN l_orderkey % 97 <> 0 THEN CAST(l_orderkey AS VARCHAR) END AS firmid,
     CAST(l_linenumber AS VARCHAR) AS uniqueid,
     CASE WHEN l_partkey % 17 = 0 THEN NULL ELSE CAST(l_suppkey AS VARCHAR) END AS recloc,
     'rec ' || CAST(l_suppkey AS VARCHAR) AS reclocname,
@@ -64,14 +64,15 @@ gtran_rates AS (
     CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS seasnlst,
     CASE WHEN l_suppkey % 6 = 0 THEN '' ELSE CAST(CAST(l_shipdate AS DATE) + 30 AS VARCHAR) END AS seasnlend,
     CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS kentbegdatetime,
-    '' AS kentenddatetime,
+    CASE WHEN l_suppkey % 4 = 0 THEN ''
+         ELSE CAST(CAST(l_shipdate AS DATE) + 90 AS VARCHAR) || ' 12:00:00' END AS kentenddatetime,
     CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS posteddatetime,
     'star' AS source_system,
     'lineitem' AS source_api,
     'run-' || CAST(l_suppkey % 3 AS VARCHAR) AS pipeline_run_id,
     'hr' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS hash_key,
     CASE WHEN l_partkey % 20 = 0 THEN 'FAILED' ELSE 'LOADED' END AS ingestion_status,
-    l_shipdate AS ingestion_timestamp,
+    CASE WHEN l_suppkey % 23 <> 0 THEN l_shipdate END AS ingestion_timestamp,
     l_suppkey * 1000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS bronze_row_id
   FROM lineitem
 )"""
@@ -80,9 +81,9 @@ RAW_LOC = """
 gtran_loc AS (
   SELECT
     CAST(l_orderkey AS VARCHAR) AS firmid,
-    CAST(l_suppkey AS VARCHAR) AS loc,
+    CASE WHEN l_suppkey % 29 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS loc,
     CASE WHEN l_linenumber = 3 THEN '' ELSE CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) END AS kqtyloc,
-    'LOADED' AS ingestion_status,
+    CASE WHEN l_partkey % 25 = 0 THEN 'FAILED' ELSE 'LOADED' END AS ingestion_status,
     l_shipdate AS ingestion_timestamp,
     l_partkey * 1000 + l_linenumber AS bronze_row_id
   FROM lineitem
@@ -103,24 +104,23 @@ RATE_COLS = (
 LOC_COLS = "firmid, loc, kqtyloc, ingestion_status, ingestion_timestamp, bronze_row_id"
 
 
-def latest_cte(name: str, source: str, keys: str, cols: str, where: str = "") -> str:
-    """Newest LOADED version per key (descending, NULLs first)."""
-    extra = f" AND ({where})" if where else ""
+def newest(name: str, source: str, keys: str, cols: str, where: str = "TRUE") -> str:
+    """The good version of each key that no other good version comes after;
+    an unknown time or number comes last of all."""
     return f"""
 {name} AS (
-  SELECT {cols} FROM (
-    SELECT *, row_number() OVER (
-      PARTITION BY {keys}
-      ORDER BY ingestion_timestamp DESC NULLS FIRST, bronze_row_id DESC NULLS FIRST) AS rn
-    FROM {source}
-    WHERE ingestion_status = 'LOADED'{extra}
-  ) x WHERE rn = 1
+  SELECT {cols} FROM {source}
+  WHERE ingestion_status = 'LOADED' AND ({where})
+  QUALIFY 1 = count(*) OVER (
+    PARTITION BY {keys}
+    ORDER BY ingestion_timestamp IS NULL DESC, ingestion_timestamp DESC, bronze_row_id IS NULL DESC, bronze_row_id DESC
+    ROWS UNBOUNDED PRECEDING)
 )"""
 
 
-FIRM_LATEST = latest_cte("firm_latest", "gtran_firm", "firmid", FIRM_COLS)
-RATE_LATEST = latest_cte("rate_latest", "gtran_rates", "firmid, uniqueid", RATE_COLS)
-LOC_LATEST = latest_cte("loc_latest", "gtran_loc", "firmid, loc", LOC_COLS)
+CONTRACTS = newest("contracts", "gtran_firm", "firmid", FIRM_COLS)
+PATHS = newest("paths", "gtran_rates", "firmid, uniqueid", RATE_COLS)
+POINTS = newest("points", "gtran_loc", "firmid, loc", LOC_COLS)
 
 
 def with_ctes(*ctes: str) -> str:
@@ -140,73 +140,45 @@ def flag(x: str) -> str:
 
 
 
-def flagship_select(rate: str = "rate_latest") -> str:
-    """The 42 loaded columns from a latest-rate CTE named ``rate``."""
-    return f"""
-  SELECT
-    r.firmid AS firm_id,
-    r.uniqueid AS rate_unique_id,
-    f.id AS contract_id,
-    f.tspname AS tsp_name,
-    CAST(NULLIF(f.tspduns, '') AS BIGINT) AS tsp_duns,
-    f.kholdername AS contract_holder_name,
-    f.ratesch AS rate_schedule,
-    f.svcreqk AS service_request_k,
-    {dec('f.kqtyk')} AS contract_qty_dth,
-    {ts('f.kbegdatetime')} AS contract_begin_ts,
-    {ts('f.kenddatetime')} AS contract_end_ts,
-    CAST(CAST({ts('f.kenddatetime')} AS DATE) - CAST({ts('f.kbegdatetime')} AS DATE) AS INTEGER) AS contract_term_days,
-    f.kstat AS contract_status_code,
-    f.kstatdesc AS contract_status_desc,
-    {flag('f.ngtdrateind')} AS is_negotiated_rate,
-    r.recloc AS receipt_loc_code,
-    r.reclocname AS receipt_loc_name,
-    r.recloczn AS receipt_zone,
-    {dec('lr.kqtyloc')} AS receipt_point_qty_dth,
-    r.delloc AS delivery_loc_code,
-    r.dellocname AS delivery_loc_name,
-    r.delloczn AS delivery_zone,
-    {dec('ld.kqtyloc')} AS delivery_point_qty_dth,
-    r.rateformtype AS rate_form_type,
-    r.rateformtypedesc AS rate_form_type_desc,
-    r.rateid AS rate_id,
-    {dec('r.ratechgd')} AS rate_charged,
-    {dec('r.maxtrfrate')} AS max_tariff_rate,
-    {dec('r.totsurchg')} AS total_surcharge,
-    COALESCE({dec('r.ratechgd')}, 0) + COALESCE({dec('r.totsurchg')}, 0) AS all_in_rate,
-    {flag('r.mktbasedrateind')} AS is_market_based_rate,
-    {flag('r.surchgind')} AS has_surcharge,
-    CAST(NULLIF(r.seasnlst, '') AS DATE) AS season_start_date,
-    CAST(NULLIF(r.seasnlend, '') AS DATE) AS season_end_date,
-    {ts('r.kentbegdatetime')} AS rate_begin_ts,
-    {ts('r.kentenddatetime')} AS rate_end_ts,
-    {ts('r.posteddatetime')} AS posted_ts,
-    r.source_system AS source_system,
-    r.source_api AS source_api,
-    r.pipeline_run_id AS pipeline_run_id,
-    f.hash_key AS firm_hash_key,
-    r.hash_key AS rate_hash_key
-  FROM {rate} r
-  JOIN firm_latest f ON f.firmid = r.firmid
-  LEFT JOIN loc_latest lr ON lr.firmid = r.firmid AND lr.loc = r.recloc
-  LEFT JOIN loc_latest ld ON ld.firmid = r.firmid AND ld.loc = r.delloc"""
-
-
-LOADED_COLS = [
-    "firm_id", "rate_unique_id", "contract_id", "tsp_name", "tsp_duns", "contract_holder_name",
-    "rate_schedule", "service_request_k", "contract_qty_dth", "contract_begin_ts", "contract_end_ts",
-    "contract_term_days", "contract_status_code", "contract_status_desc", "is_negotiated_rate",
-    "receipt_loc_code", "receipt_loc_name", "receipt_zone", "receipt_point_qty_dth",
-    "delivery_loc_code", "delivery_loc_name", "delivery_zone", "delivery_point_qty_dth",
-    "rate_form_type", "rate_form_type_desc", "rate_id", "rate_charged", "max_tariff_rate",
-    "total_surcharge", "all_in_rate", "is_market_based_rate", "has_surcharge",
-    "season_start_date", "season_end_date", "rate_begin_ts", "rate_end_ts", "posted_ts",
-    "source_system", "source_api", "pipeline_run_id", "firm_hash_key", "rate_hash_key",
+def point_qty(code: str) -> str:
+    """The quantity text of a path's point; there is one row per firm and point."""
+    return f"(SELECT max(q.kqtyloc) FROM points q WHERE q.firmid = p.firmid AND q.loc = p.{code})"
+
+
+# (curated column, expression over a path ``p`` and its contract ``c``)
+_CURATED = [
+    ("firm_id", "p.firmid"), ("rate_unique_id", "p.uniqueid"), ("contract_id", "c.id"), ("tsp_name", "c.tspname"),
+    ("tsp_duns", "CAST(NULLIF(c.tspduns, '') AS BIGINT)"), ("contract_holder_name", "c.kholdername"),
+    ("rate_schedule", "c.ratesch"), ("service_request_k", "c.svcreqk"), ("contract_qty_dth", dec("c.kqtyk")),
+    ("contract_begin_ts", ts("c.kbegdatetime")), ("contract_end_ts", ts("c.kenddatetime")),
+    ("contract_term_days", f"CAST(CAST({ts('c.kenddatetime')} AS DATE) - CAST({ts('c.kbegdatetime')} AS DATE) AS INTEGER)"),
+    ("contract_status_code", "c.kstat"), ("contract_status_desc", "c.kstatdesc"), ("is_negotiated_rate", flag("c.ngtdrateind")),
+    ("receipt_loc_code", "p.recloc"), ("receipt_loc_name", "p.reclocname"), ("receipt_zone", "p.recloczn"),
+    ("receipt_point_qty_dth", dec(point_qty("recloc"))),
+    ("delivery_loc_code", "p.delloc"), ("delivery_loc_name", "p.dellocname"), ("delivery_zone", "p.delloczn"),
+    ("delivery_point_qty_dth", dec(point_qty("delloc"))),
+    ("rate_form_type", "p.rateformtype"), ("rate_form_type_desc", "p.rateformtypedesc"), ("rate_id", "p.rateid"),
+    ("rate_charged", dec("p.ratechgd")), ("max_tariff_rate", dec("p.maxtrfrate")), ("total_surcharge", dec("p.totsurchg")),
+    ("all_in_rate", f"COALESCE({dec('p.ratechgd')}, 0) + COALESCE({dec('p.totsurchg')}, 0)"),
+    ("is_market_based_rate", flag("p.mktbasedrateind")), ("has_surcharge", flag("p.surchgind")),
+    ("season_start_date", "CAST(NULLIF(p.seasnlst, '') AS DATE)"), ("season_end_date", "CAST(NULLIF(p.seasnlend, '') AS DATE)"),
+    ("rate_begin_ts", ts("p.kentbegdatetime")), ("rate_end_ts", ts("p.kentenddatetime")), ("posted_ts", ts("p.posteddatetime")),
+    ("source_system", "p.source_system"), ("source_api", "p.source_api"), ("pipeline_run_id", "p.pipeline_run_id"),
+    ("firm_hash_key", "c.hash_key"), ("rate_hash_key", "p.hash_key"),
 ]
 
-ALL_RAW_LATEST = with_ctes(RAW_FIRM, RAW_RATES, RAW_LOC, FIRM_LATEST, RATE_LATEST, LOC_LATEST)
-FLAGSHIP = ALL_RAW_LATEST + flagship_select()
-FLAGSHIP_CTES = ALL_RAW_LATEST + ", flagship AS (" + flagship_select() + ")"
+
+def curated(paths: str = "paths") -> str:
+    """The loaded columns of each path that has a contract."""
+    columns = ",\n    ".join(f"{sql} AS {name}" for name, sql in _CURATED)
+    return f"SELECT\n    {columns}\n  FROM contracts c, {paths} p WHERE c.firmid = p.firmid"
+
+
+LOADED_COLS = [name for name, _ in _CURATED]
+
+ALL_RAW_LATEST = with_ctes(RAW_FIRM, RAW_RATES, RAW_LOC, CONTRACTS, PATHS, POINTS)
+FLAGSHIP = ALL_RAW_LATEST + curated()
+FLAGSHIP_CTES = ALL_RAW_LATEST + ", flagship AS (" + curated() + ")"
 
 
 def prefixed(alias: str, cols: str, prefix: str = "") -> str:
@@ -216,15 +188,17 @@ def prefixed(alias: str, cols: str, prefix: str = "") -> str:
 # ------------------------------------------------------------ the upsert case
 UPSERT_CUTOFF = "TIMESTAMP '1996-01-01 00:00:00'"
 UPSERT_CTES = with_ctes(
-    RAW_FIRM, RAW_RATES, RAW_LOC, FIRM_LATEST, LOC_LATEST,
-    latest_cte("rate_before", "gtran_rates", "firmid, uniqueid", RATE_COLS, f"ingestion_timestamp < {UPSERT_CUTOFF}"),
-    latest_cte("rate_batch", "gtran_rates", "firmid, uniqueid", RATE_COLS, f"ingestion_timestamp >= {UPSERT_CUTOFF}"),
+    RAW_FIRM, RAW_RATES, RAW_LOC, CONTRACTS, POINTS,
+    newest("paths_before", "gtran_rates", "firmid, uniqueid", RATE_COLS, f"ingestion_timestamp < {UPSERT_CUTOFF}"),
+    newest(
+        "paths_batch", "gtran_rates", "firmid, uniqueid", RATE_COLS, f"ingestion_timestamp >= {UPSERT_CUTOFF} OR ingestion_timestamp IS NULL"
+    ),
 ) + f""",
-target_rows AS ({flagship_select("rate_before")}),
+target_rows AS ({curated("paths_before")}),
 target AS (
   SELECT row_number() OVER (ORDER BY firm_id, rate_unique_id) AS firm_transport_rate_id, *
   FROM target_rows),
-incoming AS ({flagship_select("rate_batch")})"""
+incoming AS ({curated("paths_batch")})"""
 
 _I_COLS = ", ".join(f"i.{c}" for c in LOADED_COLS)
 _T_COLS = ", ".join(f"t.{c}" for c in LOADED_COLS)
@@ -283,32 +257,21 @@ SELECT q.definition,
 FROM required q LEFT JOIN snapshot s ON s.name = q.source
 """
 
-MISSING_SOURCES = f"""
-WITH required AS (
-  SELECT * FROM (VALUES ('{DEF_NAME}', 0, 'gtran_firm'), ('{DEF_NAME}', 1, 'gtran_rates'),
-                        ('{DEF_NAME}', 2, 'gtran_loc')) v(definition, source_order, source)),
-present AS (SELECT unnest({STAR_TABLES!r}) AS name)
-SELECT definition, 'bronze.' || source AS source
-FROM required WHERE source NOT IN (SELECT name FROM present)
-"""
-
 # ------------------------------------------------------------- the queries
 _F = with_ctes(RAW_FIRM)
 _R = with_ctes(RAW_RATES)
 
 ORACLE: dict[str, str] = {
     "status_filter": _F + f" SELECT {FIRM_COLS} FROM gtran_firm WHERE ingestion_status = 'LOADED'",
-    "latest_single_key": with_ctes(RAW_FIRM, FIRM_LATEST) + " SELECT * FROM firm_latest",
-    "latest_composite_key": with_ctes(RAW_RATES, RATE_LATEST) + " SELECT * FROM rate_latest",
-    "latest_lookup": with_ctes(RAW_LOC, LOC_LATEST) + " SELECT * FROM loc_latest",
-    "inner_latest_header": with_ctes(RAW_FIRM, RAW_RATES, FIRM_LATEST, RATE_LATEST)
+    "latest_single_key": with_ctes(RAW_FIRM, CONTRACTS) + " SELECT * FROM contracts",
+    "latest_composite_key": with_ctes(RAW_RATES, PATHS) + " SELECT * FROM paths",
+    "latest_lookup": with_ctes(RAW_LOC, POINTS) + " SELECT * FROM points",
+    "inner_latest_header": with_ctes(RAW_FIRM, RAW_RATES, CONTRACTS, PATHS)
     + f" SELECT {prefixed('r', RATE_COLS)}, {prefixed('f', FIRM_COLS, 'f_')}"
-    " FROM rate_latest r JOIN firm_latest f ON f.firmid = r.firmid",
-    "dual_role_lookup": with_ctes(RAW_RATES, RAW_LOC, RATE_LATEST, LOC_LATEST)
-    + """ SELECT r.firmid, r.uniqueid, r.recloc, r.delloc, lr.kqtyloc AS lr_kqtyloc, ld.kqtyloc AS ld_kqtyloc
-  FROM rate_latest r
-  LEFT JOIN loc_latest lr ON lr.firmid = r.firmid AND lr.loc = r.recloc
-  LEFT JOIN loc_latest ld ON ld.firmid = r.firmid AND ld.loc = r.delloc""",
+    " FROM paths r JOIN contracts f ON f.firmid = r.firmid",
+    "dual_role_lookup": with_ctes(RAW_RATES, RAW_LOC, PATHS, POINTS)
+    + f""" SELECT p.firmid, p.uniqueid, p.recloc, p.delloc, {point_qty("recloc")} AS lr_kqtyloc, {point_qty("delloc")} AS ld_kqtyloc
+  FROM paths p""",
     "flagship": FLAGSHIP,
     "conform_columns": FLAGSHIP,
     "blank_to_null": _F
@@ -355,17 +318,10 @@ ORACLE: dict[str, str] = {
   FROM flagship""",
     "table_snapshot": SNAPSHOT_CTES + ' SELECT "schema", name, row_count FROM snapshot',
     "snapshot_total": SNAPSHOT_CTES + " SELECT CAST(sum(row_count) AS BIGINT) AS total_rows, count(*) AS n_tables FROM snapshot",
-    "missing_sources": MISSING_SOURCES,
     "source_readiness": READINESS,
-    "run_summary": FLAGSHIP_CTES
-    + " SELECT 'succeeded' AS status, CAST(1 AS BIGINT) AS n_results, count(*) AS rows_affected FROM flagship",
-    "any_failed": FLAGSHIP_CTES
-    + " SELECT count(*) AS total_rows, CAST(1 AS BIGINT) AS n_results, FALSE AS any_failed FROM flagship",
-    "header_orphans": with_ctes(RAW_FIRM, RAW_RATES, FIRM_LATEST, RATE_LATEST)
-    + " SELECT r.* FROM rate_latest r WHERE NOT EXISTS (SELECT 1 FROM firm_latest f WHERE f.firmid = r.firmid)",
-    "superseded_versions": with_ctes(RAW_RATES)
-    + f""" SELECT {RATE_COLS} FROM (
-    SELECT *, row_number() OVER (PARTITION BY firmid, uniqueid
-      ORDER BY ingestion_timestamp DESC NULLS FIRST, bronze_row_id DESC NULLS FIRST) AS rn
-    FROM gtran_rates WHERE ingestion_status = 'LOADED') x WHERE rn > 1""",
+    "header_orphans": with_ctes(RAW_FIRM, RAW_RATES, CONTRACTS, PATHS)
+    + " SELECT r.* FROM paths r WHERE NOT EXISTS (SELECT 1 FROM contracts f WHERE f.firmid = r.firmid)",
+    "superseded_versions": with_ctes(RAW_RATES, PATHS)
+    + f""" SELECT {RATE_COLS} FROM gtran_rates WHERE ingestion_status = 'LOADED'
+  EXCEPT ALL SELECT {RATE_COLS} FROM paths""",
 }

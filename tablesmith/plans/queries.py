@@ -22,7 +22,7 @@ from tablesmith.plans import build as B
 from tablesmith.plans import firm_transport_rate as FTR
 from tablesmith.plans import report as R
 from tablesmith.plans.tabledef import default_definitions
-from tablesmith.session import apply_required_conf, checkpoint_root
+from tablesmith.session import checkpoint_root
 from tablesmith.sources.adapter import RAW_TABLES, raw_tables
 from tablesmith.sources.store import Store
 
@@ -36,7 +36,6 @@ LOC_KEY = ["firmid", "loc"]
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    apply_required_conf(spark)
     return raw_tables(spark, sf_dir)
 
 
@@ -176,15 +175,15 @@ def ts_to_date(raw):
         "firmid",
         "bronze_row_id",
         C.ts_to_date("ingestion_timestamp").alias("ingestion_date"),
-        C.ts_to_date(C.strict_timestamp_sql("kenddatetime")).alias("contract_end_date"),
+        C.instant_to_date(C.strict_timestamp_sql("kenddatetime")).alias("contract_end_date"),
     )
 
 
 @on_raw
 def term_days(raw):
     firm = raw["gtran_firm"]
-    begin = C.ts_to_date_sql(C.strict_timestamp_sql("kbegdatetime"))
-    end = C.ts_to_date_sql(C.strict_timestamp_sql("kenddatetime"))
+    begin = C.instant_to_date_sql(C.strict_timestamp_sql("kbegdatetime"))
+    end = C.instant_to_date_sql(C.strict_timestamp_sql("kenddatetime"))
     return firm.select("firmid", "bronze_row_id", C.days_between(begin, end).alias("contract_term_days"))
 
 
@@ -219,7 +218,8 @@ def _split_sources(raw):
     ts = F.col("ingestion_timestamp")
     cutoff = F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
     before = dict(raw, gtran_rates=raw["gtran_rates"].filter(ts < cutoff))
-    batch = dict(raw, gtran_rates=raw["gtran_rates"].filter(ts >= cutoff))
+    # an unknown ingestion time counts as new, as it does among versions
+    batch = dict(raw, gtran_rates=raw["gtran_rates"].filter((ts >= cutoff) | ts.isNull()))
     return before, batch
 
 
@@ -255,12 +255,10 @@ def null_key_counts(raw):
 
 
 # ---------------------------------------------------------- store reports
-def _query_store(spark, sf_dir, with_raw_views=True, root=None) -> Store:
-    apply_required_conf(spark)
+def _query_store(spark, sf_dir, root=None) -> Store:
     store = Store(spark, root or checkpoint_root(spark), locations={"bronze": sf_dir})
-    if with_raw_views:
-        for name, df in raw_tables(spark, sf_dir).items():
-            store.register_view("bronze", name, df)
+    for name, df in raw_tables(spark, sf_dir).items():
+        store.register_view("bronze", name, df)
     return store
 
 
@@ -274,48 +272,22 @@ def snapshot_total(spark, sf_dir):
     return R.snapshot_total(R.table_snapshot(store, store.raw_schema))
 
 
-def missing_sources(spark, sf_dir):
-    """Against the raw folder as stored: the raw tables are derived, not
-    stored there, so all three are reported missing."""
-    store = _query_store(spark, sf_dir, with_raw_views=False)
-    return R.missing_sources(store, default_definitions())
-
-
 def source_readiness(spark, sf_dir):
     store = _query_store(spark, sf_dir)
     return R.source_readiness(store, default_definitions())
 
 
 # ------------------------------------------------------------- run results
-_RESULTS: dict = {}
-
-
-def _build_results(spark, sf_dir) -> list:
-    """Build every definition once into a fresh scratch store (cached per
-    session and folder), then remove the scratch tables."""
-    key = (id(spark), sf_dir)
-    if key not in _RESULTS:
-        root = f"{checkpoint_root(spark).rstrip('/')}/query-store-{uuid.uuid4().hex}"
-        store = _query_store(spark, sf_dir, root=root)
-        defs = default_definitions()
-        results = B.build_all(store, defs)
-        for d in defs.values():
-            store.drop(store.curated_schema, d.table)
-        _RESULTS[key] = [(r.name, r.status, r.rows, r.duration_s, r.error) for r in results]
-    return [B.RunResult(*r) for r in _RESULTS[key]]
-
-
 def load_row_count(spark, sf_dir):
-    res = B.results_frame(spark, _build_results(spark, sf_dir))
-    return res.select("name", "status", "rows")
-
-
-def run_summary(spark, sf_dir):
-    return B.run_summary(B.results_frame(spark, _build_results(spark, sf_dir)))
-
-
-def any_failed(spark, sf_dir):
-    return B.run_totals(B.results_frame(spark, _build_results(spark, sf_dir)))
+    """Build every definition into a scratch store and remove it again; what
+    the loads reported."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/query-store-{uuid.uuid4().hex}"
+    store = _query_store(spark, sf_dir, root=root)
+    try:
+        results = B.build_all(store, default_definitions())
+    finally:
+        store.discard(root)
+    return B.results_frame(spark, results).select("name", "status", "rows")
 
 
 QUERIES = {
@@ -344,10 +316,7 @@ QUERIES = {
     "null_key_counts": null_key_counts,
     "table_snapshot": table_snapshot,
     "snapshot_total": snapshot_total,
-    "missing_sources": missing_sources,
     "source_readiness": source_readiness,
-    "run_summary": run_summary,
-    "any_failed": any_failed,
     "header_orphans": header_orphans,
     "superseded_versions": superseded_versions,
 }

@@ -44,9 +44,10 @@ FIRM_EXPRS = [
     "o_orderstatus AS ratesch",
     "concat('S', CAST(o_orderkey AS STRING)) AS svcreqk",
     "CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE CAST(CAST(o_totalprice + ver AS DECIMAL(18,2)) AS STRING) END AS kqtyk",
-    "CAST(CAST(o_orderdate AS DATE) AS STRING) AS kbegdatetime",
+    "concat(CAST(CAST(o_orderdate AS DATE) AS STRING), CASE WHEN o_orderkey % 3 = 1 THEN ' 07:30:05' ELSE '' END) AS kbegdatetime",
     "CASE WHEN o_orderkey % 13 = 0 THEN '' "
-    "ELSE CAST(date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 400 AS INT)) AS STRING) END AS kenddatetime",
+    "ELSE concat(CAST(date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 400 AS INT)) AS STRING), "
+    "CASE WHEN o_orderkey % 5 = 2 THEN ' 23:45:10' ELSE '' END) END AS kenddatetime",
     "o_orderstatus AS kstat",
     "concat('status ', o_orderstatus) AS kstatdesc",
     "CASE o_orderkey % 4 WHEN 0 THEN 'Y' WHEN 1 THEN 'n' WHEN 2 THEN '' ELSE 'X' END AS ngtdrateind",
@@ -59,7 +60,7 @@ FIRM_EXPRS = [
 ]
 
 RATE_EXPRS = [
-    "CAST(l_orderkey AS STRING) AS firmid",
+    "CASE WHEN l_orderkey % 97 <> 0 THEN CAST(l_orderkey AS STRING) END AS firmid",
     "CAST(l_linenumber AS STRING) AS uniqueid",
     "CASE WHEN l_partkey % 17 = 0 THEN CAST(NULL AS STRING) ELSE CAST(l_suppkey AS STRING) END AS recloc",
     "concat('rec ', CAST(l_suppkey AS STRING)) AS reclocname",
@@ -78,22 +79,23 @@ RATE_EXPRS = [
     "CAST(CAST(l_shipdate AS DATE) AS STRING) AS seasnlst",
     "CASE WHEN l_suppkey % 6 = 0 THEN '' ELSE CAST(date_add(CAST(l_shipdate AS DATE), 30) AS STRING) END AS seasnlend",
     "CAST(CAST(l_shipdate AS DATE) AS STRING) AS kentbegdatetime",
-    "'' AS kentenddatetime",
+    "CASE WHEN l_suppkey % 4 = 0 THEN '' "
+    "ELSE concat(CAST(date_add(CAST(l_shipdate AS DATE), 90) AS STRING), ' 12:00:00') END AS kentenddatetime",
     "CAST(CAST(l_shipdate AS DATE) AS STRING) AS posteddatetime",
     "'star' AS source_system",
     "'lineitem' AS source_api",
     "concat('run-', CAST(l_suppkey % 3 AS STRING)) AS pipeline_run_id",
     "concat('hr', CAST(l_orderkey AS STRING), '-', CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING)) AS hash_key",
     "CASE WHEN l_partkey % 20 = 0 THEN 'FAILED' ELSE 'LOADED' END AS ingestion_status",
-    "l_shipdate AS ingestion_timestamp",
+    "CASE WHEN l_suppkey % 23 <> 0 THEN l_shipdate END AS ingestion_timestamp",
     "l_suppkey * 1000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS bronze_row_id",
 ]
 
 LOC_EXPRS = [
     "CAST(l_orderkey AS STRING) AS firmid",
-    "CAST(l_suppkey AS STRING) AS loc",
+    "CASE WHEN l_suppkey % 29 <> 0 THEN CAST(l_suppkey AS STRING) END AS loc",
     "CASE WHEN l_linenumber = 3 THEN '' ELSE CAST(CAST(l_quantity AS DECIMAL(18,2)) AS STRING) END AS kqtyloc",
-    "'LOADED' AS ingestion_status",
+    "CASE WHEN l_partkey % 25 = 0 THEN 'FAILED' ELSE 'LOADED' END AS ingestion_status",
     "l_shipdate AS ingestion_timestamp",
     "l_partkey * 1000 + l_linenumber AS bronze_row_id",
 ]
