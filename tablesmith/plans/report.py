@@ -10,16 +10,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesmith.plans.gate import BLOCKED, READY, SKIP, gate  # noqa: F401 — the statuses are part of this module's interface
 from tablesmith.plans.tabledef import TableDef
 from tablesmith.sources.store import Store
 
-# Readiness statuses.
-BLOCKED, SKIP, READY = "BLOCKED", "SKIP", "READY"
-
 SNAPSHOT_SCHEMA = T.StructType(
     [
         T.StructField("schema", T.StringType(), False),
@@ -36,13 +34,12 @@ def table_snapshot(store: Store, schema: str) -> DataFrame:
     names = store.tables(schema) if store.schema_exists(schema) else []
     if not names:
         return spark.createDataFrame([], SNAPSHOT_SCHEMA)
-    parts = [
-        store.read(schema, n).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(schema).alias("schema"), F.lit(n).alias("name"), F.col("row_count")
-        )
-        for n in names
-    ]
-    return reduce(DataFrame.unionByName, parts).orderBy("name")
+    return reduce(DataFrame.unionByName, [_counted(store, schema, n) for n in names]).orderBy("name")
+
+
+def _counted(store: Store, schema: str, name: str) -> DataFrame:
+    count = store.read(schema, name).agg(F.count(F.lit(1)).alias("row_count"))
+    return count.select(F.lit(schema).alias("schema"), F.lit(name).alias("name"), "row_count")
 
 
 def snapshot_total(snapshot: DataFrame) -> DataFrame:
@@ -53,49 +50,37 @@ def snapshot_total(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def _required(store: Store, defs: Mapping[str, TableDef]) -> DataFrame:
-    rows = [
-        (name, i, src, store.exists(store.curated_schema, d.table))
-        for name, d in sorted(defs.items())
-        for i, src in enumerate(d.sources)
-    ]
-    schema = "definition string, source_order int, source string, target_exists boolean"
-    return store.spark.createDataFrame(rows, schema)
-
-
 def missing_sources(store: Store, defs: Mapping[str, TableDef]) -> DataFrame:
     """``(definition, source)`` for each required raw source that is absent,
     schema-qualified, in declared order."""
-    present = store.spark.createDataFrame([(n,) for n in store.tables(store.raw_schema)], "name string")
-    req = _required(store, defs)
-    return (
-        req.join(present, req.source == present.name, "left_anti")
-        .orderBy("definition", "source_order")
-        .select("definition", F.concat(F.lit(store.raw_schema + "."), F.col("source")).alias("source"))
-    )
+    rows = [(name, source) for name, d in sorted(defs.items()) for source in gate(store, d).absent]
+    return store.spark.createDataFrame(rows, "definition string, source string")
 
 
 def source_readiness(store: Store, defs: Mapping[str, TableDef]) -> DataFrame:
     """Per definition and source: status, the source's row count (NULL when
-    missing) and whether the target exists.
+    missing) and whether the target exists. A definition without sources has
+    one row without a source.
 
-    Status: ``BLOCKED`` if any source is missing, else ``SKIP`` if the target
-    exists (a load-once run would skip it), else ``READY``.
+    The status is the one the build decides by (:mod:`tablesmith.plans.gate`).
+    Each required source is counted once; other tables are not read.
     """
-    req = _required(store, defs)
-    counts = table_snapshot(store, store.raw_schema).select(F.col("name"), F.col("row_count"))
-    j = req.join(counts, req.source == counts.name, "left")
-    per_def = Window.partitionBy("definition")
-    blocked = F.max(F.col("row_count").isNull().cast("int")).over(per_def) == 1
-    status = F.when(blocked, F.lit(BLOCKED)).when(F.col("target_exists"), F.lit(SKIP)).otherwise(F.lit(READY))
-    return j.select(
-        "definition",
-        status.alias("status"),
-        F.concat(F.lit(store.raw_schema + "."), F.col("source")).alias("source"),
-        F.col("row_count"),
-        "target_exists",
-        "source_order",
-    ).orderBy("definition", "source_order").drop("source_order")
+    rows, needed = [], {}
+    for name, d in sorted(defs.items()):
+        g = gate(store, d)
+        for i, source in enumerate(d.sources or [None]):
+            rows.append((name, g.status, source, g.target_exists, i))
+            if source is not None and f"{store.raw_schema}.{source}" not in g.absent:
+                needed.setdefault(source.lower(), source)
+    required = store.spark.createDataFrame(
+        rows, "definition string, status string, source string, target_exists boolean, source_order int"
+    )
+    counts = store.spark.createDataFrame([], SNAPSHOT_SCHEMA)
+    if needed:
+        counts = reduce(DataFrame.unionByName, [_counted(store, store.raw_schema, s) for s in needed.values()])
+    joined = required.join(counts, F.lower("source") == F.lower("name"), "left").orderBy("definition", "source_order")
+    qualified = F.concat(F.lit(store.raw_schema + "."), F.col("source")).alias("source")
+    return joined.select("definition", "status", qualified, "row_count", "target_exists")
 
 
 def inspect(store: Store, defs: Mapping[str, TableDef]) -> dict:

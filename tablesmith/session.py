@@ -75,17 +75,17 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for materialized intermediate data.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when that is unset
-    (local runs, tests) fall back to a folder next to the warehouse, which
-    on a cluster is shared storage as well.
+    Uses the cluster's ``spark.checkpoint.dir``. When that is unset, only a
+    local session may fall back to a folder next to the warehouse: on a
+    cluster it could be a folder that other executors do not see.
     """
-    root = spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
-        root = warehouse.rstrip("/") + "/_checkpoints"
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if not _URI.match(root) and not root.startswith("/"):
+        root = os.path.abspath(root)
     return root
 
 
@@ -99,8 +99,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     current = sc.getCheckpointDir()
     if current:
         return current
-    root = spark.conf.get("spark.checkpoint.dir", None) or fallback or checkpoint_root(spark)
-    if not _URI.match(root) and not root.startswith("/"):
-        root = os.path.abspath(root)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    root = fallback if fallback and not configured else checkpoint_root(spark)
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
