@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,18 +54,13 @@ def own_exchange(col: str):
     return F.expr(f"`{col}` ^ 0L")
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-    return tuple(row)
-
-
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         e.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
     least = both.groupBy("u").agg(F.min("v").alias("m"))
     least = least.select(own_exchange("u").alias("u"), F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+    return both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -80,9 +76,10 @@ def _small_star(e: DataFrame) -> DataFrame:
 def components(edges: DataFrame, a: str, b: str, scratch: Scratch) -> DataFrame:
     """Connected components of an undirected graph of long ids.
 
-    Alternates the large-star and small-star steps until nothing changes
-    (Kiveris et al., Connected Components in MapReduce and Beyond, 2014); each
-    round is two joins and aggregations, and only two numbers reach the driver.
+    Alternates the large-star and small-star steps until all edges lead to the
+    root of a star (Kiveris et al., Connected Components in MapReduce and
+    Beyond, 2014); each round is two joins and aggregations, and only one
+    number reaches the driver.
 
     Returns ``(id, component_id)`` for each id that is not the smallest of its
     component; ids without edges and the smallest ones are their own component.
@@ -92,11 +89,29 @@ def components(edges: DataFrame, a: str, b: str, scratch: Scratch) -> DataFrame:
         .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
         .distinct()
     )
-    state = _state(e)
-    while state[0]:
+    while not _is_stars(e):
         e2 = scratch.keep(_small_star(_large_star(e)))
         scratch.drop(e)
-        e, before, state = e2, state, _state(e2)
-        if state == before:
-            break
+        e = e2
     return e.select(F.col("hi").alias("id"), F.col("lo").alias("component_id"))
+
+
+def _is_stars(e: DataFrame) -> bool:
+    """No id leads to two others, or to one that leads on."""
+    ends = e.select(F.col("hi").alias("id"), F.lit(1).alias("leads")).unionByName(
+        e.select(F.col("lo").alias("id"), F.lit(0).alias("leads")).distinct()
+    )
+    wrong = ends.groupBy("id").agg(F.sum("leads").alias("n"), F.count(F.lit(1)).alias("rows")).where("n > 0 and rows > 1")
+    return wrong.isEmpty()
+
+
+def join_forest(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the components of linked places, in memory; ``parent`` points to
+    the smallest place of each."""
+    while len(i):
+        x, y = parent[i], parent[j]
+        np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
+        while (parent != parent[parent]).any():
+            parent[:] = parent[parent]
+        left = parent[i] != parent[j]
+        i, j = i[left], j[left]

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablesmith.llm.common import Scratch, components, own_exchange
+from tablesmith.llm.common import Scratch, components, join_forest, own_exchange
 
 THRESHOLD = 0.98
 TILE = 2048
@@ -83,18 +83,6 @@ def links(a: Tile, b: Tile, same: bool, threshold: float) -> Iterator[tuple[np.n
         yield i[near], j[near]
 
 
-def _forest(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    """Join the components of linked places; ``parent`` points to the smallest."""
-    while len(i):
-        x, y = parent[i], parent[j]
-        low, high = np.minimum(x, y), np.maximum(x, y)
-        np.minimum.at(parent, high, low)
-        while (parent != parent[parent]).any():
-            parent[:] = parent[parent]
-        left = parent[i] != parent[j]
-        i, j = i[left], j[left]
-
-
 def _product(x: Tile, y: Tile, same: bool, threshold: float) -> pd.DataFrame:
     n = len(x.ids)
     counts = np.zeros(n + (0 if same else len(y.ids)), dtype=np.int64)
@@ -103,7 +91,7 @@ def _product(x: Tile, y: Tile, same: bool, threshold: float) -> pd.DataFrame:
     for i, j in links(x, y, same, threshold):
         np.add.at(counts, i, y.copies[j])
         np.add.at(counts, j + shift, x.copies[i])
-        _forest(parent, i, j + shift)
+        join_forest(parent, i, j + shift)
     ids = x.ids if same else np.concatenate([x.ids, y.ids])
     some = np.flatnonzero(counts)
     return pd.DataFrame({"rep": ids[some], "links": counts[some], "root": ids[parent[some]]})

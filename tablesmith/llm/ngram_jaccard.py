@@ -13,12 +13,13 @@ Linked sets share at least one. A set also signs for the next larger band if a
 partner may lie there. The join is exact: signatures only propose pairs, the
 sets decide.
 
-Equal sets are one class, represented by the smallest id. Classes that share a
-signature form a group. Pairs inside a group are never all emitted: in each
-round the smallest ids of a group are compared with the others, links are
-turned into components, and a group whose members all lie in one component is
-finished. So a group of thousands of near copies costs about one comparison
-per member, while no link that would join two components is skipped.
+Equal sets are one class, represented by the smallest id. Classes that share
+signatures, directly or through others, form a cluster. Inside a cluster all
+pairs are compared, but no pairs are emitted: its sets are dealt to tiles of
+about ``TILE`` sets, a task multiplies the incidence matrices of two tiles, and
+returns per set the number of documents linked to it and one edge of a
+spanning forest of the links. A group of thousands of near copies costs rows
+in proportion to its size, and a task's memory is bounded by two tiles.
 
 Shingles are compared as 64-bit hashes of 64-bit word hashes; sets as a
 128-bit combination of them.
@@ -35,18 +36,20 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablesmith.llm.common import Scratch, components, own_exchange
+from tablesmith.llm.common import Scratch, components, join_forest, own_exchange
 
 WORDS = 3
 PERCENT = 90
 K2, N2 = 1, 3
-PIVOTS = 32
+TILE = 512
+COLUMNS = 4096  # of the incidence matrices at a time
 CHUNK_ROWS = 512
 CACHE_WORDS = 500_000
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -161,77 +164,136 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """``cluster, tiles, id, copies`` and the set of each text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK_ROWS):
                 part = batch.slice(at, CHUNK_ROWS)
-                items = [shingles(t, words, hashes).view(np.int64) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(items, pa.list_(pa.int64()))], names=["id", "items"])
-
-    return docs.mapInArrow(run, "id long, items array<long>")
-
+                items = [shingles(t, words, hashes).view(np.int64) for t in part.column(4).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(items, pa.list_(pa.int64()))], names=["cluster", "tiles", "id", "copies", "items"])
+
+    return docs.select("cluster", "tiles", "id", "copies", "text").mapInArrow(run, "cluster long, tiles long, id long, copies long, items array<long>")
+
+
+def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of all sets of ``a`` with all of ``b``."""
+    lengths = [len(x) for x in (*a, *b)]
+    _, column = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    shared = np.bincount(column)[column] > 1
+    row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        s, e = np.searchsorted(column, [first, first + COLUMNS])
+        m = np.zeros((len(lengths), COLUMNS), dtype=np.float32)
+        m[row[s:e], column[s:e] - first] = 1
+        out += m[: len(a)] @ m[len(a) :].T
+    return out.astype(np.int64)
+
+
+def _tile_links(a: "Tile", b: "Tile", same: bool, percent: int) -> pd.DataFrame:
+    """Linked documents and a forest edge for each set of two tiles."""
+    sizes_a, sizes_b = (np.array([len(x) for x in t.sets], dtype=np.int64) for t in (a, b))
+    common = common_counts(a.sets, b.sets)
+    i, j = np.nonzero(100 * common >= percent * (sizes_a[:, None] + sizes_b[None] - common))
+    if same:
+        i, j = i[i < j], j[i < j]
+    shift = 0 if same else len(a.ids)
+    ids = a.ids if same else np.concatenate([a.ids, b.ids])
+    links, parent = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+    np.add.at(links, i, b.copies[j])
+    np.add.at(links, j + shift, a.copies[i])
+    join_forest(parent, i, j + shift)
+    some = np.flatnonzero(links)
+    return pd.DataFrame({"id": ids[some], "links": links[some], "root": ids[parent[some]]})
+
+
+class Tile:
+    def __init__(self, ids: np.ndarray, copies: np.ndarray, sets: list[np.ndarray]):
+        self.ids, first = np.unique(ids, return_index=True)  # rows that repeat an id are one
+        self.copies, self.sets = copies[first], [sets[f] for f in first.tolist()]
+
+
+def _from_rows(rows: pd.DataFrame) -> Tile:
+    return Tile(rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64), list(rows["items"]))
+
+
+def _pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    t = _from_rows(rows)
+    lengths = np.array([len(x) for x in t.sets], dtype=np.int64)
+    packed = {k: [v.tobytes()] for k, v in (("ids", t.ids), ("copies", t.copies), ("lengths", lengths), ("items", np.concatenate(t.sets)))}
+    return pd.DataFrame({"cluster": [key[0]], "tile": [key[1]], **packed})
+
+
+def _unpack(ids: bytes, copies: bytes, lengths: bytes, items: bytes) -> Tile:
+    ids, copies, lengths, items = (np.frombuffer(x, dtype=np.int64) for x in (ids, copies, lengths, items))
+    return Tile(ids, copies, np.split(items, np.cumsum(lengths)[:-1]))
+
+
+def _links(sets: DataFrame, percent: int) -> DataFrame:
+    """``id, links, root`` from all pairs of tiles of each cluster."""
+    schema = "id long, links long, root long"
+
+    def inside(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        tile = _from_rows(rows)
+        return _tile_links(tile, tile, True, percent)
+
+    small = sets.where("tiles = 1").groupBy("cluster").applyInPandas(inside, schema)
+    large = sets.where("tiles > 1").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")))
+    columns = ["ids", "copies", "lengths", "items"]
+    packed = large.groupBy("cluster", "tile").applyInPandas(_pack, "cluster long, tile long, ids binary, copies binary, lengths binary, items binary")
+    last = large.select("cluster", "tiles").distinct()
+    tiles = large.select("cluster", "tile").distinct()
+    pairs = tiles.join(last, "cluster").withColumn("other", F.explode(F.expr("sequence(tile, tiles - 1)"))).select("cluster", "tile", "other")
+    second = packed.select("cluster", F.col("tile").alias("other"), *(F.col(c).alias(f"{c}2") for c in columns))
+    both = pairs.join(packed, ["cluster", "tile"]).join(second, ["cluster", "other"])
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                x = _unpack(*(row[c] for c in columns))
+                same = row["tile"] == row["other"]
+                y = x if same else _unpack(*(row[f"{c}2"] for c in columns))
+                yield pa.RecordBatch.from_pandas(_tile_links(x, y, same, percent), preserve_index=False)
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return (
-        pairs.join(left, "a").join(right, "b")
-        .withColumn("both", both)
-        .where(100 * F.col("both") >= percent * (F.size("x") + F.size("y") - F.col("both")))
-        .select("a", "b")
-    )
+    return small.unionByName(both.mapInArrow(across, schema))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
+    """``doc_id``, ``n_shingles``, ``n_links`` (other documents linked
+    directly, equal ones included) and ``component_id`` of every row."""
     scratch = Scratch(docs.sparkSession)
     stored = scratch.keep(_sets(docs, words, percent))
     key = ["n", "h1", "h2"]
     filled = stored.where("n > 0")
+    classes = scratch.keep(filled.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
     reps = filled.where("doc_id is not null").groupBy(*key).agg(F.min(F.struct("doc_id", "signatures")).alias("m"))
     signed = reps.select(F.col("m.doc_id").alias("id"), F.explode("m.signatures").alias("signature"))
-    # keep the signatures that two classes share
-    in_group = Window.partitionBy("signature")
-    groups = scratch.keep(
-        signed.withColumn("least", F.min("id").over(in_group)).withColumn("most", F.max("id").over(in_group))
-        .where("least < most").select("signature", "id")
+    # classes that share a signature lead to the smallest of them
+    least = F.min("id").over(Window.partitionBy("signature"))
+    shared = scratch.keep(signed.withColumn("least", least).where("id <> least").select("id", "least").distinct())
+    joined = components(shared, "id", "least", scratch)
+    members = joined.withColumnRenamed("component_id", "cluster")
+    members = members.unionByName(members.select(F.col("cluster").alias("id"), "cluster").distinct())
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))
+    sizes = sizes.select(own_exchange("cluster").alias("cluster"), "tiles")
+    placed = members.join(sizes, "cluster").join(classes.select(F.col("rep").alias("id"), "copies"), "id")
+    placed = scratch.keep(placed)
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(placed, "id")
+    sets = scratch.keep(_shingle_sets(texts, words))
+    found = scratch.keep(_links(sets, percent))
+    labels = components(found, "id", "root", scratch).withColumnRenamed("id", "rep")
+    links = found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
+    named = classes.join(labels, "rep", "left").join(links, "rep", "left").select(
+        "n", own_exchange("h1").alias("h1"), "h2", F.coalesce("component_id", "rep").alias("component_id"),
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+    )
+    out = stored.select("doc_id", *key).join(named, key, "left")
+    return out.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
     )
-    candidates = scratch.keep(groups.select("id").distinct())
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(candidates, "id", "left_semi")
-    sets = scratch.keep(_shingle_sets(texts, words).groupBy("id").agg(F.first("items").alias("items")))
-
-    links, labels, members = None, None, groups
-    ranked = Window.partitionBy("signature").orderBy("id")
-    while True:
-        # the first round compares with one pivot of a group, later ones with many
-        pivots = 1 if links is None else PIVOTS
-        placed = members if labels is None else members.join(labels, "id", "left")
-        placed = placed.withColumn("c", F.col("id") if labels is None else F.coalesce("component_id", "id"))
-        open_groups = (
-            placed.withColumn("least", F.min("c").over(in_group)).withColumn("most", F.max("c").over(in_group))
-            .where("least < most").select("signature", "id", "c").withColumn("rank", F.row_number().over(ranked))
-        )
-        open_groups = scratch.keep(open_groups)
-        if open_groups.isEmpty():
-            break
-        first = open_groups.where(F.col("rank") <= pivots).select("signature", F.col("id").alias("a"), F.col("c").alias("ca"))
-        pairs = (
-            first.join(open_groups, "signature").where("a < id and ca <> c")
-            .select("a", F.col("id").alias("b")).distinct()
-        )
-        found = _verified(pairs, sets, percent)
-        links = scratch.keep(found if links is None else links.unionByName(found))
-        labels = components(links, "a", "b", scratch)
-        members = open_groups.where(F.col("rank") > pivots).select("signature", "id")
-    classes = filled.groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    classes = classes.select("n", own_exchange("h1").alias("h1"), "h2", "rep")
-    if labels is not None:
-        classes = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-            "n", "h1", "h2", F.coalesce("component_id", "rep").alias("component_id")
-        )
-    else:
-        classes = classes.withColumnRenamed("rep", "component_id")
-    linked = stored.select("doc_id", *key).join(classes, key, "left")
-    return linked.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

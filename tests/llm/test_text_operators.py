@@ -113,11 +113,12 @@ def test_secret_query_and_redaction(spark):
 
 # -------------------------------------------------------------- n-gram join
 def brute_components(texts, words, percent):
+    """Set size, number of links and component of each text."""
     sets = []
     for t in texts:
         w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
         sets.append({tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set())
-    parent = list(range(len(sets)))
+    parent, links = list(range(len(sets))), [0] * len(sets)
 
     def root(x):
         while parent[x] != x:
@@ -128,13 +129,16 @@ def brute_components(texts, words, percent):
         for j in range(i):
             b = sets[j]
             if a and b and 100 * len(a & b) >= percent * len(a | b):
+                links[i] += 1
+                links[j] += 1
                 x, y = root(i), root(j)
                 parent[max(x, y)] = min(x, y)
-    return [(len(s), root(i)) for i, s in enumerate(sets)]
+    return [(len(s), links[i], root(i)) for i, s in enumerate(sets)]
 
 
-@pytest.mark.parametrize("words,percent", [(3, 90), (5, 80)])
-def test_join_equals_brute_force(spark, words, percent):
+@pytest.mark.parametrize("words,percent,tile", [(3, 90, 512), (3, 90, 2), (5, 80, 3)])
+def test_join_equals_brute_force(spark, monkeypatch, words, percent, tile):
+    monkeypatch.setattr(ngram_jaccard, "TILE", tile)  # small tiles: clusters of several tiles
     rng = random.Random(words)
     vocabulary = [f"w{i}" for i in range(400)]
     texts = [None, "", "  \t\n", "one", "One", "one two", "one two three", "ONE  two\nthree", "É a b", "é a b"]
@@ -148,25 +152,28 @@ def test_join_equals_brute_force(spark, words, percent):
             texts.append(" ".join(copy))
     rng.shuffle(texts)
     got = ngram_jaccard.jaccard_components(frame(spark, texts), words, percent).orderBy("doc_id").collect()
-    assert [(r["n_shingles"], r["component_id"]) for r in got] == brute_components(texts, words, percent)
+    assert [(r["n_shingles"], r["n_links"], r["component_id"]) for r in got] == brute_components(texts, words, percent)
 
 
-def test_join_finishes_groups_that_are_no_copies(spark, monkeypatch):
-    # all share a signature by a weak hash: rounds must still reach every pair
-    monkeypatch.setattr(ngram_jaccard, "PIVOTS", 2)
-    monkeypatch.setattr(ngram_jaccard.Bands, "signatures", lambda self, items: __import__("numpy").array([1, 2], dtype="int64"))
-    rng = random.Random(1)
-    vocabulary = [f"w{i}" for i in range(200)]
-    base = [[rng.choice(vocabulary) for _ in range(40)] for _ in range(5)]
-    texts = [" ".join(b[:-1] + [x]) for b in base for x in ("p", "q")] + [" ".join(rng.sample(vocabulary, 40)) for _ in range(5)]
-    sets = ngram_jaccard._sets(frame(spark, texts), 3, 90)  # the patched signatures do not reach workers
-    monkeypatch.setattr(ngram_jaccard, "_sets", lambda *a: sets.withColumn("signatures", __import__("pyspark").sql.functions.expr("array(1L, 2L)")))
-    got = ngram_jaccard.jaccard_components(frame(spark, texts), 3, 90).orderBy("doc_id").collect()
-    assert [(r["n_shingles"], r["component_id"]) for r in got] == brute_components(texts, 3, 90)
+def test_signatures_of_linked_sets_meet():
+    """Sets at the bound of the similarity share a signature, whatever differs."""
+    import numpy as np
+
+    rng, bands = np.random.default_rng(1), ngram_jaccard.Bands(90)
+    for n in [10, 11, 19, 40, 95, 96, 300, 1000]:
+        for _ in range(30):
+            a = rng.integers(0, 2**63, n).astype(np.uint64)
+            out = int(rng.integers(0, n))
+            for swapped in range(out, -1, -1):
+                b = np.concatenate([a[swapped:], rng.integers(0, 2**63, int(rng.integers(0, swapped + 1))).astype(np.uint64)])
+                both = n - swapped
+                if 100 * both >= 90 * (n + len(b) - both) and len(b) and swapped + len(b) > both:
+                    assert swapped == 0 and len(b) == n or set(bands.signatures(np.unique(a))) & set(bands.signatures(np.unique(b)))
+                    break
 
 
 def test_join_edges(spark):
     docs = spark.createDataFrame([(7, "a b c d"), (7, "a b c d"), (None, "a b c d"), (3, "a b c d"), (None, None)], "doc_id long, text string")
-    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_jaccard.jaccard_components(docs).collect()), key=str)
-    assert got == [(3, 2, 3), (7, 2, 3), (7, 2, 3), (None, 0, None), (None, 2, 3)]
+    got = sorted(((r["doc_id"], r["n_shingles"], r["n_links"], r["component_id"]) for r in ngram_jaccard.jaccard_components(docs).collect()), key=str)
+    assert got == [(3, 2, 3, 3), (7, 2, 3, 3), (7, 2, 3, 3), (None, 0, 0, None), (None, 2, 3, 3)]
     assert ngram_jaccard.jaccard_components(docs.limit(0)).collect() == []
