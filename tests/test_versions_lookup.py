@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from conftest import T0, raw_firm, raw_loc, raw_rates
 
 from tablesmith.operators.lookup import header_orphans, inner_header, lookup_as
@@ -155,3 +156,32 @@ def test_latest_and_superseded_partition_the_loaded_rows_with_ties(spark):
         assert sorted(str(r[0]) for r in latest) == ["None", "a", "b"]
         winners.add(tuple(sorted(map(str, latest))))
     assert len(winners) == 1  # the same choice for any partitioning
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "bigint", "double", "date", "timestamp", "timestamp_ntz", "decimal(12,2)"])
+def test_header_side_has_its_own_exchange_for_every_key_type(spark, kind):
+    from tablesmith.operators.lookup import inner_header
+
+    text = "2024-01-01" if "date" in kind or "timestamp" in kind else "7"
+    rows = spark.createDataFrame([(text, 1), (text, 2), (None, 3)], "k string, v int").selectExpr(f"CAST(k AS {kind}) AS k", "v")
+    header = rows.groupBy("k").count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = inner_header(rows, header, ["k"])
+        assert sorted(r.v for r in out.collect()) == [1, 2]
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert plan.count("Exchange hashpartitioning") == 3  # detail, aggregation, header
+        assert dict(out.dtypes)["h_k"] == kind
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_other_key_types_are_refused(spark):
+    from tablesmith.operators.lookup import inner_header
+
+    rows = spark.createDataFrame([(True, 1)], "k boolean, v int")
+    with pytest.raises(TypeError, match="skew_safe=False"):
+        inner_header(rows, rows.select("k"), ["k"])
+    assert inner_header(rows, rows.select("k"), ["k"], skew_safe=False).count() == 1
