@@ -283,7 +283,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     sizes = sizes.select(own_exchange("cluster").alias("cluster"), "tiles")
     placed = members.join(sizes, "cluster").join(classes.select(F.col("rep").alias("id"), "copies"), "id")
     placed = scratch.keep(placed)
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(placed, "id")
+    # the candidates have no size bound: the same merge join at every size, not a broadcast of few
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(placed.hint("merge"), "id")
     sets = scratch.keep(_shingle_sets(texts, words))
     found = scratch.keep(_links(sets, percent))
     labels = components(found, "id", "root", scratch).withColumnRenamed("id", "rep")
