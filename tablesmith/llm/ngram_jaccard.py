@@ -14,8 +14,14 @@ partner may lie there. The join is exact: signatures only propose pairs, the
 sets decide.
 
 Equal sets are one class, represented by the smallest id. Classes that share
-signatures, directly or through others, form a cluster. Inside a cluster all
-pairs are compared, but no pairs are emitted: its sets are dealt to tiles of
+signatures, directly or through others, form a cluster. At lower similarities
+signatures hold few elements, and passages that many documents share tie
+unrelated sets into large clusters. A sketch takes them apart first: element
+hashes flip the bits of a fixed-size bit set, so two sets whose sketches differ
+in more bits than their difference may have elements cannot link. The sketches
+of a cluster are compared in tiles by a matrix product, and the components of
+the pairs left are the final clusters. Inside these the sets themselves are
+compared, all pairs, but no pairs are emitted: its sets are dealt to tiles of
 about ``TILE`` sets, a task multiplies the incidence matrices of two tiles, and
 returns per set the number of documents linked to it and one edge of a
 spanning forest of the links. A group of thousands of near copies costs rows
@@ -49,6 +55,8 @@ WORDS = 3
 PERCENT = 90
 K2, N2 = 1, 3
 TILE = 512
+SKETCH_BITS = 2048
+SKETCH_TILE = 4096
 COLUMNS = 4096  # of the incidence matrices at a time
 CHUNK_ROWS = 512
 CACHE_WORDS = 500_000
@@ -82,6 +90,12 @@ def shingles(text: str | None, words: int, hashes: _WordHashes) -> np.ndarray:
     return np.unique(total)
 
 
+def sketch(items: np.ndarray) -> bytes:
+    """A bit set with the bit of each element's hash flipped."""
+    bits = np.bincount((_mix(items ^ _C1 ^ _C3) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
 class Bands:
     """Size bands, the difference bound of each, and the signatures."""
 
@@ -131,7 +145,7 @@ class Bands:
 
 
 def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id``, set size, 128-bit set hash and signatures; no shuffle."""
+    """``doc_id``, set size, 128-bit set hash, sketch and signatures; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, bands = _WordHashes(), Bands(percent)
@@ -140,12 +154,13 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 part = batch.slice(at, CHUNK_ROWS)
                 if len(hashes) > CACHE_WORDS:
                     hashes.clear()
-                sizes, first, second, signed = [], [], [], []
+                sizes, first, second, sketches, signed = [], [], [], [], []
                 for text in part.column(1).to_pylist():
                     items = shingles(text, words, hashes)
                     sizes.append(len(items))
                     first.append(int(_mix(items ^ _C1).sum(dtype=np.uint64).view(np.int64)))
                     second.append(int(np.bitwise_xor.reduce(_mix(items + _C3), initial=np.uint64(0)).view(np.int64)))
+                    sketches.append(sketch(items))
                     signed.append(bands.signatures(items) if len(items) else np.zeros(0, dtype=np.int64))
                 ends = np.cumsum([0, *map(len, signed)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -154,13 +169,14 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
                         pa.array(sizes, pa.int64()),
                         pa.array(first, pa.int64()),
                         pa.array(second, pa.int64()),
+                        pa.array(sketches, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(signed))),
                     ],
-                    names=["doc_id", "n", "h1", "h2", "signatures"],
+                    names=["doc_id", "n", "h1", "h2", "sketch", "signatures"],
                 )
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return ids.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, signatures array<long>")
+    return ids.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sketch binary, signatures array<long>")
 
 
 def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -263,37 +279,125 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     return small.unionByName(both.mapInArrow(across, schema))
 
 
+# ------------------------------------------------- clusters by sketches
+def _sketch_links(a: tuple, b: tuple, same: bool, percent: int) -> pd.DataFrame:
+    """Forest edges of the pairs that sizes and sketches do not rule out.
+
+    Linked sets of ``x`` and ``y`` elements differ in at most
+    ``(100 - percent) / (100 + percent) * (x + y)``, and their sketches in no
+    more bits. With bits as -1 and 1 a product counts equal less unequal bits.
+    """
+    (ids_a, n_a, bits_a), (ids_b, n_b, bits_b) = a, b
+    parent = np.arange(len(ids_a) + (0 if same else len(ids_b)))
+    shift = 0 if same else len(ids_a)
+    for at in range(0, len(ids_a), TILE):
+        rows = slice(at, at + TILE)
+        unequal = (SKETCH_BITS - bits_a[rows] @ bits_b.T) / 2
+        x, y = n_a[rows, None], n_b[None]
+        possible = ((100 + percent) * unequal <= (100 - percent) * (x + y)) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+        i, j = np.nonzero(possible)
+        i += at
+        if same:
+            i, j = i[i < j], j[i < j]
+        join_forest(parent, i, j + shift)
+    ids = ids_a if same else np.concatenate([ids_a, ids_b])
+    some = np.flatnonzero(parent != np.arange(len(parent)))
+    return pd.DataFrame({"id": ids[some], "root": ids[parent[some]]})
+
+
+def _sketch_tile(ids: np.ndarray, n: np.ndarray, sketches: bytes) -> tuple:
+    packed = np.frombuffer(sketches, dtype=np.uint8).reshape(len(ids), -1)
+    return ids, n, np.unpackbits(packed, axis=1).astype(np.float32) * 2 - 1
+
+
+def _possible(placed: DataFrame, percent: int) -> DataFrame:
+    """``id, root``: a spanning forest of what may link, from ``cluster, tiles, id, n, sketch``."""
+
+    def tile(rows: pd.DataFrame) -> tuple:
+        return _sketch_tile(rows["id"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), b"".join(rows["sketch"]))
+
+    def inside(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        t = tile(rows)
+        return _sketch_links(t, t, True, percent)
+
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        columns = {"ids": rows["id"].to_numpy(np.int64).tobytes(), "sizes": rows["n"].to_numpy(np.int64).tobytes(), "sketches": b"".join(rows["sketch"])}
+        return pd.DataFrame({"cluster": [key[0]], "tile": [key[1]], **{k: [v] for k, v in columns.items()}})
+
+    schema = "id long, root long"
+    small = placed.where("tiles = 1").groupBy("cluster").applyInPandas(inside, schema)
+    # tiles of sets of about one size: most pairs of tiles have sizes too different
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent * 1.000001)))  # a little wider than partners can be
+    large = placed.where("tiles > 1").withColumn("band", band)
+    bands = large.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / SKETCH_TILE).alias("need"))
+    before = Window.partitionBy("cluster").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = bands.withColumn("first", F.coalesce(F.sum("need").over(before), F.lit(0)))
+    tile_of = F.col("first") + F.pmod(F.xxhash64("id"), F.col("need"))
+    split = bands.select(own_exchange("cluster").alias("cluster"), "band", "need", "first")
+    dealt = large.join(split, ["cluster", "band"]).withColumn("tile", tile_of)
+    packed = dealt.groupBy("cluster", "tile").applyInPandas(pack, "cluster long, tile long, ids binary, sizes binary, sketches binary")
+    tiles = bands.select("cluster", "band", F.explode(F.expr("sequence(first, first + need - 1)")).alias("tile"))
+    right = bands.select("cluster", F.col("band").alias("band2"), F.explode(F.expr("sequence(first, first + need - 1)")).alias("other"))
+    near = tiles.withColumn("band2", F.explode(F.expr("array(band, band + 1)")))  # linked sizes are in one or in neighbouring bands
+    pairs = near.join(right, ["cluster", "band2"]).where("tile <= other").select("cluster", "tile", "other")
+    columns = ["ids", "sizes", "sketches"]
+    second = packed.select("cluster", F.col("tile").alias("other"), *(F.col(c).alias(f"{c}2") for c in columns))
+    both = pairs.join(packed, ["cluster", "tile"]).join(second, ["cluster", "other"])
+
+    def unpack(row: dict, end: str) -> tuple:
+        return _sketch_tile(*(np.frombuffer(row[c + end], dtype=np.int64) for c in columns[:2]), row[columns[2] + end])
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                x = unpack(row, "")
+                same = row["tile"] == row["other"]
+                yield pa.RecordBatch.from_pandas(_sketch_links(x, x if same else unpack(row, "2"), same, percent), preserve_index=False)
+
+    return small.unionByName(both.mapInArrow(across, schema))
+
+
+def _clusters(edges: DataFrame, a: str, b: str, tile: int, scratch: Scratch) -> DataFrame:
+    """``id, cluster, tiles`` of all ids with an edge."""
+    joined = components(edges, a, b, scratch).withColumnRenamed("component_id", "cluster")
+    members = joined.unionByName(joined.select(F.col("cluster").alias("id"), "cluster").distinct())
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
+    return members.join(sizes.select(own_exchange("cluster").alias("cluster"), "tiles"), "cluster")
+
+
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``n_links`` (other documents linked
     directly, equal ones included) and ``component_id`` of every row."""
     scratch = Scratch(docs.sparkSession)
-    stored = scratch.keep(_sets(docs, words, percent))
+    signed = scratch.keep(_sets(docs, words, percent))
     key = ["n", "h1", "h2"]
-    filled = stored.where("n > 0")
-    classes = scratch.keep(filled.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
+    stored = scratch.keep(signed.select("doc_id", *key))
+    filled = signed.where("n > 0")
+    classes = scratch.keep(
+        filled.groupBy(*key).agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sketch")).alias("m"), F.count(F.lit(1)).alias("copies"))
+        .select(*key, F.col("m.doc_id").alias("rep"), F.col("m.sketch").alias("sketch"), "copies")
+    )
     reps = filled.where("doc_id is not null").groupBy(*key).agg(F.min(F.struct("doc_id", "signatures")).alias("m"))
-    signed = reps.select(F.col("m.doc_id").alias("id"), F.explode("m.signatures").alias("signature"))
+    exploded = reps.select(F.col("m.doc_id").alias("id"), F.explode("m.signatures").alias("signature"))
     # classes that share a signature lead to the smallest of them
     least = F.min("id").over(Window.partitionBy("signature"))
-    shared = scratch.keep(signed.withColumn("least", least).where("id <> least").select("id", "least").distinct())
-    joined = components(shared, "id", "least", scratch)
-    members = joined.withColumnRenamed("component_id", "cluster")
-    members = members.unionByName(members.select(F.col("cluster").alias("id"), "cluster").distinct())
-    sizes = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))
-    sizes = sizes.select(own_exchange("cluster").alias("cluster"), "tiles")
-    placed = members.join(sizes, "cluster").join(classes.select(F.col("rep").alias("id"), "copies"), "id")
-    placed = scratch.keep(placed)
+    shared = scratch.keep(exploded.withColumn("least", least).where("id <> least").select("id", "least").distinct())
+    scratch.drop(signed)
+    by_id = classes.select(F.col("rep").alias("id"), "n", "copies", "sketch")
+    weak = _clusters(shared, "id", "least", SKETCH_TILE, scratch).join(by_id.drop("copies"), "id")
+    possible = scratch.keep(_possible(scratch.keep(weak), percent))
+    placed = scratch.keep(_clusters(possible, "id", "root", TILE, scratch).join(by_id.select("id", "copies"), "id"))
     # the candidates have no size bound: the same merge join at every size, not a broadcast of few
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(placed.hint("merge"), "id")
     sets = scratch.keep(_shingle_sets(texts, words))
     found = scratch.keep(_links(sets, percent))
     labels = components(found, "id", "root", scratch).withColumnRenamed("id", "rep")
     links = found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
-    named = classes.join(labels, "rep", "left").join(links, "rep", "left").select(
+    named = classes.drop("sketch").join(labels, "rep", "left").join(links, "rep", "left").select(
         "n", own_exchange("h1").alias("h1"), "h2", F.coalesce("component_id", "rep").alias("component_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
-    out = stored.select("doc_id", *key).join(named, key, "left")
+    out = stored.join(named, key, "left")
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "doc_id").alias("component_id"),

@@ -139,6 +139,7 @@ def brute_components(texts, words, percent):
 @pytest.mark.parametrize("words,percent,tile", [(3, 90, 512), (3, 90, 2), (5, 80, 3)])
 def test_join_equals_brute_force(spark, monkeypatch, words, percent, tile):
     monkeypatch.setattr(ngram_jaccard, "TILE", tile)  # small tiles: clusters of several tiles
+    monkeypatch.setattr(ngram_jaccard, "SKETCH_TILE", tile)
     rng = random.Random(words)
     vocabulary = [f"w{i}" for i in range(400)]
     texts = [None, "", "  \t\n", "one", "One", "one two", "one two three", "ONE  two\nthree", "É a b", "é a b"]
@@ -172,6 +173,16 @@ def test_signatures_of_linked_sets_meet():
                     break
 
 
+def test_sketches_bound_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for n in (3, 50, 900):
+        a, b = (rng.integers(0, 4 * n, n).astype(np.uint64) for _ in range(2))
+        bits = [np.unpackbits(np.frombuffer(ngram_jaccard.sketch(np.unique(x)), dtype=np.uint8)) for x in (a, b)]
+        assert (bits[0] != bits[1]).sum() <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
 def test_join_edges(spark):
     docs = spark.createDataFrame([(7, "a b c d"), (7, "a b c d"), (None, "a b c d"), (3, "a b c d"), (None, None)], "doc_id long, text string")
     got = sorted(((r["doc_id"], r["n_shingles"], r["n_links"], r["component_id"]) for r in ngram_jaccard.jaccard_components(docs).collect()), key=str)
