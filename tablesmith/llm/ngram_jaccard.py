@@ -385,12 +385,16 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     scratch.drop(signed)
     by_id = classes.select(F.col("rep").alias("id"), "n", "copies", "sketch")
     weak = _clusters(shared, "id", "least", SKETCH_TILE, scratch).join(by_id.drop("copies"), "id")
-    possible = scratch.keep(_possible(scratch.keep(weak), percent))
+    weak = scratch.keep(weak)
+    scratch.drop(shared)
+    possible = scratch.keep(_possible(weak, percent))
+    scratch.drop(weak)
     placed = scratch.keep(_clusters(possible, "id", "root", TILE, scratch).join(by_id.select("id", "copies"), "id"))
     # the candidates have no size bound: the same merge join at every size, not a broadcast of few
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(placed.hint("merge"), "id")
     sets = scratch.keep(_shingle_sets(texts, words))
     found = scratch.keep(_links(sets, percent))
+    scratch.drop(sets)
     labels = components(found, "id", "root", scratch).withColumnRenamed("id", "rep")
     links = found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
     named = classes.drop("sketch").join(labels, "rep", "left").join(links, "rep", "left").select(

@@ -288,6 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         df.update({r[0]: r[1] for r in seen.collect()})  # a row per chosen term
     idf = [math.log(1 + df[len(names) + 1] / max(1, df[t])) for t in range(len(names))]
     rows = _map(examples.select("doc_id", "toxic", "text"), counts, "doc_id long, toxic int, terms array<long>, counts array<long>").collect()
+    scratch.drop(examples)
     return Model(names, idf, sorted((r[0], r[1], dict(zip(r[2], r[3]))) for r in rows))
 
 
