@@ -186,9 +186,24 @@ def project(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"{sql} AS {name}" for name, sql in loaded_column_sql()])
 
 
+def rates_with_quantities(rate: DataFrame, loc: DataFrame) -> DataFrame:
+    """Latest rates with the quantities of both points.
+
+    Both lookups run on the key and the point codes only; the result is joined
+    back on the key, by which the latest rates are already partitioned, so the
+    wide rows are not shuffled for the lookups. Rates without a full key keep
+    no quantities: they have no header or stop the load.
+    """
+    narrow = rate.select("firmid", "uniqueid", "recloc", "delloc")
+    found = with_point_quantities(narrow, loc)
+    found = found.selectExpr("firmid AS __q_firmid", "uniqueid AS __q_uniqueid", "lr_kqtyloc", "ld_kqtyloc")
+    on = (rate["firmid"] == found["__q_firmid"]) & (rate["uniqueid"] == found["__q_uniqueid"])
+    return rate.join(found, on, "left").drop("__q_firmid", "__q_uniqueid")
+
+
 def assemble(firm: DataFrame, rate: DataFrame, loc: DataFrame) -> DataFrame:
     """The 42 loaded columns from the latest firm, rate and location rows."""
-    return project(with_point_quantities(rates_with_header(rate, firm), loc))
+    return project(rates_with_header(rates_with_quantities(rate, loc), firm))
 
 
 def build(sources: dict[str, DataFrame]) -> DataFrame:
