@@ -9,9 +9,12 @@ labelled URLs that were not counted: the score at which the two error rates
 together are smallest. URLs above it are allowed.
 
 All labelled URLs are counted: tasks count n-grams by hash, the counts are
-summed by a shuffle. The model keeps the contexts with the highest counts, at
-most ``MAX_GRAMS`` n-grams (the threshold on the count follows from the
-counts), so what is sent to the tasks has a fixed size bound.
+summed by a shuffle and all of them stay in a table of the shared folder, which
+grows with the URLs. To score, distinct URLs are dealt by hash into batches of
+about ``BATCH_SYMBOLS`` symbols; each batch asks once for each n-gram it holds,
+the requests are joined to the counts, and the batch is scored with what comes
+back. A frequent n-gram is asked for once per batch, not once per URL, and the
+join is one that adaptive execution can split.
 
 Defined results: a null URL or one without ``://`` has empty host and path and
 no rule; a null or empty URL has the score 0; without labelled URLs of both
@@ -34,7 +37,7 @@ from tablesmith.llm.common import Scratch
 #: (verdict, host, beginning of the path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 ORDER = 5
-MAX_GRAMS = 300_000
+BATCH_SYMBOLS = 32_768
 SMOOTHING = 2.0
 ALPHABET = 256
 BINS = 50  # calibration bins per unit of the score
@@ -114,62 +117,106 @@ def _count(urls: DataFrame) -> DataFrame:
     return counted.groupBy("gram").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
 
 
-class UrlModel:
+class Counts:
+    """The counts of some n-grams; those that are not there are 0."""
+
     def __init__(self, grams: np.ndarray, accepted: np.ndarray, rejected: np.ndarray):
         order = np.argsort(grams.view(np.uint64))
         self.grams = grams.view(np.uint64)[order]
         self.counts = np.stack([accepted[order], rejected[order]]).astype(np.float64)
 
-    def _lookup(self, hashes: np.ndarray) -> np.ndarray:
+    def lookup(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.grams):
+            return np.zeros((2, len(hashes)))
         at = np.minimum(np.searchsorted(self.grams, hashes), len(self.grams) - 1)
         return self.counts[:, at] * (self.grams[at] == hashes)
 
     def scores(self, urls: list[str | None]) -> np.ndarray:
         """Log-likelihood difference per symbol; 0 for empty URLs."""
-        if not urls or not len(self.grams) or not self.counts.sum(axis=1).all():
+        total = self.lookup(np.zeros(1, dtype=np.uint64))
+        if not urls or not total.all():
             return np.zeros(len(urls))
         flat, place, owner = _symbols(urls)
         grams = _grams(flat)
-        total = self._lookup(np.zeros(1, dtype=np.uint64))
-        p = (self._lookup(grams[0]) + 0.5) / (total + 0.5 * ALPHABET)
+        p = (self.lookup(grams[0]) + 0.5) / (total + 0.5 * ALPHABET)
         for n in range(1, ORDER + 1):
             context = np.concatenate([grams[n - 1][:1], grams[n - 1][:-1]])
-            seen = self._lookup(context) * (place >= n)
-            p = (self._lookup(grams[n]) * (place >= n) + SMOOTHING * p) / (seen + SMOOTHING)
+            seen = self.lookup(context) * (place >= n)
+            p = (self.lookup(grams[n]) * (place >= n) + SMOOTHING * p) / (seen + SMOOTHING)
         ratio = np.log(p[0] / p[1]) * (place > 0)
         lengths = np.bincount(owner, minlength=len(urls))
         out = np.bincount(owner, weights=ratio, minlength=len(urls)) / (lengths - 1)
         return np.where(lengths == 2, 0.0, out)
 
 
+def _asked(urls: list[str | None]) -> np.ndarray:
+    """The n-grams that ``Counts.scores`` looks up, and the gram 0."""
+    flat, place, _ = _symbols(urls)
+    return np.unique(np.concatenate([np.zeros(1, dtype=np.uint64), *(h[place >= n] for n, h in enumerate(_grams(flat)))]))
+
+
+class UrlModel:
+    """All counts, as a table ``gram, accepted, rejected`` of the shared folder."""
+
+    def __init__(self, counts: DataFrame):
+        self.counts = counts
+
+    def _counts(self, hashes: np.ndarray) -> Counts:
+        spark = self.counts.sparkSession
+        asked = spark.createDataFrame(pa.table({"gram": np.unique(hashes).view(np.int64)}))
+        rows = self.counts.join(asked, "gram").toPandas()  # of the given n-grams only
+        return Counts(rows["gram"].to_numpy(np.int64), rows["accepted"].to_numpy(np.int64), rows["rejected"].to_numpy(np.int64))
+
+    def _lookup(self, hashes: np.ndarray) -> np.ndarray:
+        return self._counts(hashes).lookup(hashes)
+
+    def scores(self, urls: list[str | None]) -> np.ndarray:
+        """Of a few URLs, on the driver; ``score_urls`` is for tables."""
+        return self._counts(_asked(urls)).scores(urls)
+
+
 def fit(labelled: DataFrame) -> UrlModel:
     """From rows ``(url, accepted 0 or 1)``."""
-    counts = Scratch(labelled.sparkSession).keep(_count(labelled))
-    total = F.col("accepted") + F.col("rejected")
-    least, kept = 1, 0
-    # one row per distinct count, the largest first: where the bound is reached
-    for n, grams in counts.groupBy(total.alias("n")).count().orderBy(F.desc("n")).limit(MAX_GRAMS).toLocalIterator():
-        kept += grams
-        if kept > MAX_GRAMS:
-            least = n + 1
-            break
-    rows = counts.where(total >= least).toPandas()
-    return UrlModel(rows["gram"].to_numpy(np.int64), rows["accepted"].to_numpy(), rows["rejected"].to_numpy())
+    return UrlModel(Scratch(labelled.sparkSession).keep(_count(labelled)))
+
+
+def score_urls(urls: DataFrame, model: UrlModel) -> DataFrame:
+    """``url, url_score`` of the distinct URLs of the column ``url`` that are not empty."""
+    scratch = Scratch(urls.sparkSession)
+    once = scratch.keep(urls.where("length(url) > 0").select("url").distinct())
+    symbols = once.agg(F.sum(F.length("url") + 2)).first()[0] or 0
+    batches = max(1, -(-symbols // BATCH_SYMBOLS))
+    dealt = once.select(F.pmod(F.xxhash64("url"), F.lit(batches)).alias("batch"), "url")
+
+    def ask(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        grams = _asked(rows.column("url").to_pylist()).view(np.int64)
+        return pa.table({"batch": np.full(len(grams), key[0].as_py(), dtype=np.int64), "gram": grams})
+
+    def answer(_: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        texts = rows.column("url").drop_null()
+        found = rows.filter(rows.column("gram").is_valid())
+        counts = Counts(*(found.column(c).to_numpy() for c in ("gram", "accepted", "rejected")))
+        return pa.table({"url": texts, "url_score": pa.array(counts.scores(texts.to_pylist()), pa.float64())})
+
+    asked = dealt.groupBy("batch").applyInArrow(ask, "batch long, gram long")
+    found = asked.join(model.counts, "gram").select("batch", F.lit(None).cast("string").alias("url"), "gram", "accepted", "rejected")
+    nothing = [F.lit(None).cast("long").alias(c) for c in ("gram", "accepted", "rejected")]
+    both = found.unionByName(dealt.select("batch", "url", *nothing))
+    scored = scratch.keep(both.groupBy("batch").applyInArrow(answer, "url string, url_score double"))
+    scratch.drop(once)
+    return scored
 
 
 def add_score(df: DataFrame, model: UrlModel) -> DataFrame:
     """All columns of ``df`` and ``url_score`` from the column ``url``."""
-    df = df.drop("url_score")
-    shared = df.sparkSession.sparkContext.broadcast(model)  # at most MAX_GRAMS n-grams
-    names = [*df.columns, "url_score"]
-    at = names.index("url")
+    return _with_score(df, score_urls(df, model))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = pa.array(shared.value.scores(batch.column(at).to_pylist()), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=names)
 
-    return df.mapInArrow(run, df.withColumn("url_score", F.lit(0.0)).schema)
+def _with_score(df: DataFrame, scored: DataFrame) -> DataFrame:
+    df = df.drop("url_score")
+    scored = scored.select(F.col("url").alias("url_scored"), F.col("url_score").alias("score_of_url"))
+    joined = df.join(scored, F.col("url") == F.col("url_scored"), "left")
+    return joined.select(*(df[c] for c in df.columns), F.coalesce("score_of_url", F.lit(0.0)).alias("url_score"))
 
 
 def threshold(scored: DataFrame) -> float:
@@ -197,6 +244,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     labelled = placed.where("ruled is not null and length(url) > 0").select("url", (F.col("ruled") == "allow").cast("int").alias("accepted"))
     calibrates = F.crc32("url") % 5 == 0
     model = fit(labelled.where(~calibrates))
-    cut = threshold(add_score(labelled.where(calibrates), model))
+    scored = score_urls(placed, model)
+    cut = threshold(_with_score(labelled.where(calibrates), scored))
     judged = F.coalesce("ruled", F.when(F.col("url_score") >= cut, "allow").otherwise("block"))
-    return add_score(placed, model).withColumn("verdict", judged).drop("ruled")
+    return _with_score(placed, scored).withColumn("verdict", judged).drop("ruled")

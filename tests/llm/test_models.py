@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -219,3 +220,40 @@ def test_model_is_a_distribution(spark):
     assert scores[0] > 0 > scores[1] and scores[2] == scores[3] == 0
     total = model._lookup(np.zeros(1, dtype=np.uint64))
     assert total[:, 0].tolist() == [10, 6]  # symbols and ends
+
+
+def test_no_gram_is_dropped_from_a_large_table(spark):
+    """Scores equal the formula over all counts, with more than 300,000 n-grams."""
+    rng = random.Random(3)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    urls = [f"http://a.net/{word('abcdefghijklmnopqr', 18)}" for _ in range(6000)] + [f"http://a.org/fr/{word('ijklmnopqrstuvwxyz', 18)}" for _ in range(6000)]
+    urls += [f"http://b.info/{u[-18:-3]}" for u in urls[::120]] + [urls[0], None, ""]
+    counts = ({}, {})  # of rejected and accepted URLs
+    for u in urls:
+        _, action = rule_of(*parts(u))
+        if action and zlib.crc32(u.encode()) % 5:
+            own, marked = counts[action == "allow"], ["^", *u, "$"]
+            for i in range(len(marked)):
+                for n in range(1, min(i + 1, url_filter.ORDER + 1) + 1):
+                    key = tuple(marked[i + 1 - n : i + 1])
+                    own[key] = own.get(key, 0) + 1
+                if i:
+                    own[()] = own.get((), 0) + 1
+    assert len(counts[0].keys() | counts[1].keys()) > 300_000
+
+    def log_likelihood(own, u):
+        marked, out = ["^", *u, "$"], 0.0
+        for i in range(1, len(marked)):
+            p = (own.get((marked[i],), 0) + 0.5) / (own[()] + 0.5 * url_filter.ALPHABET)
+            for n in range(1, min(i, url_filter.ORDER) + 1):
+                p = (own.get(tuple(marked[i - n : i + 1]), 0) + url_filter.SMOOTHING * p) / (own.get(tuple(marked[i - n : i]), 0) + url_filter.SMOOTHING)
+            out += math.log(p)
+        return out
+
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = url_filter.judge(df).collect()
+    assert sorted(r["page_id"] for r in rows) == list(range(len(urls)))
+    for r in rows:
+        u = r["url"]
+        want = (log_likelihood(counts[1], u) - log_likelihood(counts[0], u)) / (len(u) + 1) if u else 0
+        assert r["url_score"] == pytest.approx(want, abs=1e-9)
