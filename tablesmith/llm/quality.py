@@ -3,16 +3,20 @@
 The *content* view sees the text only: hashed words with what trails them, and
 shares of symbols, digits, repeated lines and the like. The *metadata* view
 sees the other columns only (language, source, number of characters). Each has
-a logistic classifier. In each round both are fitted, score a pool of
-unlabelled documents, and hand the ones they are surest of to the other view's
-training set as pseudo-labels. At the end each view is calibrated on labelled
-documents that neither was fitted on, and a logistic combination of the two
-calibrated views scores all documents.
-
-Labelled rows and the pool are bounded samples (``MAX_LABELLED``, ``POOL`` rows
-by the hash of their id), so fitting has a fixed size; all documents are scored
-in one pass without a shuffle. Rows whose crc32(doc_id) mod 3 is 1 are held out
-and never used in fitting.
+a logistic classifier, first fitted on the labelled rows. In each round both
+score all unlabelled documents that are not held out and hand the ones they are
+surest of to the other view's training set as pseudo-labels; then both are
+fitted on, also after the last round. At the end each view is calibrated on
+labelled documents that neither was fitted on, and a logistic combination of
+the two calibrated views scores all documents.
+
+Only the labelled rows are a bounded sample (``MAX_LABELLED`` by the hash of
+their id). The features of the unlabelled documents are kept in the shared
+folder; what goes to the driver are histograms of how sure the views are, which
+give the thresholds of a round, and gradients, both summed in Spark and of fixed
+size. Where a threshold falls among equally sure documents, the hash of the id
+decides. All documents are scored in one pass without a shuffle. Rows whose
+crc32(doc_id) mod 3 is 1 are held out and never used in fitting.
 
 Defined results: null texts have the features of the empty text; nulls in the
 metadata are values of their own; without labelled rows of both kinds every
@@ -33,17 +37,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesmith.llm.common import Scratch
 from tablesmith.llm.toxicity import held_out
 
 MAX_LABELLED = 6000
-POOL = 4000
 ROUNDS = 3
-HANDED = 0.05  # share of the pool that a view hands over in a round, at most
+HANDED = 0.05  # share of the unlabelled documents that a view hands over in a round, about
 SURE = 0.95
 WORD_BUCKETS = 4096
 META_BUCKETS = 512
 THRESHOLD = 0.5
 STEPS = 120
+SHARED_STEPS = 6  # over the handed documents, in each round
+BINS, BINS_PER_UNIT = 1000, 50  # of the log-odds from SURE on
 CHUNK_ROWS = 512
 CACHE_WORDS = 300_000
 _TAIL = re.compile(r"[^\w\s]+$")
@@ -123,15 +129,158 @@ class Rows:
         return np.bincount(self.at, self.value * r[self.row], minlength=self.size)
 
 
-def fit_logistic(x: Rows, y: np.ndarray, penalty: float = 1e-4) -> np.ndarray:
+class Logistic:
     """Weights and, last, the offset; accelerated gradient steps with AdaGrad scaling."""
-    w, seen = np.zeros(x.size + 1), np.full(x.size + 1, 1e-6)
-    for _ in range(STEPS):
-        r = 1 / (1 + np.exp(-(x.dot(w) + w[-1]))) - y
-        g = np.append(x.pull(r), r.sum()) / x.n + penalty * w * (np.arange(len(w)) < x.size)
-        seen += g * g
-        w -= 0.5 * g / np.sqrt(seen)
-    return w
+
+    def __init__(self, x: Rows, y: np.ndarray, penalty: float = 1e-4):
+        self.x, self.y, self.penalty = x, y, penalty
+        self.w, self.seen = np.zeros(x.size + 1), np.full(x.size + 1, 1e-6)
+        for _ in range(STEPS):
+            self.step(np.zeros(x.size + 1), 0)
+
+    def step(self, more: np.ndarray, n: int) -> None:
+        """``more``: the summed gradient of ``n`` rows besides the own ones."""
+        g = (gradient(self.x, self.y, self.w) + more) / (self.x.n + n) + self.penalty * self.w * (np.arange(len(self.w)) < self.x.size)
+        self.seen += g * g
+        self.w = self.w - 0.5 * g / np.sqrt(self.seen)
+
+
+def log_odds(x: Rows, w: np.ndarray) -> np.ndarray:
+    return x.dot(w) + w[-1]
+
+
+def gradient(x: Rows, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    r = 1 / (1 + np.exp(-log_odds(x, w))) - y
+    return np.append(x.pull(r), r.sum())
+
+
+# ------------------------------------------------------------- the exchange
+#: Of a round: the weights of both views and, after ``cuts``, per view and
+#: label the last bin that is handed over and which part of it.
+Round = tuple[list[np.ndarray], list[tuple[int, float]]]
+SIZES = (CONTENT_SIZE, META_BUCKETS)
+
+
+def offers(views: list[Rows], spread: np.ndarray, rounds: list[Round]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """In the last of the rounds: the bin of each row by view and label (0 and
+    1 of view 0, then of view 1), or -1 if it is not sure enough or was handed
+    over earlier; and which rows are handed over."""
+    free = np.ones(len(spread), dtype=bool)
+    for weights, cut in rounds:
+        bins, handed = [], []
+        for v in (0, 1):
+            z = log_odds(views[v], weights[v])
+            for label in (0, 1):
+                b = np.floor(((z if label else -z) - np.log(SURE / (1 - SURE))) * BINS_PER_UNIT)
+                bins.append(np.where(free & (b >= 0), np.minimum(b, BINS - 1), -1).astype(np.int64))
+        for b, (edge, part) in zip(bins, cut):
+            handed.append((b > edge) | ((b == edge) & (b >= 0) & (spread < part)))
+        for h in handed:
+            free &= ~h
+    return np.array(bins), handed
+
+
+NO_CUTS = [(BINS, 0.0)] * 4
+
+
+def cuts(histogram: np.ndarray, share: float, n: int) -> list[tuple[int, float]]:
+    """From the numbers of rows by view and label and bin."""
+    out = []
+    for k, counts in enumerate(histogram):
+        most = max(1, int(HANDED * (share if k % 2 else 1 - share) * n))
+        above = np.cumsum(counts[::-1])[::-1]  # in this bin and the surer ones
+        if above[0] <= most:
+            out.append((-1, 0.0))
+        else:
+            edge = int(np.flatnonzero(above > most)[-1])
+            out.append((edge, float(most - (above[edge] - counts[edge])) / float(counts[edge])))
+    return out
+
+
+def _histogram(bins: np.ndarray) -> np.ndarray:
+    return np.stack([np.bincount(b[b >= 0], minlength=BINS) for b in bins])
+
+
+class LocalPool:
+    """Unlabelled documents in memory."""
+
+    def __init__(self, rows: list[tuple[Vector, Vector]]):
+        self.n = len(rows)
+        self.rows = rows
+        self.views = [Rows([r[v] for r in rows], SIZES[v]) for v in (0, 1)]
+        self.spread = np.array([_bucket(str(i), 1 << 20) / (1 << 20) for i in range(len(rows))])
+        self.known: list[list[tuple[Vector, int]]] = [[], []]
+
+    def histogram(self, rounds: list[Round]) -> np.ndarray:
+        return _histogram(offers(self.views, self.spread, rounds)[0])
+
+    def hand(self, rounds: list[Round]) -> int:
+        """Hands over what the last round chose; the number of rows."""
+        handed = offers(self.views, self.spread, rounds)[1]
+        for k, h in enumerate(handed):
+            to = 1 - k // 2
+            self.known[to] += [(self.rows[i][to], k % 2) for i in np.flatnonzero(h)]
+        return int(sum(h.sum() for h in handed))
+
+    def gradients(self, weights: list[np.ndarray]) -> list[tuple[np.ndarray, int]]:
+        """Per view the gradient summed over all rows handed to it, and their number."""
+        return [(gradient(Rows([x for x, _ in known], SIZES[v]), np.array([y for _, y in known], dtype=float), weights[v]), len(known)) for v, known in enumerate(self.known)]
+
+
+class SharedPool:
+    """The same over the table ``a, av, b, bv, spread`` of the shared folder."""
+
+    def __init__(self, rows: DataFrame, scratch: Scratch):
+        self.table, self.scratch = rows, scratch
+        self.n = rows.count()
+        self.known: DataFrame | None = None
+
+    def histogram(self, rounds: list[Round]) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((4, BINS), dtype=np.int64)
+            for views, spread, _ in _unpacked(batches):
+                total += _histogram(offers(views, spread, rounds)[0])
+            of, at = np.nonzero(total)
+            yield pa.RecordBatch.from_pydict({"of": of, "at": at, "n": total[of, at]})
+
+        out = np.zeros((4, BINS), dtype=np.int64)
+        for r in self.table.mapInArrow(run, "of long, at long, n long").groupBy("of", "at").agg(F.sum("n").alias("n")).collect():  # at most 4 * BINS
+            out[r["of"], r["at"]] = r["n"]
+        return out
+
+    def hand(self, rounds: list[Round]) -> int:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for views, spread, batch in _unpacked(batches):
+                for k, h in enumerate(offers(views, spread, rounds)[1]):
+                    part, to = batch.filter(pa.array(h)), 1 - k // 2
+                    fixed = [pa.array(np.full(part.num_rows, x, dtype=np.int32)) for x in (to, k % 2)]
+                    yield pa.RecordBatch.from_arrays([*fixed, part.column("ab"[to]), part.column("ab"[to] + "v")], names=["to", "label", "at", "value"])
+
+        handed = self.scratch.keep(self.table.mapInArrow(run, "to int, label int, at binary, value binary"))
+        self.known = handed if self.known is None else self.known.unionByName(handed)
+        return handed.count()
+
+    def gradients(self, weights: list[np.ndarray]) -> list[tuple[np.ndarray, int]]:
+        """The place after the offset counts the rows."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = [np.zeros(n + 2) for n in SIZES]
+            for batch in batches:
+                to, y = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                for v in (0, 1):
+                    mine = batch.filter(pa.array(to == v))
+                    x = Rows(_vectors(mine.column(2), mine.column(3)), SIZES[v])
+                    total[v] += np.append(gradient(x, y[to == v], weights[v]), x.n)
+            for v in (0, 1):
+                at = np.flatnonzero(total[v])
+                yield pa.RecordBatch.from_pydict({"view": np.full(len(at), v), "at": at, "g": total[v][at]})
+
+        out = [np.zeros(n + 2) for n in SIZES]
+        if self.known is not None:
+            # one row for each weight
+            for r in self.known.mapInArrow(run, "view long, at long, g double").groupBy("view", "at").agg(F.sum("g").alias("g")).collect():
+                out[r["view"]][r["at"]] = r["g"]
+        return [(x[:-1], int(x[-1])) for x in out]
 
 
 def fit_small(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -149,40 +298,33 @@ def fit_small(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, labelled: list[tuple[Vector, Vector, int]], pool: list[tuple[Vector, Vector]]):
+    def __init__(self, labelled: list[tuple[Vector, Vector, int]], pool):
+        """``pool``: the unlabelled documents, a list of both views or a ``SharedPool``."""
         self.fitted = False
         good = np.array([y for _, _, y in labelled])
         if not len(good) or good.min() == good.max():
             return
+        pool = LocalPool(pool) if isinstance(pool, list) else pool
         # every fourth labelled row calibrates
         calibrates = np.arange(len(labelled)) % 4 == 3
         if len(set(good[calibrates].tolist())) < 2 or len(set(good[~calibrates].tolist())) < 2:
             calibrates[:] = False
-        sizes = (CONTENT_SIZE, META_BUCKETS)
         views = [[x[v] for x in labelled] for v in (0, 1)]
-        known = [[(views[v][i], int(good[i])) for i in np.flatnonzero(~calibrates)] for v in (0, 1)]
+        learners = [Logistic(Rows([views[v][i] for i in np.flatnonzero(~calibrates)], SIZES[v]), good[~calibrates]) for v in (0, 1)]
         share = float(good.mean())
-        free = np.ones(len(pool), dtype=bool)
-        pools = [Rows([p[v] for p in pool], sizes[v]) for v in (0, 1)]
-        for _ in range(ROUNDS):
-            self.weights = [fit_logistic(Rows([x for x, _ in known[v]], sizes[v]), np.array([y for _, y in known[v]])) for v in (0, 1)]
-            if not free.any():
-                break
-            taken: list[tuple[int, int, int]] = []
-            for v in (0, 1):
-                p = 1 / (1 + np.exp(-(pools[v].dot(self.weights[v]) + self.weights[v][-1])))
-                for label, sure, part in ((1, p, share), (0, 1 - p, 1 - share)):
-                    most = max(1, int(HANDED * part * len(pool)))
-                    order = np.argsort(-np.where(free, sure, -1), kind="stable")[:most]
-                    taken += [(1 - v, int(i), label) for i in order if free[i] and sure[i] >= SURE]
-            for to, i, label in taken:
-                known[to].append((pool[i][to], label))
-                free[i] = False
-            if not taken:
+        rounds: list[Round] = []
+        for _ in range(ROUNDS if pool.n else 0):
+            weights = [x.w for x in learners]
+            rounds.append((weights, cuts(pool.histogram([*rounds, (weights, NO_CUTS)]), share, pool.n)))
+            if not pool.hand(rounds):
                 break
+            for _ in range(SHARED_STEPS):
+                for learner, (g, n) in zip(learners, pool.gradients([x.w for x in learners])):
+                    learner.step(g, n)
+        self.weights = [x.w for x in learners]
         some = calibrates if calibrates.any() else ~calibrates
         y = good[some]
-        z = [Rows([views[v][i] for i in np.flatnonzero(some)], sizes[v]).dot(self.weights[v]) + self.weights[v][-1] for v in (0, 1)]
+        z = [log_odds(Rows([views[v][i] for i in np.flatnonzero(some)], SIZES[v]), self.weights[v]) for v in (0, 1)]
         self.curves = [fit_small(z[v][:, None], y) for v in (0, 1)]
         calibrated = np.column_stack([self.curves[v][0] * z[v] + self.curves[v][1] for v in (0, 1)])
         self.mix = fit_small(calibrated, y)
@@ -192,10 +334,9 @@ class Model:
         n = len(views[0])
         if not self.fitted or not n:
             return np.full(n, 0.5)
-        sizes = (CONTENT_SIZE, META_BUCKETS)
         out = np.full(n, self.mix[2])
         for v in (0, 1):
-            z = Rows(views[v], sizes[v]).dot(self.weights[v]) + self.weights[v][-1]
+            z = log_odds(Rows(views[v], SIZES[v]), self.weights[v])
             out += self.mix[v] * (self.curves[v][0] * z + self.curves[v][1])
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
@@ -206,8 +347,20 @@ def _views(batch: pa.RecordBatch, words: _Words) -> tuple[list[Vector], list[Vec
     return [content_features(t, words) for t in text], [metadata_features(*x) for x in zip(lang, source, n_chars)]
 
 
-def _sampled(df: DataFrame) -> list[tuple[Vector, Vector, int | None]]:
-    """Features of a bounded sample, packed, on the driver; rows ``doc_id, good, text, lang, source, n_chars``."""
+def _vectors(at: pa.Array, value: pa.Array) -> list[Vector]:
+    return [(np.frombuffer(a, dtype=np.int32).astype(np.int64), np.frombuffer(b, dtype=np.float32).astype(np.float64)) for a, b in zip(at.to_pylist(), value.to_pylist())]
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[Rows], np.ndarray, pa.RecordBatch]]:
+    """Both views and ``spread`` of rows ``a, av, b, bv, spread``."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, CHUNK_ROWS):
+            part = batch.slice(at, CHUNK_ROWS)
+            yield [Rows(_vectors(part.column(2 * v), part.column(2 * v + 1)), SIZES[v]) for v in (0, 1)], part.column(4).to_numpy(), part
+
+
+def _featured(df: DataFrame) -> DataFrame:
+    """Features, packed, of rows ``doc_id, good, text, lang, source, n_chars``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
@@ -220,13 +373,15 @@ def _sampled(df: DataFrame) -> list[tuple[Vector, Vector, int | None]]:
                 names=["doc_id", "good", "a", "av", "b", "bv"],
             )
 
-    rows = df.mapInArrow(run, "doc_id long, good int, a binary, av binary, b binary, bv binary").collect()
+    return df.mapInArrow(run, "doc_id long, good int, a binary, av binary, b binary, bv binary")
 
-    def vector(at: bytes, value: bytes) -> Vector:
-        return np.frombuffer(at, dtype=np.int32).astype(np.int64), np.frombuffer(value, dtype=np.float32).astype(np.float64)
 
+def _sampled(df: DataFrame) -> list[tuple[Vector, Vector, int | None]]:
+    """Features of a bounded sample on the driver."""
+    rows = _featured(df).collect()
     rows.sort(key=lambda r: (xxhash.xxh3_64_intdigest(str(r["doc_id"])), r["a"], r["av"], r["b"]))
-    return [(vector(r["a"], r["av"]), vector(r["b"], r["bv"]), r["good"]) for r in rows]
+    (a, av, b, bv), good = ([[r[c] for r in rows] for c in ("a", "av", "b", "bv")], [r["good"] for r in rows])
+    return list(zip(_vectors(pa.array(a, pa.binary()), pa.array(av, pa.binary())), _vectors(pa.array(b, pa.binary()), pa.array(bv, pa.binary())), good))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -237,16 +392,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     )
     columns = ["text", "lang", "source", "n_chars"]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *columns)
-    # both samples are bounded before they meet the texts; repeated ids are left to their first row
+    # the sample is bounded before it meets the texts; repeated ids are left to one row
     labelled = docs.join(F.broadcast(known), "doc_id").groupBy("doc_id", "good").agg(F.min(F.struct(*columns)).alias("x"))
-    pool = (
-        docs.where("doc_id is not null").where(~held_out(F.col("doc_id"))).select("doc_id").distinct()
-        .join(labels.select("doc_id"), "doc_id", "left_anti").orderBy(*by_hash).limit(POOL)
-    )
-    unlabelled = docs.join(F.broadcast(pool), "doc_id").groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("x"))
     first = _sampled(labelled.select("doc_id", "good", "x.*"))
-    second = _sampled(unlabelled.select("doc_id", F.lit(None).cast("int").alias("good"), "x.*"))
-    return Model(first, [(a, b) for a, b, _ in second])
+    if len({y for _, _, y in first}) < 2:
+        return Model([], [])
+    # features are smaller than texts, so they are what is shuffled
+    scratch = Scratch(docs.sparkSession)
+    fits = docs.where("doc_id is not null").where(~held_out(F.col("doc_id")))
+    featured = _featured(fits.select("doc_id", F.lit(None).cast("int").alias("good"), *columns))
+    once = featured.groupBy("doc_id").agg(F.min(F.struct("a", "av", "b", "bv")).alias("x"))
+    unlabelled = once.join(labels.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null"), "doc_id", "left_anti")
+    spread = (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))).alias("spread")
+    return Model(first, SharedPool(scratch.keep(unlabelled.select("x.*", spread)), scratch))
 
 
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:

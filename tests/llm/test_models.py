@@ -84,6 +84,42 @@ def test_views_exchange_labels_and_a_useless_view_is_ignored():
     assert ((scores > 0.5) == [i % 2 == 1 for i in range(50)]).all()
 
 
+def test_all_unlabelled_documents_can_be_handed_over(spark, monkeypatch):
+    """Far more documents than the old pool of 4,000, and a last exchange that is fitted."""
+    calls = []
+    hand, gradients = quality.SharedPool.hand, quality.SharedPool.gradients
+    monkeypatch.setattr(quality.SharedPool, "hand", lambda self, rounds: calls.append((self.n, n := hand(self, rounds))) or n)
+    monkeypatch.setattr(quality.SharedPool, "gradients", lambda self, w: calls.append(out := gradients(self, w)) or out)
+    rows = [(i, f"good words here n{i % 50}" if i % 3 else f"bad%%% stuff*** n{i % 50}", "en" if i % 3 else "xx", "s", 15, 0.0) for i in range(9000)]
+    docs = spark.createDataFrame([*rows, *rows[:300]], DOCUMENT)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(300)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    free = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(300, 9000))
+    exchanges = [c for c in calls if isinstance(c[1], int)]
+    assert len(exchanges) == quality.ROUNDS and {n for n, _ in exchanges} == {free} and free > 4000
+    assert sum(n for _, n in exchanges) > 0.15 * free
+    last = calls[-1]  # a gradient over all that were ever handed over
+    assert sum(n for _, n in last) == sum(n for _, n in exchanges) and all(np.abs(g).sum() > 0 for g, _ in last)
+    by_id = {r["doc_id"]: r["score"] for r in quality.score(docs, model, ["doc_id"]).collect()}
+    assert all((s > 0.5) == (i % 3 > 0) for i, s in by_id.items())
+
+
+def test_shared_and_local_exchange_agree(spark):
+    rng, words = np.random.default_rng(1), quality._Words()
+    rows = [(quality.content_features(" ".join(rng.choice(["fine", "clear", "x%%%", "spam***"], size=9)), words), quality.metadata_features("en", str(rng.integers(3)), 10)) for _ in range(200)]
+    packed = [(a.astype(np.int32).tobytes(), av.astype(np.float32).tobytes(), b.astype(np.int32).tobytes(), bv.astype(np.float32).tobytes()) for (a, av), (b, bv) in rows]
+    local = quality.LocalPool(rows)
+    table = spark.createDataFrame([(*map(bytearray, p), float(s)) for p, s in zip(packed, local.spread)], "a binary, av binary, b binary, bv binary, spread double")
+    shared = quality.SharedPool(table, quality.Scratch(spark))
+    weights = [rng.normal(size=n + 1) * 4 for n in quality.SIZES]
+    seen = local.histogram([(weights, quality.NO_CUTS)])
+    assert (seen == shared.histogram([(weights, quality.NO_CUTS)])).all()
+    rounds = [(weights, quality.cuts(seen, 0.5, 200))]
+    assert local.hand(rounds) == shared.hand(rounds) > 0
+    for (g, n), (h, m) in zip(local.gradients(weights), shared.gradients(weights)):
+        assert n == m and np.allclose(g, h, atol=1e-5)
+
+
 def test_quality_edges(spark):
     rows = [(i, "good words here" if i % 3 else "bad%%% stuff***", "en", "s", 15, 0.0) for i in range(150)]
     rows += [(900, None, None, None, None, None), (901, "", "en", "s", 0, 0.1), (901, "", "en", "s", 0, 0.1), (None, "x", "en", "s", 1, 0.1), (902, "w " * 60_000, "en", "s", 1, 0.1)]
