@@ -110,3 +110,12 @@ def test_stages_handle_odd_rows(spark):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.collect() == []
+
+
+def test_order_of_training_survives_files_of_unequal_size(spark, scratch_dir):
+    """Spark reads large files first; the last stage restores the written order."""
+    rows = [(i, "w " * (1 if i < 40 else 3000) + str(i), "en", "s", 5) for i in range(80)]
+    spark.createDataFrame(rows, COLUMNS).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.parquet(f"{scratch_dir}/docs")
+    out = P.encode(spark, spark.read.parquet(f"{scratch_dir}/docs"), SF)
+    assert [r["doc_id"] for r in out.orderBy("position").collect()] == list(range(80))
+    assert [r["doc_id"] for r in out.collect()] == list(range(80))
