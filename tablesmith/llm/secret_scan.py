@@ -5,9 +5,11 @@ matches, those that are too short dropped. The token-efficiency test (kind
 ``random``) looks at runs of at least ``MIN_RANDOM`` characters that keys
 consist of. A byte-pair vocabulary writes language, names and paths with few
 tokens; a random string has no frequent parts and needs a token for every one
-or two characters. A run with at most ``MAX_RATIO`` characters per token is
-reported unless it is a known form: a digest of usual length, a UUID, numbers
-and dates, or a part of a pattern's span.
+or two characters. The spans of patterns, digests of usual length and UUIDs are
+cut out of a run. What remains is reported if it has at most ``MAX_RATIO``
+characters per token and is no number, date or long word; otherwise its parts
+between ``/ . =`` are judged each in the same way, and then theirs between
+``+ _ -``, so that a random part is not diluted by a path or name around it.
 
 All runs of a batch are found at once on the flat UTF-8 bytes; only the few
 long ones are looked at one by one. One pass, no shuffle. Positions count code
@@ -44,6 +46,8 @@ _KEY_BYTE = np.zeros(256, dtype=bool)
 _KEY_BYTE[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"]] = True
 DIGEST = re.compile(r"(?:sha\d*[-:=]?|md5[-:=]?)?(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})", re.ASCII)
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+KNOWN = re.compile(rf"{UUID.pattern}|(?<![0-9A-Za-z])(?:{DIGEST.pattern})(?![0-9A-Za-z])", re.ASCII)
+PARTS = (re.compile(r"[^/.=]+"), re.compile(r"[^+_-]+"))
 NUMBER = re.compile(r"[0-9+/_.=TZ-]+")
 CHUNK_ROWS = 512
 
@@ -70,6 +74,25 @@ def is_random(run: str, encoding, max_ratio: float = MAX_RATIO) -> bool:
     return len(body) <= max_ratio * len(encoding.encode_ordinary(body))
 
 
+def random_parts(run: str, spans: list[tuple[int, int]], encoding, max_ratio: float = MAX_RATIO) -> list[tuple[int, int]]:
+    """Places of the random parts of a run outside the given spans and known forms."""
+    out, at = [], 0
+
+    def judge(start: int, end: int, level: int) -> None:
+        if end - start < MIN_RANDOM:
+            return
+        if is_random(run[start:end], encoding, max_ratio):
+            out.append((start, end))
+        elif level < len(PARTS):
+            for m in PARTS[level].finditer(run, start, end):
+                judge(m.start(), m.end(), level + 1)
+
+    for start, end in sorted([*spans, *(m.span() for m in KNOWN.finditer(run))]) + [(len(run), len(run))]:
+        judge(at, max(at, start), 0)
+        at = max(at, end)
+    return out
+
+
 def scan(texts: list[str | None], encoding, max_ratio: float = MAX_RATIO) -> list[list[tuple[int, int, int]]]:
     """Per text the findings ``(start, kind's place in KINDS, end)`` in that order."""
     data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
@@ -94,8 +117,8 @@ def scan(texts: list[str | None], encoding, max_ratio: float = MAX_RATIO) -> lis
         found[i] += base
         if e - s >= MIN_RANDOM:
             end = at + len(run)
-            if not any(x < end and y > at for x, _, y in found[i]) and is_random(run, encoding, max_ratio):
-                found[i].append((at, 3, end))
+            inside = [(max(x - at, 0), min(y - at, len(run))) for x, k, y in found[i] if k < 3 and x < end and y > at]
+            found[i] += [(at + x, 3, at + y) for x, y in random_parts(run, inside, encoding, max_ratio)]
     return [sorted(f) for f in found]
 
 
