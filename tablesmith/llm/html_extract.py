@@ -50,6 +50,8 @@ MIXED_COST = 0.5
 # Elements of HTML by their role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript iframe template svg math".split())
+#: What a head may hold; anything else ends it, also without its end tag.
+HEAD_TAGS = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 HIDDEN = frozenset("script style title textarea noscript iframe template svg math head select option button object canvas audio video".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span "
@@ -137,6 +139,8 @@ def parse(page: str) -> Node:
     while at < n:
         m = _TOKEN.search(page, at)
         text = page[at : m.start()] if m else page[at:]
+        if hidden and stack[-1][0] == "head" and text.strip():
+            close(len(stack) - 1)
         if text and not hidden:
             if "&" in text:
                 text = html.unescape(text)
@@ -158,6 +162,11 @@ def parse(page: str) -> Node:
             if i >= 0:
                 close(i)
             continue
+        if hidden and tag not in HEAD_TAGS and (i := find({"head"})) >= 0:
+            close(i)
+        if tag in ("svg", "math") and m[3].rstrip().endswith("/"):
+            here.tags += 1
+            continue
         if tag in RAW:  # up to its end tag nothing is markup
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else n
@@ -228,6 +237,7 @@ def features(nodes: list[Node]) -> list[list[float]]:
             p.parts += node.parts
     total = max(1, total)
     seen: dict[int, tuple[int, int]] = {}
+    place = {id(c): k for node in nodes for k, c in enumerate(node.children)}
     out = []
     for node in nodes:
         p = node.parent
@@ -236,9 +246,9 @@ def features(nodes: list[Node]) -> list[list[float]]:
         good = int(node.tag in ARTICLE_TAGS) + int(not ARTICLE_WORDS.isdisjoint(node.words))
         seen[id(node)] = (above[0] + rest, above[1] + good)
         siblings = p.children if p else [node]
-        at = siblings.index(node) if len(siblings) < 64 else node.place / total * len(siblings)
-        before = siblings[int(at) - 1] if at >= 1 else None
-        after = siblings[int(at) + 1] if at + 1 < len(siblings) else None
+        at = place.get(id(node), 0)
+        before = siblings[at - 1] if at else None
+        after = siblings[at + 1] if at + 1 < len(siblings) else None
         out.append(
             [
                 rest, good, above[0], above[1],

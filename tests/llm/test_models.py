@@ -184,6 +184,21 @@ def test_layouts(extractor, name):
     assert html_extract.extract_texts([page], extractor) == ["\n\n".join(blocks)]
 
 
+@pytest.mark.parametrize("before", [
+    '<header><svg class="icon" viewBox="0 0 1 1"/></header>', "<header><math /></header>", "<html><head><title>t</title><meta charset=x><body>",
+    "<html><head><title>t</title><link href=x>", '<head><script>var a="<p>";</script></head><body><svg><path/></svg>',
+])
+def test_valid_pages_are_not_cut(extractor, before):
+    page, blocks = PAGES["short"]
+    assert html_extract.extract_texts([before + page], extractor) == ["\n\n".join(blocks)]
+
+
+def test_sibling_places_are_exact_at_every_size():
+    nodes = html_extract.preorder(html_extract.parse("<div>" + "".join(f"<p>{'w ' * (k % 7 + 1)}</p>" for k in range(100)) + "</div>"))
+    rows = html_extract.features(nodes)
+    assert [r[24] for n, r in zip(nodes, rows) if n.tag == "p"] == [k / 100 for k in range(100)]
+
+
 def test_decoding_never_contradicts(extractor):
     """Below a node that is taken or left whole nothing is decided otherwise."""
     root = html_extract.parse("<div><div><p>a b c</p><p>d e f</p></div><div><p>g</p></div></div>")
