@@ -6,11 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesmith.llm import ann_tree, embedding_dedup, html_extract, mixing, ngram_jaccard, piece_bpe, quality, secret_scan, toxicity, url_filter
-from tablesmith.llm.common import read
+from tablesmith.llm import (
+    ann_tree,
+    embedding_dedup,
+    filter_audit,
+    html_extract,
+    lexical_search,
+    mixing,
+    ngram_jaccard,
+    piece_bpe,
+    quality,
+    secret_scan,
+    token_files,
+    toxicity,
+    url_filter,
+)
+from tablesmith.llm.common import Scratch, read
 
 PIECE_MODEL = "piece_bpe_32k.model"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +109,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "url_score")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = f"{Scratch(spark).root}/tokens"
+    token_files.write(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), out)
+    return token_files.with_crc32(token_files.tokens(spark, out))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -111,5 +140,8 @@ QUERIES = {
     "op8_ann_search": op8_ann_search,
     "op9_secret_scan": op9_secret_scan,
     "op10_url_filter": op10_url_filter,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_token_files": op13_token_files,
     "pipeline": pipeline,
 }

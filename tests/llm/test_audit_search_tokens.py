@@ -1,0 +1,282 @@
+"""The filter audit, lexical search and token files against plain Python."""
+
+import math
+import re
+import uuid
+import zlib
+from itertools import permutations
+
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tablesmith.llm import filter_audit, lexical_search, queries, token_files
+from tablesmith.llm.common import Scratch
+
+SF = "/root/testdata/sf0.001"
+CLASHING = "doc_id long, text string, source string, part string, cell int, digest long, item long, block long, ids string, shard string, before string"
+
+
+def rows_with(texts, source=lambda i: "s", ids=None):
+    return [(ids[i] if ids else i, t, source(i), "x", 1, 2, 3, 4, "y", "z", "w") for i, t in enumerate(texts)]
+
+
+# ------------------------------------------------------------ filter audit
+LONG = " ".join(f"w{i}" for i in range(250))
+AUDIT_TEXTS = [None, "", " \t", LONG, LONG, LONG + " # ", LONG + " " + "AB" * 40, "same " * 300, "same " * 300, "x" * 2_000_000, "é ñ   ü", "A" * 3 + "b" * 147, "Ab" + "c" * 48, LONG + "\x1c", "|" + LONG]
+
+
+def brute_audit(docs, labels):
+    good, toxic = ({d for d, *marks in labels if marks[m] == 1} for m in (0, 1))
+    first = {}
+    for d, t, *_ in docs:
+        if d is not None:
+            first[t or ""] = min(first.get(t or "", d), d)
+    judged = []
+    for d, t, s, *_ in docs:
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        fails = {
+            "A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 2 * len(t),
+            "D": bool(re.search(r"[#$%&*|]", t)), "E": d is not None and d > first[t],
+        }
+        judged.append((s or "", d, fails))
+    out = {}
+    for part in {p for p, *_ in judged}:
+        own = [(d, f) for p, d, f in judged if p == part]
+        shapley = dict.fromkeys("ABCDE", 0)
+        for order in permutations("ABCDE"):
+            left = own
+            for step, x in enumerate(order, 1):
+                gone = [d for d, f in left if f[x]]
+                left = [(d, f) for d, f in left if not f[x]]
+                shapley[x] += len(gone)
+                out[part, "".join(order), step] = [
+                    len(left), len(gone), sum(f[x] for _, f in own) - len(gone), sum(f[x] and sum(f.values()) == 1 for _, f in own),
+                    sum(d in good for d in gone), sum(d in toxic for d in gone),
+                ]
+        for (p, order, step), v in out.items():
+            if p == part:
+                v.append(shapley[order[step - 1]])
+    return out
+
+
+def audited(spark, docs, labels):
+    got = filter_audit.audit(spark.createDataFrame(docs, CLASHING), spark.createDataFrame(labels, "doc_id long, quality int, toxic int, part string"))
+    columns = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    rows = got.collect()
+    out = {(r["part"], r["filter_order"], r["step"]): [r[c] for c in columns] for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def test_audit_equals_brute_force(spark):
+    docs = rows_with(AUDIT_TEXTS * 3, source=lambda i: ["a", "b", None, ""][i % 4])
+    docs += [(None, LONG, "a", *docs[0][3:]), (None, "", "null ids", *docs[0][3:]), (3, LONG, "a", *docs[0][3:]), (3, LONG, "a", *docs[0][3:])]
+    labels = [(i, i % 2, (i // 2) % 2, "p") for i in range(0, 45, 2)] + [(4, 1, None, "p"), (4, None, 1, "p"), (None, 1, 1, "p"), (999, 1, 1, "p")]
+    assert audited(spark, docs, labels) == brute_audit(docs, [(d, q, t) for d, q, t, _ in labels if d is not None])
+
+
+def test_audit_of_one_hot_text_and_of_nothing(spark):
+    docs = rows_with([LONG] * 400 + ["short"] * 5, source=lambda i: "hot" if i % 3 else "b")
+    assert audited(spark, docs, []) == brute_audit(docs, [])
+    assert audited(spark, [], [(1, 1, 1, "p")]) == {}
+
+
+def test_contraction_of_the_selectors():
+    """Every selector row against sums over the 32 cells one by one."""
+    chains = filter_audit.Chains()
+    tensor = np.random.default_rng(5).integers(0, 50, (2, 3, 2, 2, 2, 2, 2))
+    got = chains.contract(tensor, chains.removed)
+    for r in range(0, 600, 37):
+        want = np.zeros((2, 3), dtype=np.int64)
+        for cell in np.ndindex(2, 2, 2, 2, 2):
+            want += int(np.prod([chains.removed[r, i, c] for i, c in enumerate(cell)])) * tensor[(slice(None), slice(None), *cell)]
+        assert (got[r] == want).all()
+
+
+# ---------------------------------------------------------- lexical search
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms_of(t):
+    return TERM.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+
+
+def brute_search(docs, items, k):
+    found = [(d, terms_of(t)) for d, t in docs]
+    found = [(d, t) for d, t in found if t]
+    n_docs, n_terms = len(found), sum(len(t) for _, t in found)
+    df = {}
+    for _, t in found:
+        for x in set(t):
+            df[x] = df.get(x, 0) + 1
+    out = []
+    for item, text in items:
+        ranked = []
+        for d, t in found:
+            m = 100 - 50 + 50 * len(t) * n_docs // n_terms
+            score = 0
+            for x in set(terms_of(text)) & set(t):
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[x] + 1)))
+                score += w * (1_000_000_000 * t.count(x) // (1000 * t.count(x) + 20 * m))
+            if score > 0:
+                ranked.append((-score, d is None, d or 0, d))
+        out += [(item, r, x[3], -x[0]) for r, x in enumerate(sorted(ranked)[:k], 1)]
+    return out
+
+
+def searched(spark, docs, items, k):
+    docs = spark.createDataFrame([(*d, "x", 1, 2, 3, "y") for d in docs], "doc_id long, text string, terms string, block int, score int, rank int, item_id string")
+    items = spark.createDataFrame([(*i, "x", 9) for i in items], "item_id long, text string, terms string, doc_id int")
+    got = lexical_search.search(docs.repartition(5), items, k)
+    return sorted(((r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in got.collect()), key=str)
+
+
+def random_docs(n, seed):
+    rng = np.random.default_rng(seed)
+    words = [f"w{i}" for i in range(60)] + ["Été", "AB", "ab", "x9"]
+    p = 1 / np.arange(1, len(words) + 1)
+    return [(i, " ".join(rng.choice(words, size=rng.integers(1, 60), p=p / p.sum()))) for i in range(n)], words
+
+
+def test_search_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(lexical_search, "BLOCK_ROWS", 40)
+    docs, words = random_docs(700, 1)
+    docs += [(700, None), (701, ""), (702, "?! --"), (None, "w1 w2 w50"), (5, "w1 w2 w50"), (5, "w1 w2 w50"), (800, "w3 " * 30_000), (801, "w2-AB_ab\x7fx9 w1")]
+    items = [(i, " ".join(words[i % 7 :: 5 + i % 3])) for i in range(12)] + [(50, None), (51, ""), (52, "unknown"), (53, "w1"), (54, "W59"), (54, "w2 W2, w1"), (None, "x9 w7")]
+    assert searched(spark, docs, items, 10) == sorted(brute_search(docs, items, 10), key=str)
+
+
+def test_search_in_batches_of_queries_and_of_nothing(spark, monkeypatch):
+    monkeypatch.setattr(lexical_search, "BATCH", 3)
+    docs, words = random_docs(120, 2)
+    items = [(i, " ".join(words[i : i + 4])) for i in range(10)]
+    assert searched(spark, docs, items, 5) == sorted(brute_search(docs, items, 5), key=str)
+    assert searched(spark, [], items, 5) == [] and searched(spark, [(1, "?")], items, 5) == [] and searched(spark, docs, [], 5) == []
+
+
+def test_pair_bounds_score_fewer_documents_than_term_bounds(spark):
+    """Bounds hold, and those of pairs skip more than sums of term maxima."""
+    docs, words = random_docs(2000, 3)
+    index = lexical_search.build_index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), Scratch(spark))
+    n_docs, n_terms = index.agg(F.sum("n_filled"), F.sum("n_terms")).first()
+    names = sorted(t.lower() for t in words[:24])
+    batch = lexical_search.Batch(np.array([0]), names, [np.arange(len(names))])
+    batch.weigh(lexical_search._document_frequencies(index, batch), n_docs)
+    row = index.toArrow().to_batches()[0]
+    lists = lexical_search._lists_of({c: row.column(i)[0] for i, c in enumerate(row.schema.names)}, batch, n_docs, n_terms)
+    everything = lexical_search.search_block(lists, batch, batch.units[0], len(docs), 0)
+    threshold = int(np.sort(everything[1])[-10])
+    at, score, by_pairs = lexical_search.search_block(lists, batch, batch.units[0], len(docs), threshold)
+    singles = np.array([-1 - t for t in range(len(names))])
+    same, same_score, by_terms = lexical_search.search_block(lists, batch, singles, len(docs), threshold)
+    assert sorted(at) == sorted(same) == sorted(everything[0][everything[1] >= threshold])
+    assert dict(zip(at, score)) == dict(zip(same, same_score))
+    assert by_pairs < by_terms < everything[2]
+    for u in batch.units[0]:
+        both, one = lexical_search._unit_bound(lists, batch, int(u))
+        pair = batch.pairs[u] if u >= 0 else [-1 - u]
+        sums = np.zeros(len(docs), dtype=np.int64)
+        for t in pair:
+            places, scores = lists.list(int(t))
+            sums[places] += scores
+        assert sums.max() == both >= one
+
+
+# ------------------------------------------------------------- token files
+TOKEN_TEXTS = [
+    None, "", "  \n\t ", "Hello, WORLD's 123 don't I'LL x", "<|endoftext|> a <|startoftext|>", "ÉTÉ été ≠ Σς ΑΣ", "a b c\x1cd\x85e", "日本語 テキスト 🎉👩‍👩‍👧", "'s ('s '' 'sabc 'S",
+    "word " * 60_000, "z" * 5000, "́ lone mark", "ſ İ ı ǅ", "x\x00y\x7f", "same", "same",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    t = Tokenizer.from_file(public_tokenizers.path(queries.WORD_TOKENIZER))
+    t.encode_special_tokens = True
+    return t
+
+
+@pytest.fixture(scope="module")
+def stream(spark, library):
+    """Documents in stream order with their ids, and the written files."""
+    rows = rows_with(TOKEN_TEXTS, ids=[(i * 7) % 16 - 3 for i in range(16)])
+    rows += [(None, "no id", *rows[0][2:]), (2, "again", *rows[0][2:]), (2, "again", *rows[0][2:])]
+    out = f"{Scratch(spark).root}/tokens"
+    token_files.write(spark.createDataFrame(rows, CLASHING).repartition(4), public_tokenizers.path(queries.WORD_TOKENIZER), out)
+    return rows, out
+
+
+def test_files_hold_the_ids_of_the_library(spark, stream, library):
+    rows, out = stream
+    want = sorted((d is None, d or 0, [*library.encode(t or "", add_special_tokens=False).ids, 2]) for d, t, *_ in rows)
+    got = token_files.tokens(spark, out).orderBy("start").collect()
+    assert [(r["doc_id"] is None, r["doc_id"] or 0) for r in got] == [w[:2] for w in want]
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, list(r["ids"])) for r in got) == want
+    at = 0
+    for r in got:
+        assert (r["start"], r["n_tokens"]) == (at, len(r["ids"]))
+        at += len(r["ids"])
+    for r in token_files.with_crc32(token_files.tokens(spark, out)).collect():
+        ids = next(g["ids"] for g in got if g["start"] == r["start"])
+        assert r["ids_crc32"] == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
+def test_spans_of_the_stream(spark, stream):
+    _, out = stream
+    got = token_files.tokens(spark, out).orderBy("start").collect()
+    ids = [i for r in got for i in r["ids"]]
+    for first, last in ((0, len(ids)), (0, 1), (17, 17), (5, 60_100), (len(ids) - 3, len(ids) + 10), (len(ids), len(ids) + 5)):
+        found = token_files.span(spark, out, first, last).orderBy("start").collect()
+        assert [i for r in found for i in r["ids"]] == ids[first:last]
+        assert not found or found[0]["start"] == first
+
+
+def test_encodings_indexes_and_selective_reads(spark, stream, scratch_dir):
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 501}" for j in range(i % 300))) for i in range(4000)], "doc_id long, text string")
+    out = f"{scratch_dir}/tokens"
+    token_files.write(docs.coalesce(1), public_tokenizers.path(queries.WORD_TOKENIZER), out)
+    name = next(r[0] for r in spark.read.parquet(f"{out}/ids").selectExpr("_metadata.file_path").limit(1).collect())
+    group = pq.ParquetFile(name.removeprefix("file:")).metadata.row_group(0)
+    columns = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
+    assert any("DICTIONARY" in e for e in columns["ids.list.element"].encodings)
+    for c in ("doc_id", "before", "after"):
+        assert "DELTA_BINARY_PACKED" in columns[c].encodings
+        assert columns[c].has_offset_index and columns[c].has_column_index
+    plan = token_files.documents(spark, out)._jdf.queryExecution().executedPlan().toString()
+    assert "ids" not in plan.split("ReadSchema: ", 1)[1].split("\n", 1)[0]
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)  # so that the plan shows all pushed filters
+    plan = token_files.span(spark, out, 1000, 1100)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(after" in plan and "LessThan(before" in plan
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_no_documents_no_rows(spark, scratch_dir):
+    out = f"{scratch_dir}/{uuid.uuid4().hex}"
+    token_files.write(spark.createDataFrame([], CLASHING), public_tokenizers.path(queries.WORD_TOKENIZER), out)
+    assert token_files.with_crc32(token_files.tokens(spark, out)).collect() == []
+    assert token_files.span(spark, out, 0, 10).collect() == []
+
+
+def test_cache_of_words_is_bounded_and_exact(library, monkeypatch):
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 50)
+    encoder = token_files.Encoder(public_tokenizers.path(queries.WORD_TOKENIZER))
+    for n in range(20):
+        texts = [" ".join(f"a{n}b{i} Ça{i}" for i in range(30)), "", "a1b1"]
+        ids, counts = encoder.encode([t.encode() for t in texts], 2)
+        assert ids.tolist() == [x for t in texts for x in [*library.encode(t, add_special_tokens=False).ids, 2]]
+        assert len(encoder.place) <= 50 + 62
+
+
+def test_query_of_the_whole_table(spark, library):
+    docs = sorted(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    got = sorted(queries.op13_token_files(spark, SF).collect())
+    at = 0
+    for (d, text), r in zip(docs, got, strict=True):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
+        assert tuple(r) == (d, at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+        at += len(ids)
