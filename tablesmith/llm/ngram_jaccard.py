@@ -13,8 +13,14 @@ Linked sets share at least one. A set also signs for the next larger band if a
 partner may lie there. The join is exact: signatures only propose pairs, the
 sets decide.
 
-Equal sets are one class, represented by the smallest id. Classes that share
-signatures, directly or through others, form a cluster. At lower similarities
+Every row is a node of its own; rows of equal sets are one class, represented by
+the row of the smallest id. Signatures are many and nearly all occur once, so
+they move packed: a task sorts those of its rows, keeps one row for each (the
+others are linked to it at once) and writes the differences of neighbours by
+byte places, which compress. Ranges of the signature space, as many as there are
+signatures for, then meet; a signature that any share of the rows hold reaches
+its range once per pack. Classes that share signatures, directly or through
+others, form a cluster. At lower similarities
 signatures hold few elements, and passages that many documents share tie
 unrelated sets into large clusters. A sketch takes them apart first: element
 hashes flip the bits of a fixed-size bit set, so two sets whose sketches differ
@@ -31,9 +37,12 @@ Shingles are compared as 64-bit hashes of 64-bit word hashes; sets as a
 128-bit combination of them.
 
 Defined results: null texts and texts without words have the empty set and
-link with nothing (their component is their own id); rows with equal ids are
-one node; rows with a null id belong to the class of their equal sets only;
-an empty table gives an empty result; only ``doc_id`` and ``text`` are read.
+link with nothing (their component is their own id); rows with equal ids but
+different texts are linked as documents of their own, and their components are
+one; rows with a null id belong to the class of their equal sets only; very long
+texts are read whole, their sets fill a task one at a time; an empty table gives
+an empty result; only ``doc_id`` and ``text`` are read, so other columns may have
+any name.
 """
 
 from __future__ import annotations
@@ -45,6 +54,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -60,6 +70,10 @@ SKETCH_TILE = 4096
 COLUMNS = 4096  # of the incidence matrices at a time
 CHUNK_ROWS = 512
 CACHE_WORDS = 500_000
+#: Signatures of one pack, and about those of one range of the signature space.
+PACK = 1 << 21
+#: Bits of a signature. Chance meetings are few even for 10^13 signatures, and only propose pairs.
+SIGNATURE_BITS = 56
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -141,42 +155,136 @@ class Bands:
                 for i in subset:
                     value = _mix(value * _C1 + each[:, i])
                 out.append(_mix(value + name))
-        return np.concatenate(out).view(np.int64) if out else np.zeros(0, dtype=np.int64)
+        return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+
+
+class _Packs:
+    """Signatures of the rows of a task, packed ``PACK`` at a time."""
+
+    def __init__(self):
+        self.nodes: list[int] = []
+        self.signatures: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, node: int, signatures: np.ndarray) -> None:
+        if not len(signatures):
+            return
+        self.nodes.append(node)
+        self.signatures.append(signatures)
+        self.size += len(signatures)
+
+    def take(self) -> tuple[dict, np.ndarray, np.ndarray]:
+        """A pack, and links within it: row, first row of the same signature."""
+        owner = np.repeat(np.arange(len(self.nodes), dtype=np.int32), np.fromiter(map(len, self.signatures), dtype=np.int64, count=len(self.nodes)))
+        found = np.concatenate([np.zeros(0, dtype=np.uint64), *self.signatures])
+        order = np.argsort(found, kind="stable")  # owners rise within a signature
+        found, owner = found[order], owner[order]
+        first = np.concatenate([np.ones(min(1, len(found)), dtype=bool), found[1:] != found[:-1]])
+        least = owner[np.maximum.accumulate(np.where(first, np.arange(len(found)), 0))]
+        pairs = np.unique(owner.astype(np.int64)[owner != least] * len(self.nodes) + least[owner != least])
+        nodes = np.array(self.nodes, dtype=np.int64)
+        links = nodes[pairs // max(1, len(nodes))], nodes[pairs % max(1, len(nodes))]
+        pack = _packed(found[first], owner[first])
+        pack["nodes"] = nodes.tobytes()
+        self.__init__()
+        return pack, *links
+
+
+def _planes(a: np.ndarray) -> bytes:
+    """The bytes of an array of integers, place by place: high ones are mostly 0."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).tobytes()
+
+
+def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
+
+
+def _packed(signatures: np.ndarray, owners: np.ndarray) -> dict:
+    return {"count": len(signatures), "signatures": _planes(np.diff(signatures, prepend=np.uint64(0))), "owners": _planes(owners.astype(np.int32))}
+
+
+_SETS = "kind int, node long, doc_id long, n long, h1 long, h2 long, digest long, sketch binary, count long, signatures binary, owners binary, nodes binary"
+_ROW, _PACK, _LINK = 0, 1, 2
 
 
 def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id``, set size, 128-bit set hash, sketch and signatures; no shuffle."""
+    """Rows of three kinds: a document with its set size, 128-bit set hash and
+    sketch; a pack of signatures; a link of two nodes within a pack. No shuffle."""
+    names = [c.split()[0] for c in _SETS.split(", ")]
+
+    def rows(kind: int, columns: dict) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+        types = [kinds[c.split()[1]] for c in _SETS.split(", ")]
+        columns = {"kind": np.full(n, kind, dtype=np.int32)} | columns
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, types)], names=names)
+
+    def flush(packs: _Packs) -> Iterator[pa.RecordBatch]:
+        pack, a, b = packs.take()
+        if pack["count"]:
+            yield rows(_PACK, {k: [v] for k, v in pack.items()})
+        if len(a):
+            yield rows(_LINK, {"node": a, "doc_id": b})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bands = _WordHashes(), Bands(percent)
+        hashes, bands, packs = _WordHashes(), Bands(percent), _Packs()
+        node = TaskContext.get().partitionId() << 40
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK_ROWS):
                 part = batch.slice(at, CHUNK_ROWS)
                 if len(hashes) > CACHE_WORDS:
                     hashes.clear()
-                sizes, first, second, sketches, signed = [], [], [], [], []
-                for text in part.column(1).to_pylist():
+                found: dict[str, list] = {c: [] for c in ("node", "n", "h1", "h2", "sketch")}
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     items = shingles(text, words, hashes)
-                    sizes.append(len(items))
-                    first.append(int(_mix(items ^ _C1).sum(dtype=np.uint64).view(np.int64)))
-                    second.append(int(np.bitwise_xor.reduce(_mix(items + _C3), initial=np.uint64(0)).view(np.int64)))
-                    sketches.append(sketch(items))
-                    signed.append(bands.signatures(items) if len(items) else np.zeros(0, dtype=np.int64))
-                ends = np.cumsum([0, *map(len, signed)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(first, pa.int64()),
-                        pa.array(second, pa.int64()),
-                        pa.array(sketches, pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(signed))),
-                    ],
-                    names=["doc_id", "n", "h1", "h2", "sketch", "signatures"],
-                )
-
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return ids.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sketch binary, signatures array<long>")
+                    set_hash = _mix(items ^ _C1).sum(dtype=np.uint64), np.bitwise_xor.reduce(_mix(items + _C3), initial=np.uint64(0))
+                    for c, v in zip(found, (node, len(items), *(int(h.view(np.int64)) for h in set_hash), sketch(items))):
+                        found[c].append(v)
+                    if len(items) and doc_id is not None:
+                        packs.add(node, bands.signatures(items) >> np.uint64(64 - SIGNATURE_BITS))
+                    node += 1
+                yield rows(_ROW, found | {"doc_id": part.column(0), "digest": part.column(2)})
+                if packs.size >= PACK:
+                    yield from flush(packs)
+        yield from flush(packs)
+
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
+    return ids.mapInArrow(run, _SETS)
+
+
+def _shared(packs: DataFrame) -> DataFrame:
+    """``a, b``: nodes that share a signature with the smallest node ``b``."""
+    total, ranges = packs.agg(F.sum("count")).first()[0] or 0, 32
+    while ranges * PACK < total:
+        ranges *= 2
+    shift = np.uint64(SIGNATURE_BITS - ranges.bit_length() + 1)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack in batch.to_pylist():
+                found, owners = np.cumsum(_from_planes(pack["signatures"], np.uint64), dtype=np.uint64), _from_planes(pack["owners"], np.int32)
+                nodes = np.frombuffer(pack["nodes"], dtype=np.int64)
+                ends = np.searchsorted(found >> shift, np.arange(ranges + 1, dtype=np.uint64)).tolist()
+                for r, (s, e) in enumerate(zip(ends[:-1], ends[1:])):
+                    if s < e:
+                        part = _packed(found[s:e], owners[s:e])
+                        # a task's nodes are numbered in a row: the first one and distances to it say all
+                        offsets = _planes((nodes[owners[s:e]] - nodes[0]).astype(np.int32))
+                        row = {"range": [r], "base": [int(nodes[0])], "signatures": [part["signatures"]], "offsets": [offsets]}
+                        yield pa.RecordBatch.from_pydict(row, schema=pa.schema([("range", pa.int32()), ("base", pa.int64()), ("signatures", pa.binary()), ("offsets", pa.binary())]))
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        found = np.concatenate([np.cumsum(_from_planes(x, np.uint64), dtype=np.uint64) for x in rows["signatures"]])
+        nodes = np.concatenate([np.int64(base) + _from_planes(x, np.int32).astype(np.int64) for base, x in zip(rows["base"], rows["offsets"])])
+        order = np.lexsort((nodes, found))
+        found, nodes = found[order], nodes[order]
+        first = np.concatenate([[True], found[1:] != found[:-1]])
+        least = nodes[np.maximum.accumulate(np.where(first, np.arange(len(found)), 0))]
+        return pd.DataFrame({"a": nodes[~first], "b": least[~first]}).drop_duplicates()
+
+    parts = packs.select("count", "signatures", "owners", "nodes").mapInArrow(split, "range int, base long, signatures binary, offsets binary")
+    return parts.groupBy("range").applyInPandas(meet, "a long, b long")
 
 
 def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -371,38 +479,54 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     scratch = Scratch(docs.sparkSession)
     signed = scratch.keep(_sets(docs, words, percent))
     key = ["n", "h1", "h2"]
-    stored = scratch.keep(signed.select("doc_id", *key))
-    filled = signed.where("n > 0")
-    classes = scratch.keep(
-        filled.groupBy(*key).agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sketch")).alias("m"), F.count(F.lit(1)).alias("copies"))
-        .select(*key, F.col("m.doc_id").alias("rep"), F.col("m.sketch").alias("sketch"), "copies")
-    )
-    reps = filled.where("doc_id is not null").groupBy(*key).agg(F.min(F.struct("doc_id", "signatures")).alias("m"))
-    exploded = reps.select(F.col("m.doc_id").alias("id"), F.explode("m.signatures").alias("signature"))
-    # classes that share a signature lead to the smallest of them
-    least = F.min("id").over(Window.partitionBy("signature"))
-    shared = scratch.keep(exploded.withColumn("least", least).where("id <> least").select("id", "least").distinct())
+    rows = signed.where(F.col("kind") == _ROW).select("node", "doc_id", *key, "digest", "sketch")
+    # the class's row of the smallest id is its node
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node", "digest", "sketch"))
+    classes = rows.where("n > 0").groupBy(*key).agg(least.alias("m"), F.count(F.lit(1)).alias("copies"))
+    classes = scratch.keep(classes.select(*key, F.col("m.node").alias("rep"), "m.doc_id", "m.digest", "m.sketch", "copies"))
+    known = classes.select(F.col("n").alias("n_class"), own_exchange("h1").alias("h1"), "h2", "rep")
+    of_class = (F.col("n") == F.col("n_class")) & (rows["h1"] == known["h1"]) & (rows["h2"] == known["h2"])
+    stored = scratch.keep(rows.join(known, of_class, "left").select("node", "doc_id", "n", "rep"))
+    shared = _of_classes(_shared(signed.where(F.col("kind") == _PACK)), signed.where(F.col("kind") == _LINK), stored)
+    shared = scratch.keep(shared)
     scratch.drop(signed)
-    by_id = classes.select(F.col("rep").alias("id"), "n", "copies", "sketch")
-    weak = _clusters(shared, "id", "least", SKETCH_TILE, scratch).join(by_id.drop("copies"), "id")
-    weak = scratch.keep(weak)
+    weak = scratch.keep(_clusters(shared, "a", "b", SKETCH_TILE, scratch).join(classes.select(F.col("rep").alias("id"), "n", "sketch"), "id"))
     scratch.drop(shared)
     possible = scratch.keep(_possible(weak, percent))
     scratch.drop(weak)
-    placed = scratch.keep(_clusters(possible, "id", "root", TILE, scratch).join(by_id.select("id", "copies"), "id"))
+    members = _clusters(possible, "id", "root", TILE, scratch)
+    placed = scratch.keep(members.join(classes.select(F.col("rep").alias("id"), "copies", F.col("doc_id").alias("own"), F.col("digest").alias("own_digest")), "id"))
     # the candidates have no size bound: the same merge join at every size, not a broadcast of few
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(placed.hint("merge"), "id")
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
+    texts = whole.join(placed.hint("merge"), (whole["doc_id"] == placed["own"]) & (whole["digest"] == placed["own_digest"]))
     sets = scratch.keep(_shingle_sets(texts, words))
     found = scratch.keep(_links(sets, percent))
     scratch.drop(sets)
-    labels = components(found, "id", "root", scratch).withColumnRenamed("id", "rep")
+    joined = found.select("id", "root").unionByName(_same_ids(stored))
+    labels = components(joined, "id", "root", scratch).select(F.col("id").alias("rep"), F.col("component_id").alias("top"))
     links = found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
-    named = classes.drop("sketch").join(labels, "rep", "left").join(links, "rep", "left").select(
-        "n", own_exchange("h1").alias("h1"), "h2", F.coalesce("component_id", "rep").alias("component_id"),
-        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-    )
-    out = stored.join(named, key, "left")
-    return out.select(
+    named = classes.select("rep", "doc_id", "copies").join(labels, "rep", "left").join(links, "rep", "left")
+    named = named.select("rep", "doc_id", F.coalesce("top", "rep").alias("top"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    smallest = named.groupBy("top").agg(F.min("doc_id").alias("component_id")).select(own_exchange("top").alias("top"), "component_id")
+    named = named.join(smallest, "top").select(own_exchange("rep").alias("rep"), "n_links", "component_id")
+    return stored.join(named, "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
+
+
+def _of_classes(across: DataFrame, within: DataFrame, stored: DataFrame) -> DataFrame:
+    """Links of nodes as links of their classes."""
+    links = across.unionByName(within.select(F.col("node").alias("a"), F.col("doc_id").alias("b")))
+    copies = stored.where("rep <> node").select(own_exchange("node").alias("node"), "rep")
+    for end in ("a", "b"):
+        moved = copies.select(F.col("node").alias(f"{end}_node"), F.col("rep").alias(f"{end}_rep"))
+        links = links.join(moved, F.col(end) == F.col(f"{end}_node"), "left").withColumn(end, F.coalesce(f"{end}_rep", end)).drop(f"{end}_node", f"{end}_rep")
+    return links.where("a <> b").distinct()
+
+
+def _same_ids(stored: DataFrame) -> DataFrame:
+    """``id, root``: the classes of one id lead to the first of them."""
+    of_id = stored.where("doc_id is not null and rep is not null").groupBy("doc_id")
+    several = of_id.agg(F.min("rep").alias("root"), F.max("rep").alias("last")).where("root <> last").select(own_exchange("doc_id").alias("doc_id"), "root")
+    return stored.select("doc_id", F.col("rep").alias("id")).join(several, "doc_id").where("id <> root").select("id", "root").distinct()

@@ -195,6 +195,43 @@ def test_sketches_bound_the_difference():
         assert (bits[0] != bits[1]).sum() <= len(set(a.tolist()) ^ set(b.tolist()))
 
 
+@pytest.mark.parametrize("pack", [1 << 21, 40])
+def test_packs_and_ranges_of_any_size_find_the_same(spark, monkeypatch, pack):
+    """Small packs: signatures of one task in many packs and many ranges."""
+    monkeypatch.setattr(ngram_jaccard, "PACK", pack)
+    rng = random.Random(8)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(300)}" for _ in range(60)]
+        texts += [" ".join(base[:i] + ["x"] * (i % 3) + base[i:]) for i in range(0, 60, 9)] + [" ".join(base)] * 3
+    got = ngram_jaccard.jaccard_components(frame(spark, texts).repartition(5), 5, 80).orderBy("doc_id").collect()
+    assert [(r["n_shingles"], r["n_links"], r["component_id"]) for r in got] == brute_components(texts, 5, 80)
+
+
+def test_different_texts_of_one_id(spark):
+    """Each text keeps its links in any order of the rows; components meet in the id."""
+    base = [f"w{i}" for i in range(60)]
+    a, b, c = "one two three four five six", " ".join(base), " ".join(base + ["end"])
+    for rows in ([(5, a), (5, b), (9, c)], [(5, b), (5, a), (9, c)], [(9, c), (5, a), (5, b)]):
+        got = ngram_jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+        assert sorted((r["doc_id"], r["n_shingles"], r["n_links"], r["component_id"]) for r in got) == [(5, 4, 0, 5), (5, 58, 1, 5), (9, 59, 1, 5)]
+    # 2 is close to one text of 5, 9 to the other: one component
+    rows = [(5, a), (5, b), (9, c), (2, a + "  "), (2, a)]
+    got = ngram_jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_links"], r["component_id"]) for r in got) == [(2, 2, 2), (2, 2, 2), (5, 1, 2), (5, 2, 2), (9, 1, 2)]
+
+
+def test_join_query_equals_brute_force(spark):
+    """The query over a whole table, in pairs that share a shingle."""
+    from tablesmith.llm.queries import op2_ngram_jaccard
+
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    ids = sorted(texts)
+    want = brute_components([texts[i] for i in ids], 3, 90)
+    got = {r["doc_id"]: r for r in op2_ngram_jaccard(spark, SF).collect()}
+    assert [(got[i]["n_shingles"], got[i]["n_links"], got[i]["component_id"]) for i in ids] == [(n, links, ids[root]) for n, links, root in want]
+
+
 def test_join_edges(spark):
     docs = spark.createDataFrame([(7, "a b c d"), (7, "a b c d"), (None, "a b c d"), (3, "a b c d"), (None, None)], "doc_id long, text string")
     got = sorted(((r["doc_id"], r["n_shingles"], r["n_links"], r["component_id"]) for r in ngram_jaccard.jaccard_components(docs).collect()), key=str)
