@@ -47,6 +47,23 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def hash_sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
+    """The ``n`` rows with the smallest hash of the first column (ties: of the
+    other ones). Rows above a threshold, set from the number of rows, are
+    filtered out where they are read, so that the tasks together send a few
+    times ``n`` rows at any size of the table, not ``n`` rows each."""
+    total, wanted = df.count(), 4 * n + 64
+    chosen = df
+    first = F.xxhash64(columns[0])
+    while wanted < total:
+        chosen = df.where(first <= F.lit(-(1 << 63) + (wanted << 64) // total))
+        if chosen.select(columns[0]).limit(n).count() == n:
+            break
+        wanted *= 8  # many rows share a value of the first column
+        chosen = df
+    return chosen.orderBy(*(F.xxhash64(c) for c in columns)).limit(n)
+
+
 def own_exchange(col: str):
     """The same integer key as an expression of its own. A join on it gets an
     exchange for this side even where an aggregation has already partitioned

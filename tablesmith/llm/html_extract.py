@@ -23,8 +23,11 @@ space, blocks are joined in page order by an empty line.
 
 Defined results: null and empty pages give an empty text; pages without any
 article text as well; broken markup is read as far as it goes (an open element
-ends with its parent, an open comment or script with the page); repeated rows
-are extracted each; an empty table gives an empty result.
+ends with its parent, an open comment or script with the page, a tag with an open
+quote at its first ``>``); very long and broken pages take time in proportion to
+their length; repeated rows are extracted each; an empty table gives an empty
+result; only the kept columns, ``page_id`` and ``html`` are read, so other
+columns may have any name.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesmith.llm.boosting import BoostedTrees
+from tablesmith.llm.common import hash_sample
 
 TRAINING_PAGES = 240
 VARIANTS = 4
@@ -74,7 +79,10 @@ REST_WORDS = frozenset(
 )
 ARTICLE_WORDS = frozenset("article articlebody body content entry main maincontent post postbody prose story text page".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:--\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+_OPEN = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+_COMMENT_END = re.compile(r"--\s*>")
+#: The end of a tag, or a name and, after an equals sign, a quote that opens a value or a value without quotes.
+_IN_TAG = re.compile(r"""[\s/]*(?:(>)|[^\s/>][^\s/>=]*(?:\s*=\s*(?:(["'])|[^\s>"'][^\s>]*)?)?)""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-label|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.I)
 _NAME = re.compile(r"[a-z]+", re.I)
 
@@ -90,6 +98,56 @@ class Node:
         self.depth = parent.depth + 1 if parent else 0
 
 
+class _Tokens:
+    """Markup of a page from left to right, each character a bounded number of
+    times. Quotes count only where they open a value. A tag whose quotes are
+    still open at the end of the page ends at its first ``>``, and so do all
+    tags after it; a ``<`` without any ``>`` behind it is text."""
+
+    def __init__(self, page: str):
+        self.page, self.quoted = page, True
+        self.last = {c: page.rfind(c) for c in "<>\"'"}
+
+    def _end_of_tag(self, at: int) -> int:
+        """The place of the tag's ``>``."""
+        page, start = self.page, at
+        while self.quoted:
+            m = _IN_TAG.match(page, at)
+            if not m:
+                break
+            if m[1]:
+                return m.start(1)
+            at = m.end()
+            if m[2]:
+                if self.last[m[2]] < at:
+                    break
+                at = page.index(m[2], at) + 1
+        self.quoted = False
+        return page.index(">", start)
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """Start and end of the next markup, tag (empty: none), whether it is an
+        end tag, attributes."""
+        page = self.page
+        while at <= self.last["<"]:
+            m = _OPEN.search(page, at)
+            if not m:
+                return None
+            if m[1]:
+                end = _COMMENT_END.search(page, m.end())
+                return m.start(), end.end() if end else len(page), "", False, ""
+            if m[2]:
+                end = page.find("]]>", m.end())
+                return m.start(), end + 3 if end >= 0 else len(page), "", False, ""
+            if self.last[">"] < m.end():
+                return None
+            if m[3]:
+                return m.start(), page.index(">", m.end()) + 1, "", False, ""
+            end = self._end_of_tag(m.end())
+            return m.start(), end + 1, m[5], bool(m[4]), page[m.end() : end]
+        return None
+
+
 def _attribute_words(attributes: str) -> frozenset:
     if "=" not in attributes:
         return frozenset()
@@ -104,6 +162,8 @@ def parse(page: str) -> Node:
     """The tree of block elements; texts of inline elements belong to the block around them."""
     root = Node("html", frozenset(), None)
     stack: list[tuple[str, Node | None]] = []  # open elements; inline ones have no node
+    count: Counter[str] = Counter()  # of the open elements
+    tokens = _Tokens(page)
     here, links, run, at, n = root, 0, [], 0, len(page)
     hidden = 0  # open hidden elements
 
@@ -120,6 +180,7 @@ def parse(page: str) -> Node:
         nonlocal here, links, hidden
         while len(stack) > to:
             tag, node = stack.pop()
+            count[tag] -= 1
             if tag == "a":
                 links -= 1
             elif tag in HIDDEN:
@@ -128,7 +189,13 @@ def parse(page: str) -> Node:
                 flush()
                 here = node.parent
 
+    def push(tag: str, node: "Node | None") -> None:
+        stack.append((tag, node))
+        count[tag] += 1
+
     def find(tags, stop=frozenset()) -> int:
+        if not any(count[t] for t in tags):
+            return -1
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in tags:
                 return i
@@ -137,8 +204,8 @@ def parse(page: str) -> Node:
         return -1
 
     while at < n:
-        m = _TOKEN.search(page, at)
-        text = page[at : m.start()] if m else page[at:]
+        found = tokens.next(at)
+        text = page[at : found[0]] if found else page[at:]
         if hidden and stack[-1][0] == "head" and text.strip():
             close(len(stack) - 1)
         if text and not hidden:
@@ -147,14 +214,13 @@ def parse(page: str) -> Node:
             run.append(text)
             if links:
                 here.links += len(text.strip())
-        if not m:
+        if not found:
             break
-        at = m.end()
-        tag = m[2]
+        _, at, tag, closing, attributes = found
         if not tag:
             continue
         tag = tag.lower()
-        if m[1]:
+        if closing:
             if tag == "p" and find({"p"}) < 0:
                 flush()
                 continue
@@ -164,7 +230,7 @@ def parse(page: str) -> Node:
             continue
         if hidden and tag not in HEAD_TAGS and (i := find({"head"})) >= 0:
             close(i)
-        if tag in ("svg", "math") and m[3].rstrip().endswith("/"):
+        if tag in ("svg", "math") and attributes.rstrip().endswith("/"):
             here.tags += 1
             continue
         if tag in RAW:  # up to its end tag nothing is markup
@@ -195,17 +261,17 @@ def parse(page: str) -> Node:
                 if i >= 0:
                     close(i)
                 links += 1
-            stack.append((tag, None))
+            push(tag, None)
             continue
         if tag in HIDDEN:
             hidden += 1
-            stack.append((tag, None))
+            push(tag, None)
             continue
         flush()
-        node = Node(tag, _attribute_words(m[3]), here)
+        node = Node(tag, _attribute_words(attributes), here)
         here.children.append(node)
         here.items.append(node)
-        stack.append((tag, node))
+        push(tag, node)
         here = node
     close(0)
     flush()
@@ -482,7 +548,7 @@ def _inside(node: Node | None, ancestor: Node) -> bool:
 
 def fit(pages: DataFrame) -> BoostedTrees | None:
     """Trained on a bounded sample of the table."""
-    sample = pages.where("html is not null").select("page_id", "html").orderBy(F.xxhash64("page_id"), F.xxhash64("html")).limit(TRAINING_PAGES)
+    sample = hash_sample(pages.where("html is not null").select("page_id", "html"), TRAINING_PAGES, "page_id", "html")
     return train([r["html"] for r in sample.collect()])
 
 

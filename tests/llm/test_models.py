@@ -193,6 +193,44 @@ def test_valid_pages_are_not_cut(extractor, before):
     assert html_extract.extract_texts([before + page], extractor) == ["\n\n".join(blocks)]
 
 
+@pytest.mark.parametrize("page, texts", [
+    ('<p data-x=5">two</p>', ["two"]), ("<p data-x=it's>two</p><p>three</p>", ["two", "three"]), ('<p title="a > b" lang=\'x>y\'>two</p>', ["two"]),
+    ('<p title = "a>b"class=c>two</p>', ["two"]), ("<p =x>two</p>", ["two"]), ("<p a= >two</p>", ["two"]), ("1 < 2 <p>3 > 2</p>", ["1 < 2", "3 > 2"]),
+    ('<p title="open>two</p><p>three</p>', ["two", "three"]), ("<!-- a > b -- ><p>two</p><!DOCTYPE x><?php y ?><![CDATA[ <p> ]]>", ["two"]), ("a <b", ["a <b"]),
+    ("<p/>two</p>", ["two"]), ("<P CLASS=x>two</P >", ["two"]),
+])
+def test_tags_end_where_browsers_end_them(page, texts):
+    def strings(node):
+        return [s for x in node.items for s in ([x] if isinstance(x, str) else strings(x))]
+
+    assert strings(html_extract.parse(page)) == texts
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 330_000, "<b c='d " * 120_000, '<b c="' * 170_000 + "x", "<a <" * 250_000 + ">", "<" * 1_000_000, "<!" * 500_000, "<p x='>" * 140_000, "<b>" * 150_000 + "</i>" * 150_000,
+    "<div>" + "<b>" * 100_000 + "<hr>" * 100_000, "<a href=\"x'>" * 80_000, "-" * 500_000 + "<!--" + "-" * 500_000, "<title>" * 140_000, "<p a" + " " * 1_000_000 + "b>",
+], ids=range(13))
+def test_long_broken_pages_take_seconds(page):
+    import time
+
+    began = time.process_time()
+    html_extract.parse(page)
+    assert time.process_time() - began < 20
+
+
+def test_the_sample_is_the_smallest_hashes(spark):
+    from pyspark.sql import functions as F
+
+    from tablesmith.llm.common import hash_sample
+
+    rows = spark.range(3000).selectExpr("id % 2900 AS k", "CAST(id AS STRING) AS v").repartition(7)
+    want = rows.orderBy(F.xxhash64("k"), F.xxhash64("v")).limit(20).collect()
+    assert hash_sample(rows, 20, "k", "v").collect() == want
+    same = rows.withColumn("k", F.lit(1))
+    assert hash_sample(same, 20, "k", "v").collect() == same.orderBy(F.xxhash64("v")).limit(20).collect()
+    assert hash_sample(rows.limit(5), 20, "k", "v").count() == 5 and hash_sample(rows.limit(0), 20, "k", "v").count() == 0
+
+
 def test_sibling_places_are_exact_at_every_size():
     nodes = html_extract.preorder(html_extract.parse("<div>" + "".join(f"<p>{'w ' * (k % 7 + 1)}</p>" for k in range(100)) + "</div>"))
     rows = html_extract.features(nodes)
