@@ -12,8 +12,9 @@ starts from stored raw tables). Then:
    the median of three;
 2. ``publish``: a complete load (build, ids, staged write, checks, rename);
    ``publish_upsert``: the same definition merged into the published table
-   (every key updated); ``publish_upsert_small``: an increment of the rates of
-   one firm in a thousand;
+   (every key updated); ``publish_upsert_small``: new versions of the rates of
+   one firm in a thousand are appended to the raw table (not timed), and their
+   keys are found, rebuilt and merged (``mode="increment"``);
 3. ``upsert_by_key``: the operator over the stored, published table.
 
 ``value`` is the sum of all timed entries but ``prepare_raw``.
@@ -21,7 +22,6 @@ starts from stored raw tables). Then:
 
 from __future__ import annotations
 
-import dataclasses
 import json
 import os
 import statistics
@@ -32,6 +32,8 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from tablesmith.operators.upsert import upsert_by_key  # noqa: E402
 from tablesmith.plans import firm_transport_rate as FTR  # noqa: E402
 from tablesmith.plans import queries as Q  # noqa: E402
@@ -110,12 +112,16 @@ def main() -> None:
     if upserted.status != "succeeded":
         raise SystemExit(f"upsert failed: {upserted.error}")
 
-    small = dataclasses.replace(DEFINITION, build=lambda sources: DEFINITION.build(sources).where("CAST(firm_id AS BIGINT) % 1000 = 7"))
+    rates = spark.read.parquet(f"{raw_dir}/gtran_rates")
+    newer = rates.where("CAST(firmid AS BIGINT) % 1000 = 7").withColumns(
+        {"ingestion_timestamp": F.expr("TIMESTAMP'2030-01-01 00:00:00'").cast(rates.schema["ingestion_timestamp"].dataType), "ratechgd": F.lit("1.25")}
+    )
+    newer.write.mode("append").parquet(f"{raw_dir}/gtran_rates")
     t0 = time.perf_counter()
-    increment = build_table(store, small, mode="upsert")
+    increment = build_table(store, DEFINITION, mode="increment")
     times["publish_upsert_small"] = round(time.perf_counter() - t0, 3)
-    if increment.status != "succeeded":
-        raise SystemExit(f"upsert failed: {increment.error}")
+    if increment.status != "succeeded" or not 0 < increment.rows < result.rows // 100:
+        raise SystemExit(f"increment failed: {increment.rows} rows, {increment.error}")
     target = store.read_curated(DEFINITION.table)
     incoming = target.drop(FTR.ID_COL, FTR.LOADED_TS_COL)
     times["upsert_by_key"] = timed(

@@ -8,7 +8,7 @@ returns DataFrames so Catalyst plans and optimizes the whole load.
 
 from tablesmith.operators.contract import TableContract, conform, duplicate_keys, null_counts
 from tablesmith.operators.ids import assign_id, unique_id
-from tablesmith.operators.lookup import header_orphans, inner_header, lookup_as
+from tablesmith.operators.lookup import header_orphans, inner_header, lookup_as, lookup_roles
 from tablesmith.operators.upsert import upsert_by_key, upsert_counts
 from tablesmith.operators.versions import latest_by_key, loaded_versions, superseded_versions
 from tablesmith.plans.build import build_all, build_table, results_frame, run_summary, run_totals
@@ -36,6 +36,7 @@ __all__ = [
     "latest_by_key",
     "loaded_versions",
     "lookup_as",
+    "lookup_roles",
     "missing_sources",
     "null_counts",
     "results_frame",

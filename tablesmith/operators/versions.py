@@ -50,8 +50,9 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(c) for c, kind in df.dtypes if "map<" not in kind])
 
 
-def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order, _row_hash(df))
+def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], tie_columns: Sequence[str] = ()) -> DataFrame:
+    first = [F.xxhash64(*tie_columns)] if tie_columns else []
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order, *first, _row_hash(df))
     return df.withColumn(_RANK, F.row_number().over(w))
 
 
@@ -61,16 +62,21 @@ def latest_by_key(
     order: Sequence[Column] | None = None,
     status_col: str | None = STATUS_COL,
     status: str = LOADED,
+    tie_columns: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key: its newest loaded version, all input columns kept.
 
     ``status_col=None`` skips the status filter (input already filtered).
     NULL keys form one group, like any other key value.
+
+    Ties are decided by a hash of ``tie_columns`` first. A read of only the key,
+    the order and these columns then finds the same values of them as a read of
+    the whole rows, so both can be used side by side.
     """
     if status_col is not None:
         df = loaded_versions(df, status_col, status)
     order = list(order) if order is not None else version_order()
-    return _ranked(df, keys, order).filter(F.col(_RANK) == 1).drop(_RANK)
+    return _ranked(df, keys, order, tie_columns).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
 def superseded_versions(

@@ -8,22 +8,26 @@ has a loaded contract header. Inputs:
 * ``gtran_loc``   — point quantity, key ``(firmid, loc)``, looked up twice:
   as the receipt point (``recloc``) and as the delivery point (``delloc``).
 
-Plan: three ``latest_by_key`` dedups (partial top-1 before each shuffle),
-one inner join to the header, two left joins to the same location set
-(the second one reuses the first one's exchange), then one projection of
-42 typed columns. Everything is a built-in expression.
+Plan: ``latest_by_key`` dedups (partial top-1 before each shuffle), one inner
+join to the header, two left joins to the same location set (the second one
+reuses the first one's exchange), then one projection of 42 typed columns.
+Everything is a built-in expression. The wide rate rows are shuffled once for
+their dedup and once for the header; the lookups run on a dedup of the key and
+the two point codes alone, a narrow scan, and their result meets the wide rows
+where the dedup has already partitioned them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesmith.functions import clean as C
 from tablesmith.operators.contract import TableContract
-from tablesmith.operators.lookup import inner_header, lookup_as
-from tablesmith.operators.versions import ROW_ID_COL, STATUS_COL, TS_COL, latest_by_key
-from tablesmith.plans.tabledef import TableDef
+from tablesmith.operators.lookup import inner_header, lookup_as, lookup_roles
+from tablesmith.operators.versions import ROW_ID_COL, STATUS_COL, TS_COL, latest_by_key, loaded_versions
+from tablesmith.plans.tabledef import Increment, TableDef
 
 # Definition and table names, raw sources, natural key and the
 # curated column names and types below must equal the published table's.
@@ -113,10 +117,22 @@ def latest_inputs(sources: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame,
     columns are left out first, so that ties are decided by, and scans read,
     only what the table is made of."""
 
-    def latest(table: str, *key: str) -> DataFrame:
-        return latest_by_key(sources[table].select(*RAW_COLUMNS[table], STATUS_COL, TS_COL, ROW_ID_COL), list(key))
+    def latest(table: str, *key: str, **ties) -> DataFrame:
+        return latest_by_key(sources[table].select(*RAW_COLUMNS[table], STATUS_COL, TS_COL, ROW_ID_COL), list(key), **ties)
 
-    return latest("gtran_firm", "firmid"), latest("gtran_rates", "firmid", "uniqueid"), latest("gtran_loc", "firmid", "loc")
+    rates = latest("gtran_rates", "firmid", "uniqueid", tie_columns=POINT_COLUMNS)
+    return latest("gtran_firm", "firmid"), rates, latest("gtran_loc", "firmid", "loc")
+
+
+#: What the lookup of point quantities needs of a rate.
+POINT_COLUMNS = ("firmid", "uniqueid", "recloc", "delloc")
+
+
+def latest_points(sources: dict[str, DataFrame]) -> DataFrame:
+    """Key and point codes of the newest loaded rates: the same rows as those of
+    :func:`latest_inputs`, from a scan of these columns only."""
+    narrow = sources["gtran_rates"].select(*POINT_COLUMNS, STATUS_COL, TS_COL, ROW_ID_COL)
+    return latest_by_key(narrow, ["firmid", "uniqueid"], tie_columns=POINT_COLUMNS).select(*POINT_COLUMNS)
 
 
 def rates_with_header(rate: DataFrame, firm: DataFrame) -> DataFrame:
@@ -125,9 +141,9 @@ def rates_with_header(rate: DataFrame, firm: DataFrame) -> DataFrame:
 
 
 def with_point_quantities(df: DataFrame, loc: DataFrame) -> DataFrame:
-    """Receipt and delivery point quantity text from the same location set."""
-    df = lookup_as(df, loc, {"firmid": "firmid", "recloc": "loc"}, {"kqtyloc": "lr_kqtyloc"}, role="receipt")
-    return lookup_as(df, loc, {"firmid": "firmid", "delloc": "loc"}, {"kqtyloc": "ld_kqtyloc"}, role="delivery")
+    """Receipt and delivery point quantity text of each rate (``POINT_COLUMNS``
+    are kept), from one lookup of the location set."""
+    return lookup_roles(df, ("firmid", "uniqueid"), loc, {"firmid": "firmid"}, "loc", "kqtyloc", {"recloc": "lr_kqtyloc", "delloc": "ld_kqtyloc"})
 
 
 def loaded_column_sql() -> list[tuple[str, str]]:
@@ -186,29 +202,81 @@ def project(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"{sql} AS {name}" for name, sql in loaded_column_sql()])
 
 
-def rates_with_quantities(rate: DataFrame, loc: DataFrame) -> DataFrame:
+def rates_with_quantities(rate: DataFrame, points: DataFrame, loc: DataFrame) -> DataFrame:
     """Latest rates with the quantities of both points.
 
-    Both lookups run on the key and the point codes only; the result is joined
-    back on the key, by which the latest rates are already partitioned, so the
-    wide rows are not shuffled for the lookups. Rates without a full key keep
-    no quantities: they have no header or stop the load.
+    The lookups run on the rates' ``points`` only; the result is joined back on
+    the key, by which the latest rates are already partitioned, so the wide rows
+    are not shuffled for it. Rates without a full key keep no quantities: they
+    have no header or stop the load. The roles are looked up one after the other:
+    the narrow rows then move three times, not four as in
+    :func:`with_point_quantities`, and a point that only one role makes hot is
+    not diluted by the other role's rows, so it is split earlier.
     """
-    narrow = rate.select("firmid", "uniqueid", "recloc", "delloc")
-    found = with_point_quantities(narrow, loc)
+    found = lookup_as(points, loc, {"firmid": "firmid", "recloc": "loc"}, {"kqtyloc": "lr_kqtyloc"}, role="receipt")
+    found = lookup_as(found, loc, {"firmid": "firmid", "delloc": "loc"}, {"kqtyloc": "ld_kqtyloc"}, role="delivery")
     found = found.selectExpr("firmid AS __q_firmid", "uniqueid AS __q_uniqueid", "lr_kqtyloc", "ld_kqtyloc")
     on = (rate["firmid"] == found["__q_firmid"]) & (rate["uniqueid"] == found["__q_uniqueid"])
     return rate.join(found, on, "left").drop("__q_firmid", "__q_uniqueid")
 
 
-def assemble(firm: DataFrame, rate: DataFrame, loc: DataFrame) -> DataFrame:
-    """The 42 loaded columns from the latest firm, rate and location rows."""
-    return project(rates_with_header(rates_with_quantities(rate, loc), firm))
-
-
 def build(sources: dict[str, DataFrame]) -> DataFrame:
     """The 42 loaded columns of ``firm_transport_rate`` from the raw tables."""
-    return assemble(*latest_inputs(sources))
+    firm, rate, loc = latest_inputs(sources)
+    rates = rates_with_quantities(rate, latest_points(sources), loc)
+    return project(rates_with_header(rates, firm))
+
+
+# ------------------------------------------------------------- increments
+#: Up to so many changed firms are pushed into the scans as values.
+FIRMS_PUSHED = 1000
+
+
+def firm_sizes(sources: dict[str, DataFrame]) -> DataFrame:
+    """About how many rows each firm has: its loaded rate versions."""
+    rates = loaded_versions(sources["gtran_rates"]).where("firmid is not null")
+    return rates.groupBy(F.col("firmid").alias("firm_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def changed_keys(sources: dict[str, DataFrame], new: dict[str, DataFrame]) -> DataFrame:
+    """``firmid, uniqueid`` of all rates that new loaded rows may change.
+
+    A new rate version changes its own key; a new header all rates of its firm;
+    a new point quantity the rates with that point in either role, in any of
+    their versions. Rates are read once: each names its firm and both points,
+    and what changed is looked up by (firm, kind, code).
+    """
+    new = {name: loaded_versions(df) for name, df in new.items()}
+    firms = new["gtran_firm"].select("firmid", F.lit("firm").alias("kind"), F.lit("").alias("code"))
+    points = new["gtran_loc"].where("loc is not null").select("firmid", F.lit("point").alias("kind"), F.col("loc").alias("code"))
+    changed = firms.unionByName(points).where("firmid is not null").distinct().withColumnRenamed("firmid", "__firm")
+    rates = loaded_versions(sources["gtran_rates"]).where("firmid is not null")
+    named = rates.selectExpr("firmid", "uniqueid", "stack(3, 'firm', '', 'point', recloc, 'point', delloc) AS (__kind, __code)")
+    on = (F.col("firmid") == F.col("__firm")) & (F.col("__kind") == F.col("kind")) & (F.col("__code") == F.col("code"))
+    touched = named.join(changed, on, "left_semi").select("firmid", "uniqueid")
+    own = new["gtran_rates"].where("firmid is not null").select("firmid", "uniqueid")
+    return touched.unionByName(own).distinct()
+
+
+def changed_sources(sources: dict[str, DataFrame], keys: DataFrame) -> dict[str, DataFrame]:
+    """The source rows that the rates of ``keys`` are built from.
+
+    The firms of a small increment are a predicate of all three scans; those of
+    a large one are joined. The rates are joined on the whole key in both cases.
+    A key without ``uniqueid`` stays, so that it stops the load.
+    """
+    firms = keys.select("firmid").distinct()
+    few = [r[0] for r in firms.limit(FIRMS_PUSHED + 1).collect()]
+    if len(few) <= FIRMS_PUSHED:
+        out = {name: df.where(F.col("firmid").isin(few)) for name, df in sources.items()}
+    else:
+        out = dict(sources)
+        for name in ("gtran_firm", "gtran_loc"):
+            out[name] = out[name].join(firms, "firmid", "left_semi")
+    named = keys.toDF("__firmid", "__uniqueid")
+    rates = out["gtran_rates"]
+    out["gtran_rates"] = rates.join(named, (rates["firmid"] == named["__firmid"]) & rates["uniqueid"].eqNullSafe(named["__uniqueid"]), "left_semi")
+    return out
 
 
 DEFINITION = TableDef(
@@ -217,4 +285,7 @@ DEFINITION = TableDef(
     sources=SOURCES,
     contract=CONTRACT,
     build=build,
+    lead=("firm_id",),
+    sizes=firm_sizes,
+    increment=Increment(changed_keys, changed_sources),
 )

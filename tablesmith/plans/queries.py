@@ -94,9 +94,8 @@ def header_orphans(raw):
 
 @on_raw
 def dual_role_lookup(raw):
-    _, rate, loc = FTR.latest_inputs(raw)
-    rate = rate.select("firmid", "uniqueid", "recloc", "delloc")
-    return FTR.with_point_quantities(rate, loc)
+    _, _, loc = FTR.latest_inputs(raw)
+    return FTR.with_point_quantities(FTR.latest_points(raw), loc)
 
 
 @on_raw

@@ -33,6 +33,8 @@ PLAN_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # folders are listed by so many tasks, not by one task per folder
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     # remove checkpoint files once the DataFrame that wrote them is gone
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
