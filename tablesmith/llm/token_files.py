@@ -16,19 +16,20 @@ the whole stream. ``documents`` reads the small columns only, ``tokens`` adds
 the ids and ``span`` reads the ids at a range of positions of the stream.
 
 Encoding is exact: texts are cut at ASCII white space, where the tokenizer cuts
-too, and the pieces between are encoded once each by the library and kept in a
-bounded cache that a worker's tasks share; pure ASCII words are cut further by
-the tokenizer's own pattern.
+too, and the words between are encoded once each by the library and kept in a
+bounded cache that a worker's tasks share; words of ASCII and Latin-1 letters
+are cut further by the tokenizer's own pattern.
 
 Defined results: a null text is an empty one and holds the end id only; rows
 with a null id come last; rows with equal ids come in the order of a hash of
 their texts (equal rows are interchangeable); very long texts are encoded whole,
-a task holds a few hundred texts at a time; an empty table gives files without
+a task holds a few MB of texts, or one longer text, at a time; an empty table gives files without
 rows; only ``doc_id`` and ``text`` are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -36,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,93 +46,125 @@ from pyspark.sql.window import Window
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1024
-CHUNK_ROWS = 256
-CACHE_WORDS = 1_000_000
-#: How the tokenizer of ``word_bpe`` cuts lower-case ASCII text without white space.
-_ASCII_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
+CHUNK_BYTES = 4 << 20
+CACHE_WORDS = 700_000
+JOINED = 512
+#: Words that hold ASCII and the letters of Latin-1 only: no normal form changes
+#: them, and each character has one lower case.
+_SIMPLE = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+#: How the tokenizer of ``word_bpe`` cuts such words in lower case; between words
+#: there is one space.
+_PIECE = re.compile(r" |'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^ a-z0-9ß-öø-ÿ]+")
 _SCHEMA = "doc_id long, shard int, before long, after long, ids array<int>"
 
 
 class Encoder:
     """Ids of texts, by cached ids of their words."""
 
-    def __init__(self, tokenizer_path: str):
+    def __init__(self, tokenizer_path: str, end_id: int = 2):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        # simple pieces are in normal form and lower case, and cut: only the merges are left to do
+        bare = json.loads(self.library.to_str())
+        bytes_only = next(p for p in bare["pre_tokenizer"]["pretokenizers"] if p["type"] == "ByteLevel")
+        bare |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, bytes_only]}, "added_tokens": []}
+        self.merges = Tokenizer.from_str(json.dumps(bare))
+        self.end_id = end_id
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.flat = np.zeros(1 << 16, dtype=np.int32)
-        self.ends = np.zeros(1 << 14, dtype=np.int64)  # place i holds flat[ends[i]:ends[i + 1]]
-
-    def _encoded(self, pieces: list[str]) -> None:
-        """Encode pieces that hold no white space, in one call."""
-        for at in range(0, len(pieces), 4096):
-            part = pieces[at : at + 4096]
-            for piece, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                self.pieces[piece] = found.ids
-
-    def _learn(self, words: list[bytes]) -> None:
-        cut = []
-        for word in words:
-            text = word.decode("utf-8", "surrogatepass")
-            cut.append(_ASCII_PIECE.findall(text.lower()) if text.isascii() else [text])
-        self._encoded(list({p for parts in cut for p in parts if p not in self.pieces}))
-        ids = [[i for p in parts for i in self.pieces[p]] for parts in cut]
-        n, used = len(self.place), int(self.ends[len(self.place)])
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        self.flat = _room(self.flat, used + int(sizes.sum()))
-        self.ends = _room(self.ends, n + len(words) + 1)
-        self.flat[used : used + int(sizes.sum())] = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(sizes.sum()))
-        self.ends[n + 1 : n + 1 + len(words)] = used + np.cumsum(sizes)
-        self.place.update(zip(words, range(n, n + len(words))))
-
-    def encode(self, texts: list[bytes | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Forget all words: place i holds flat[ends[i]:ends[i + 1]]."""
+        self.words: dict[str, int] = {}
+        self.pieces: dict[str, int] = {}
+        self.flat, self.ends, self.n = np.zeros(1 << 16, dtype=np.int32), np.zeros(1 << 14, dtype=np.int64), 0
+        self.words[""] = self.pieces[" "] = self._add(np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64))[0]
+
+    def _add(self, ids: np.ndarray, sizes: np.ndarray) -> range:
+        """Places for new entries."""
+        used, n = int(self.ends[self.n]), self.n
+        self.flat, self.ends = _room(self.flat, used + len(ids)), _room(self.ends, n + len(sizes) + 1)
+        self.flat[used : used + len(ids)] = ids
+        self.ends[n + 1 : n + 1 + len(sizes)] = used + np.cumsum(sizes)
+        self.n += len(sizes)
+        return range(n, self.n)
+
+    def _gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids at places in a row, and where each place's ids end in it."""
+        first, size = self.ends[places], self.ends[places + 1] - self.ends[places]
+        done = np.cumsum(size)
+        return self.flat[np.repeat(first - (done - size), size) + np.arange(int(done[-1]) if len(done) else 0)], done
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        for at in range(0, len(pieces), JOINED):
+            part = pieces[at : at + JOINED]
+            found = self.merges.encode(" ".join(part), add_special_tokens=False)
+            ids, numbers = np.array(found.ids, dtype=np.int32), np.array(found.word_ids, dtype=np.int64)
+            self.pieces.update(zip(part, self._add(ids, np.bincount(numbers, minlength=len(part)))))
+
+    def _learn(self, words: list[str]) -> None:
+        simple = list(filter(_SIMPLE.fullmatch, words))
+        cut = _PIECE.findall(" ".join([*simple, ""]).lower())
+        self._learn_pieces(list(set(cut).difference(self.pieces)))
+        places = np.fromiter(map(self.pieces.__getitem__, cut), dtype=np.int64, count=len(cut))
+        ids, done = self._gather(places)
+        self.words.update(zip(simple, self._add(ids, np.diff(done[places == self.pieces[" "]], prepend=0))))
+        other = [w for w in words if w not in self.words]
+        each = [x.ids for x in self.library.encode_batch_fast(other, add_special_tokens=False)]
+        sizes = np.array([len(x) for x in each], dtype=np.int64)
+        self.words.update(zip(other, self._add(np.array([i for x in each for i in x], dtype=np.int32), sizes)))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, each text followed by the end id, and the numbers of ids."""
-        words = [t.split() if t else [] for t in texts]  # bytes.split knows ASCII white space only
-        if len(self.place) > CACHE_WORDS:
+        if self.n > CACHE_WORDS:
             self.clear()
-        new = list({w for x in words for w in x if w not in self.place})
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        found = lists.flatten().dictionary_encode()
+        words = found.dictionary.to_pylist()
+        new = [w for w in words if w not in self.words]
         if new:
             self._learn(new)
-        per_text = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        places = np.fromiter((self.place[w] for x in words for w in x), dtype=np.int64, count=int(per_text.sum()))
-        first, size = self.ends[places], self.ends[places + 1] - self.ends[places]
-        done = np.cumsum(size)
-        found = self.flat[np.repeat(first - (done - size), size) + np.arange(int(done[-1]) if len(done) else 0)]
-        until = np.concatenate([[0], done])[np.cumsum(per_text)]
-        counts = np.diff(until, prepend=0) + 1
-        return np.insert(found, until, np.int32(end_id)), counts
+        places = np.fromiter(map(self.words.__getitem__, words), dtype=np.int64, count=len(words))
+        ids, done = self._gather(places[found.indices.to_numpy()])
+        ends = np.concatenate([[0], done])[np.cumsum(np.diff(lists.offsets.to_numpy()))]
+        return np.insert(ids, ends, np.int32(self.end_id)), np.diff(ends, prepend=0) + 1
+
+
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Rows from, to: of about ``CHUNK_BYTES``, or one longer text."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at, done = 0, 0
+    while at < len(size):
+        end = max(at + 1, int(np.searchsorted(size, done + CHUNK_BYTES, side="right")))
+        yield at, end
+        at, done = end, int(size[end - 1])
 
 
 def _room(a: np.ndarray, n: int) -> np.ndarray:
     return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), dtype=a.dtype)])
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, end_id: int) -> Encoder:
     """One for each worker process: its cache outlives a task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, end_id) not in _ENCODERS:
+        _ENCODERS[path, end_id] = Encoder(path, end_id)
+    return _ENCODERS[path, end_id]
 
 
 def write(docs: DataFrame, tokenizer_path: str, out: str, end_id: int = 2) -> None:
     """Encode ``docs`` and write the folders ``out/ids`` and ``out/shards``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, before = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, shard, before = _encoder(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, CHUNK_ROWS):
-                part = batch.slice(at, CHUNK_ROWS)
-                ids, counts = encoder.encode(part.column(1).cast(pa.binary()).to_pylist(), end_id)
+            for at, end in _chunks(batch.column(1)):
+                part = batch.slice(at, end - at)
+                ids, counts = encoder.encode(part.column(1))
                 ends = np.cumsum(counts)
                 rows = [
                     part.column(0), pa.array(np.full(len(counts), shard, dtype=np.int32)), pa.array(before + ends - counts), pa.array(before + ends),
