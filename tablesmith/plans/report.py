@@ -1,8 +1,8 @@
 """Read-only reports over a store: table snapshot and source readiness.
 
 Both are DataFrames. Row counts for all tables of a schema run as one
-Spark job (a union of per-table counts); for Parquet tables a count reads
-only file footers.
+Spark job (a union of per-table counts); for Parquet tables a count decodes no
+column: the read schema of the scan is empty, its rows come from the footers.
 """
 
 from __future__ import annotations
