@@ -69,9 +69,11 @@ SKETCH_BITS = 2048
 SKETCH_TILE = 4096
 COLUMNS = 4096  # of the incidence matrices at a time
 CHUNK_ROWS = 512
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
+SKETCH_ROWS = 128
 #: Signatures of one pack, and about those of one range of the signature space.
-PACK = 1 << 21
+PACK = 1 << 19
+RANGE = 1 << 20
 #: Bits of a signature. Chance meetings are few even for 10^13 signatures, and only propose pairs.
 SIGNATURE_BITS = 56
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -158,6 +160,12 @@ class Bands:
         return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Its rows one by one: each holds whole packs or tiles."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 class _Packs:
     """Signatures of the rows of a task, packed ``PACK`` at a time."""
 
@@ -256,13 +264,13 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
 def _shared(packs: DataFrame) -> DataFrame:
     """``a, b``: nodes that share a signature with the smallest node ``b``."""
     total, ranges = packs.agg(F.sum("count")).first()[0] or 0, 32
-    while ranges * PACK < total:
+    while ranges * RANGE < total:
         ranges *= 2
     shift = np.uint64(SIGNATURE_BITS - ranges.bit_length() + 1)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for pack in batch.to_pylist():
+            for pack in _rows(batch):
                 found, owners = np.cumsum(_from_planes(pack["signatures"], np.uint64), dtype=np.uint64), _from_planes(pack["owners"], np.int32)
                 nodes = np.frombuffer(pack["nodes"], dtype=np.int64)
                 ends = np.searchsorted(found >> shift, np.arange(ranges + 1, dtype=np.uint64)).tolist()
@@ -378,7 +386,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 x = _unpack(*(row[c] for c in columns))
                 same = row["tile"] == row["other"]
                 y = x if same else _unpack(*(row[f"{c}2"] for c in columns))
@@ -398,8 +406,8 @@ def _sketch_links(a: tuple, b: tuple, same: bool, percent: int) -> pd.DataFrame:
     (ids_a, n_a, bits_a), (ids_b, n_b, bits_b) = a, b
     parent = np.arange(len(ids_a) + (0 if same else len(ids_b)))
     shift = 0 if same else len(ids_a)
-    for at in range(0, len(ids_a), TILE):
-        rows = slice(at, at + TILE)
+    for at in range(0, len(ids_a), SKETCH_ROWS):
+        rows = slice(at, at + SKETCH_ROWS)
         unequal = (SKETCH_BITS - bits_a[rows] @ bits_b.T) / 2
         x, y = n_a[rows, None], n_b[None]
         possible = ((100 + percent) * unequal <= (100 - percent) * (x + y)) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
@@ -457,7 +465,7 @@ def _possible(placed: DataFrame, percent: int) -> DataFrame:
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 x = unpack(row, "")
                 same = row["tile"] == row["other"]
                 yield pa.RecordBatch.from_pandas(_sketch_links(x, x if same else unpack(row, "2"), same, percent), preserve_index=False)

@@ -199,6 +199,7 @@ def test_sketches_bound_the_difference():
 def test_packs_and_ranges_of_any_size_find_the_same(spark, monkeypatch, pack):
     """Small packs: signatures of one task in many packs and many ranges."""
     monkeypatch.setattr(ngram_jaccard, "PACK", pack)
+    monkeypatch.setattr(ngram_jaccard, "RANGE", pack)
     rng = random.Random(8)
     texts = []
     for _ in range(12):
