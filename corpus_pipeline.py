@@ -74,9 +74,10 @@ def in_order(docs: DataFrame) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids with the end id, the number of them, and ``position``, by
-    which the rows are range-sorted: the order of training."""
-    ids = piece_bpe.encode_decode(in_order(docs), public_tokenizers.path(PIECE_MODEL), ["doc_id", "lang", "source", "position"], with_text=False)
+    """Token ids with the end id, the number of them, the text that they decode
+    to, and ``position``, by which the rows are range-sorted: the order of
+    training."""
+    ids = piece_bpe.encode_decode(in_order(docs), public_tokenizers.path(PIECE_MODEL), ["doc_id", "lang", "source", "position"])
     return ids.withColumn("n_tokens", F.size("input_ids").cast("long")).repartitionByRange("position").sortWithinPartitions("position")
 
 

@@ -93,6 +93,16 @@ def test_last_stage_equals_the_library(stages):
         assert r["input_ids"] == library.encode(before["text"]) + [2] and r["n_tokens"] == len(r["input_ids"])
 
 
+def test_last_stage_decodes_its_ids(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(PIECE_MODEL))
+    texts = ["plain  words\n", "naïve ☃ text", "", None]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], COLUMNS)
+    out = {r["doc_id"]: r for r in P.encode(spark, docs, SF).collect()}
+    assert sorted(out) == [0, 1, 2, 3]
+    assert all(r["decoded"] == library.decode(r["input_ids"]) for r in out.values())
+    assert [out[i]["decoded"] for i in range(4)] == ["plain  words\n", "naïve ☃ text", "", ""]
+
+
 def test_run_applies_all_stages(spark, stages):
     out = P.run(spark, SF)
     assert sorted(tuple(r["input_ids"]) for r in out.collect()) == sorted(tuple(r["input_ids"]) for r in stages[5])
