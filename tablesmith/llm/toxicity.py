@@ -56,7 +56,9 @@ MORE = 5
 OTHER_WEIGHT = 1.5
 THRESHOLD = 0.7
 CHUNK_ROWS = 512
-CACHE_WORDS = 500_000
+#: Bounds of what a task remembers: terms of words, scores of equal term counts.
+CACHE_WORDS = 100_000
+CACHE_SCORES = 4_000
 _WORD = re.compile(r"\w+")
 _SLACK = 1e-9
 
@@ -73,7 +75,7 @@ class _Terms(dict):
         self.numbers = numbers
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > CACHE_WORDS:
+        if len(self) >= CACHE_WORDS:
             self.clear()
         self[word] = found = tuple(self.numbers[t] for t in word_terms(word) if t in self.numbers)
         return found
@@ -164,7 +166,7 @@ class Model:
     def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int, int]]]:
         key = frozenset(counts.items())
         if key not in self.seen:
-            if len(self.seen) > 50_000:
+            if len(self.seen) >= CACHE_SCORES:
                 self.seen.clear()
             near = self.index.nearest(self.vector(counts), K)
             self.seen[key] = 1 / (1 + math.exp(-(self.a * _logit(self.vote(near)) + self.b))), near[:EVIDENCE]
@@ -267,9 +269,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, found = _Terms(numbers), np.zeros(len(numbers) + 2, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found[list(term_counts(text, terms))] += 1
-                found[-1] += 1  # all documents
+            for at in range(0, batch.num_rows, CHUNK_ROWS):
+                for text in batch.column(0).slice(at, CHUNK_ROWS).to_pylist():
+                    found[list(term_counts(text, terms))] += 1
+                    found[-1] += 1  # all documents
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_pydict({"term": pa.array(some, pa.int64()), "n": pa.array(found[some], pa.int64())})
 

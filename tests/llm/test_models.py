@@ -346,3 +346,20 @@ def test_no_gram_is_dropped_from_a_large_table(spark):
         u = r["url"]
         want = (log_likelihood(counts[1], u) - log_likelihood(counts[0], u)) / (len(u) + 1) if u else 0
         assert r["url_score"] == pytest.approx(want, abs=1e-9)
+
+
+def test_toxicity_remembers_a_bounded_number_of_words_and_scores(monkeypatch):
+    from tablesmith.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 10)
+    monkeypatch.setattr(toxicity, "CACHE_SCORES", 5)
+    terms = toxicity._Terms({"w1": 0, "w2": 1})
+    model = toxicity.Model(["w1", "w2"], [1.0, 2.0], [(1, 1, {0: 1}), (2, 0, {1: 1})])
+    fresh = toxicity.Model(["w1", "w2"], [1.0, 2.0], [(1, 1, {0: 1}), (2, 0, {1: 1})])
+    for i in range(1, 40):
+        counts = toxicity.term_counts(f"w1 w2 x{i} " * i, terms)
+        assert len(terms) <= 10
+        fresh.seen.clear()
+        assert model.score(counts) == fresh.score(counts)
+        assert len(model.seen) <= 5
+    assert toxicity.CHUNK_ROWS <= 512
