@@ -304,16 +304,19 @@ def encode_decode(docs: DataFrame, model_path: str, keep: list[str], with_text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, CHUNK_ROWS):
-                part = batch.slice(at, CHUNK_ROWS)
-                ids = model.encode(part.column(len(keep)).to_pylist())
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
-                flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
-                columns = [part.column(i) for i in range(len(keep))]
-                columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)))
-                if with_text:
-                    columns.append(pa.array([model.decode(x) for x in ids], pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, CHUNK_ROWS):
+                    part = batch.slice(at, CHUNK_ROWS)
+                    ids = model.encode(part.column(len(keep)).to_pylist())
+                    ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
+                    flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
+                    columns = [part.column(i) for i in range(len(keep))]
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)))
+                    if with_text:
+                        columns.append(pa.array([model.decode(x) for x in ids], pa.string()))
+                    yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+        finally:
+            model.cache.clear()  # the worker lives on, in stages that need the memory
 
     return docs.select(*keep, "text").mapInArrow(run, T.StructType(fields))

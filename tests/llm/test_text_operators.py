@@ -238,3 +238,29 @@ def test_join_edges(spark):
     got = sorted(((r["doc_id"], r["n_shingles"], r["n_links"], r["component_id"]) for r in ngram_jaccard.jaccard_components(docs).collect()), key=str)
     assert got == [(3, 2, 3, 3), (7, 2, 3, 3), (7, 2, 3, 3), (None, 0, 0, None), (None, 2, 3, 3)]
     assert ngram_jaccard.jaccard_components(docs.limit(0)).collect() == []
+
+
+def test_piece_cache_ends_with_the_task():
+    """Python workers outlive a stage; the words of a task must not."""
+    from types import SimpleNamespace
+
+    import public_tokenizers
+    import pyarrow as pa
+
+    from tablesmith.llm import piece_bpe
+    from tablesmith.llm.queries import PIECE_MODEL
+
+    from pyspark.sql import types as T
+
+    class Docs:
+        schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+
+        def select(self, *_):
+            return SimpleNamespace(mapInArrow=lambda run, schema: run)
+
+    path = public_tokenizers.path(PIECE_MODEL)
+    run = piece_bpe.encode_decode(Docs(), path, ["doc_id"])
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2], pa.int64()), "text": pa.array(["some words", None], pa.string())})
+    out = list(run(iter([batch])))
+    assert out[0].column(2).to_pylist() == ["some words", ""]
+    assert piece_bpe.load(path).cache == {}
