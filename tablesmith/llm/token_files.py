@@ -16,9 +16,11 @@ the whole stream. ``documents`` reads the small columns only, ``tokens`` adds
 the ids and ``span`` reads the ids at a range of positions of the stream.
 
 Encoding is exact: texts are cut at ASCII white space, where the tokenizer cuts
-too, and the words between are encoded once each by the library and kept in a
-bounded cache that a worker's tasks share; words of ASCII and Latin-1 letters
-are cut further by the tokenizer's own pattern.
+too, and of each chunk the distinct words are taken. Words of ASCII and Latin-1
+letters are cut further by the tokenizer's own pattern, so that a word costs no
+merges whose pieces others had in another case or beside another mark. The
+pieces, and other words whole, are encoded once each by the library and kept in
+a bounded cache that a worker's tasks share.
 
 Defined results: a null text is an empty one and holds the end id only; rows
 with a null id come last; rows with equal ids come in the order of a hash of
@@ -49,9 +51,9 @@ PAGE_ROWS = 1024
 CHUNK_BYTES = 4 << 20
 CACHE_WORDS = 700_000
 JOINED = 512
-#: Words that hold ASCII and the letters of Latin-1 only: no normal form changes
-#: them, and each character has one lower case.
-_SIMPLE = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+#: In words that do not hold ASCII and the letters of Latin-1 only. No normal form
+#: changes these simple ones, and each of their characters has one lower case.
+_OTHER = r"[^\x00-\x7FÀ-ÖØ-öø-ÿ]"
 #: How the tokenizer of ``word_bpe`` cuts such words in lower case; between words
 #: there is one space.
 _PIECE = re.compile(r" |'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^ a-z0-9ß-öø-ÿ]+")
@@ -59,7 +61,7 @@ _SCHEMA = "doc_id long, shard int, before long, after long, ids array<int>"
 
 
 class Encoder:
-    """Ids of texts, by cached ids of their words."""
+    """Ids of texts, by cached ids of their pieces."""
 
     def __init__(self, tokenizer_path: str, end_id: int = 2):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
@@ -80,7 +82,7 @@ class Encoder:
         self.words: dict[str, int] = {}
         self.pieces: dict[str, int] = {}
         self.flat, self.ends, self.n = np.zeros(1 << 16, dtype=np.int32), np.zeros(1 << 14, dtype=np.int64), 0
-        self.words[""] = self.pieces[" "] = self._add(np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64))[0]
+        self.pieces[" "] = self._add(np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64))[0]
 
     def _add(self, ids: np.ndarray, sizes: np.ndarray) -> range:
         """Places for new entries."""
@@ -91,30 +93,31 @@ class Encoder:
         self.n += len(sizes)
         return range(n, self.n)
 
-    def _gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids at places in a row, and where each place's ids end in it."""
-        first, size = self.ends[places], self.ends[places + 1] - self.ends[places]
-        done = np.cumsum(size)
-        return self.flat[np.repeat(first - (done - size), size) + np.arange(int(done[-1]) if len(done) else 0)], done
-
-    def _learn_pieces(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> None:
         for at in range(0, len(pieces), JOINED):
             part = pieces[at : at + JOINED]
             found = self.merges.encode(" ".join(part), add_special_tokens=False)
             ids, numbers = np.array(found.ids, dtype=np.int32), np.array(found.word_ids, dtype=np.int64)
             self.pieces.update(zip(part, self._add(ids, np.bincount(numbers, minlength=len(part)))))
 
-    def _learn(self, words: list[str]) -> None:
-        simple = list(filter(_SIMPLE.fullmatch, words))
-        cut = _PIECE.findall(" ".join([*simple, ""]).lower())
-        self._learn_pieces(list(set(cut).difference(self.pieces)))
+    def _of_simple(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of simple words in a row, and how many each has."""
+        joined = pc.binary_join(pa.LargeListArray.from_arrays([0, len(words)], words), " ")[0].as_py()
+        cut = _PIECE.findall(f"{joined} ".lower()) if len(words) else []
+        self._learn(list(set(cut).difference(self.pieces)))
         places = np.fromiter(map(self.pieces.__getitem__, cut), dtype=np.int64, count=len(cut))
-        ids, done = self._gather(places)
-        self.words.update(zip(simple, self._add(ids, np.diff(done[places == self.pieces[" "]], prepend=0))))
-        other = [w for w in words if w not in self.words]
-        each = [x.ids for x in self.library.encode_batch_fast(other, add_special_tokens=False)]
+        ids, done = _gather(self.flat, self.ends, places)
+        return ids, np.diff(done[places == self.pieces[" "]], prepend=0)
+
+    def _of_other(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words that the library takes as they are."""
+        new = [w for w in words if w not in self.words]
+        each = [x.ids for x in self.library.encode_batch_fast(new, add_special_tokens=False)]
         sizes = np.array([len(x) for x in each], dtype=np.int64)
-        self.words.update(zip(other, self._add(np.array([i for x in each for i in x], dtype=np.int32), sizes)))
+        self.words.update(zip(new, self._add(np.array([i for x in each for i in x], dtype=np.int32), sizes)))
+        places = np.fromiter(map(self.words.__getitem__, words), dtype=np.int64, count=len(words))
+        ids, done = _gather(self.flat, self.ends, places)
+        return ids, np.diff(done, prepend=0)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, each text followed by the end id, and the numbers of ids."""
@@ -122,16 +125,27 @@ class Encoder:
             self.clear()
         lists = pc.ascii_split_whitespace(texts.fill_null(""))
         found = lists.flatten().dictionary_encode()
-        words = found.dictionary.to_pylist()
-        new = [w for w in words if w not in self.words]
-        if new:
-            self._learn(new)
-        places = np.fromiter(map(self.words.__getitem__, words), dtype=np.int64, count=len(words))
-        ids, done = self._gather(places[found.indices.to_numpy()])
+        words = found.dictionary
+        other = pc.match_substring_regex(words, _OTHER)
+        simple = pc.invert(other)
+        # the simple words come first, then the other ones
+        parts = [self._of_simple(words.filter(simple)), self._of_other(words.filter(other).to_pylist())]
+        flat, sizes = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(other.to_numpy(zero_copy_only=False), kind="stable")
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        ids, done = _gather(flat, np.concatenate([[0], np.cumsum(sizes)]), place[found.indices.to_numpy()])
         ends = np.concatenate([[0], done])[np.cumsum(np.diff(lists.offsets.to_numpy()))]
         return np.insert(ids, ends, np.int32(self.end_id)), np.diff(ends, prepend=0) + 1
 
 
+def _gather(flat: np.ndarray, ends: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids at places in a row, and where each place's ids end in it."""
+    first, size = ends[places], ends[places + 1] - ends[places]
+    done = np.cumsum(size)
+    return flat[np.repeat(first - (done - size), size) + np.arange(int(done[-1]) if len(done) else 0)], done
+
+
 def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Rows from, to: of about ``CHUNK_BYTES``, or one longer text."""
     size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))

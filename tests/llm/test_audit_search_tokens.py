@@ -273,6 +273,23 @@ def test_cache_of_words_is_bounded_and_exact(library, monkeypatch):
         assert encoder.n <= 50 + 3 * 62 and len(encoder.words) <= encoder.n
 
 
+def test_a_piece_is_merged_once_whatever_word_holds_it(library):
+    encoder = token_files.Encoder(public_tokenizers.path(queries.WORD_TOKENIZER))
+    encoder.encode(pa.array(["alpha beta gamma", ", ( ) ."]))
+    known = encoder.n
+    ids, _ = encoder.encode(pa.array(["Alpha, (beta) GAMMA. alpha.beta,gamma"]))
+    assert encoder.n == known
+    assert ids.tolist() == [*library.encode("Alpha, (beta) GAMMA. alpha.beta,gamma", add_special_tokens=False).ids, 2]
+
+
+@pytest.mark.parametrize("texts", [[], [None], ["", " \n"], ["漢字 ſ", "a漢 "], ["x", " 漢 x, 漢 É e\u0301 İ", None, "\x1c\x85\xa0 x\u2028y", "漢"]])
+def test_simple_and_other_words_keep_their_order(library, texts):
+    encoder = token_files.Encoder(public_tokenizers.path(queries.WORD_TOKENIZER))
+    ids, counts = encoder.encode(pa.array(texts, pa.string()))
+    want = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+
+
 def test_query_of_the_whole_table(spark, library):
     docs = sorted(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
     got = sorted(queries.op13_token_files(spark, SF).collect())
