@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +49,24 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of an Arrow batch of rows that hold megabytes each.
+BATCH_BYTES = 4 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs within hand rows to Python about ``BATCH_BYTES`` at a time. Rows of
+    some MB otherwise fill batches of 64 MB, which a task's JVM and its Python
+    worker hold several times, outside the heap."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def hash_sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
     """The ``n`` rows with the smallest hash of the first column (ties: of the
     other ones). Rows above a threshold, set from the number of rows, are

@@ -23,10 +23,11 @@ its range once per pack. Classes that share signatures, directly or through
 others, form a cluster. At lower similarities
 signatures hold few elements, and passages that many documents share tie
 unrelated sets into large clusters. A sketch takes them apart first: element
-hashes flip the bits of a fixed-size bit set, so two sets whose sketches differ
-in more bits than their difference may have elements cannot link. The sketches
-of a cluster are compared in tiles by a matrix product, and the components of
-the pairs left are the final clusters. Inside these the sets themselves are
+hashes flip the bits of a bit set, so two sets whose sketches differ in more
+bits than their difference may have elements cannot link. The sketches
+of a cluster are compared in tiles by a matrix product, at one width; larger sets
+have wider sketches, which take apart the pairs that are left. The components of
+the pairs that then remain are the final clusters. Inside these the sets themselves are
 compared, all pairs, but no pairs are emitted: its sets are dealt to tiles of
 about ``TILE`` sets, a task multiplies the incidence matrices of two tiles, and
 returns per set the number of documents linked to it and one edge of a
@@ -59,7 +60,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablesmith.llm.common import Scratch, components, join_forest, own_exchange
+from tablesmith.llm.common import Scratch, components, join_forest, own_exchange, small_batches
 
 WORDS = 3
 PERCENT = 90
@@ -71,6 +72,7 @@ COLUMNS = 4096  # of the incidence matrices at a time
 CHUNK_ROWS = 512
 CACHE_WORDS = 200_000
 SKETCH_ROWS = 128
+COMPARED = 4 << 20  # bytes of sketches at a time
 #: Signatures of one pack, and about those of one range of the signature space.
 PACK = 1 << 19
 RANGE = 1 << 20
@@ -106,9 +108,17 @@ def shingles(text: str | None, words: int, hashes: _WordHashes) -> np.ndarray:
     return np.unique(total)
 
 
+def sketch_bits(n: int) -> int:
+    """Bits of the sketch of a set of ``n`` elements: ``n`` or more. With fewer
+    the sketches of unrelated sets differ in no more bits than linked ones may."""
+    return SKETCH_BITS << (max(0, n - 1) // SKETCH_BITS).bit_length()
+
+
 def sketch(items: np.ndarray) -> bytes:
-    """A bit set with the bit of each element's hash flipped."""
-    bits = np.bincount((_mix(items ^ _C1 ^ _C3) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    """A bit set with the bit of each element's hash flipped. Its halves
+    combined are the sketch of half as many bits."""
+    width = sketch_bits(len(items))
+    bits = np.bincount((_mix(items ^ _C1 ^ _C3) % np.uint64(width)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
@@ -309,29 +319,84 @@ def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("cluster", "tiles", "id", "copies", "text").mapInArrow(run, "cluster long, tiles long, id long, copies long, items array<long>")
 
 
-def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """The sizes of the intersections of all sets of ``a`` with all of ``b``."""
-    lengths = [len(x) for x in (*a, *b)]
-    _, column = np.unique(np.concatenate([*a, *b]), return_inverse=True)
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    shared = np.bincount(column)[column] > 1
-    row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    out = np.zeros((len(a), len(b)), dtype=np.float32)
-    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+class Tile:
+    """Some sets of a cluster: ``items`` are their distinct elements, sorted, and
+    ``column`` holds the place of each element there, set by set."""
+
+    def __init__(self, ids: np.ndarray, copies: np.ndarray, lengths: np.ndarray, items: np.ndarray, column: np.ndarray):
+        self.ids, self.copies, self.lengths, self.items, self.column = ids, copies, lengths, items, column
+
+    def held(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which sets hold the chosen of ``items``: set, number of the item; by item."""
+        number = np.full(len(self.items), -1, dtype=np.int32)
+        number[chosen] = np.arange(len(chosen), dtype=np.int32)
+        column = number[self.column]
+        some = column >= 0
+        row = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.lengths)[some]
+        column = column[some]
+        order = np.argsort(column, kind="stable")
+        return row[order], column[order]
+
+
+def _tile(ids: np.ndarray, copies: np.ndarray, sets: list[np.ndarray]) -> Tile:
+    ids, first = np.unique(ids, return_index=True)  # rows that repeat an id are one
+    sets = [sets[f] for f in first.tolist()]
+    items, column = np.unique(np.concatenate(sets), return_inverse=True)
+    lengths = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    return Tile(ids, copies[first], lengths, items, column.astype(np.int32))
+
+
+def _from_rows(rows: pd.DataFrame) -> Tile:
+    return _tile(rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64), list(rows["items"]))
+
+
+_TILE = ["ids", "copies", "lengths", "items", "columns"]
+
+
+def _pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """A tile as one row. The sets of a cluster share most elements: an element
+    is written once, the sets hold distances of places, which compress."""
+    t = _from_rows(rows)
+    steps = pa.compress(_planes(np.diff(t.column, prepend=np.int32(0))), codec="zstd", asbytes=True)
+    packed = dict(zip(_TILE, [*(x.tobytes() for x in (t.ids, t.copies, t.lengths, t.items)), steps]))
+    return pd.DataFrame({"cluster": [key[0]], "tile": [key[1]], **{k: [v] for k, v in packed.items()}})
+
+
+def _unpack(ids: bytes, copies: bytes, lengths: bytes, items: bytes, columns: bytes) -> Tile:
+    ids, copies, lengths, items = (np.frombuffer(x, dtype=np.int64) for x in (ids, copies, lengths, items))
+    steps = pa.decompress(columns, decompressed_size=4 * int(lengths.sum()), codec="zstd", asbytes=True)
+    return Tile(ids, copies, lengths, items, np.cumsum(_from_planes(steps, np.int32), dtype=np.int32))
+
+
+def common_counts(a: Tile, b: Tile) -> np.ndarray:
+    """The sizes of the intersections of all sets of ``a`` with all of ``b``; of
+    one tile with itself, those of its different sets."""
+    if a is b:
+        in_a = in_b = np.flatnonzero(np.bincount(a.column, minlength=len(a.items)) > 1)
+    else:
+        _, in_a, in_b = np.intersect1d(a.items, b.items, assume_unique=True, return_indices=True)
+    held_a = a.held(in_a)
+    held_b = held_a if a is b else b.held(in_b)
+
+    def incidence(held: tuple, sets: int, first: int) -> np.ndarray:
+        row, column = held
         s, e = np.searchsorted(column, [first, first + COLUMNS])
-        m = np.zeros((len(lengths), COLUMNS), dtype=np.float32)
+        m = np.zeros((sets, min(COLUMNS, len(in_a) - first)), dtype=np.float32)
         m[row[s:e], column[s:e] - first] = 1
-        out += m[: len(a)] @ m[len(a) :].T
+        return m
+
+    out = np.zeros((len(a.ids), len(b.ids)), dtype=np.float32)
+    for first in range(0, len(in_a), COLUMNS):
+        x = incidence(held_a, len(a.ids), first)
+        out += x @ (x if a is b else incidence(held_b, len(b.ids), first)).T
     return out.astype(np.int64)
 
 
-def _tile_links(a: "Tile", b: "Tile", same: bool, percent: int) -> pd.DataFrame:
-    """Linked documents and a forest edge for each set of two tiles."""
-    sizes_a, sizes_b = (np.array([len(x) for x in t.sets], dtype=np.int64) for t in (a, b))
-    common = common_counts(a.sets, b.sets)
-    i, j = np.nonzero(100 * common >= percent * (sizes_a[:, None] + sizes_b[None] - common))
+def _tile_links(a: Tile, b: Tile, percent: int) -> pd.DataFrame:
+    """Linked documents and a forest edge for each set of two tiles, or of one."""
+    same = a is b
+    common = common_counts(a, b)
+    i, j = np.nonzero(100 * common >= percent * (a.lengths[:, None] + b.lengths[None] - common))
     if same:
         i, j = i[i < j], j[i < j]
     shift = 0 if same else len(a.ids)
@@ -344,97 +409,109 @@ def _tile_links(a: "Tile", b: "Tile", same: bool, percent: int) -> pd.DataFrame:
     return pd.DataFrame({"id": ids[some], "links": links[some], "root": ids[parent[some]]})
 
 
-class Tile:
-    def __init__(self, ids: np.ndarray, copies: np.ndarray, sets: list[np.ndarray]):
-        self.ids, first = np.unique(ids, return_index=True)  # rows that repeat an id are one
-        self.copies, self.sets = copies[first], [sets[f] for f in first.tolist()]
-
-
-def _from_rows(rows: pd.DataFrame) -> Tile:
-    return Tile(rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64), list(rows["items"]))
-
-
-def _pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    t = _from_rows(rows)
-    lengths = np.array([len(x) for x in t.sets], dtype=np.int64)
-    packed = {k: [v.tobytes()] for k, v in (("ids", t.ids), ("copies", t.copies), ("lengths", lengths), ("items", np.concatenate(t.sets)))}
-    return pd.DataFrame({"cluster": [key[0]], "tile": [key[1]], **packed})
-
-
-def _unpack(ids: bytes, copies: bytes, lengths: bytes, items: bytes) -> Tile:
-    ids, copies, lengths, items = (np.frombuffer(x, dtype=np.int64) for x in (ids, copies, lengths, items))
-    return Tile(ids, copies, np.split(items, np.cumsum(lengths)[:-1]))
-
-
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """``id, links, root`` from all pairs of tiles of each cluster."""
     schema = "id long, links long, root long"
 
     def inside(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         tile = _from_rows(rows)
-        return _tile_links(tile, tile, True, percent)
+        return _tile_links(tile, tile, percent)
 
     small = sets.where("tiles = 1").groupBy("cluster").applyInPandas(inside, schema)
     large = sets.where("tiles > 1").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")))
-    columns = ["ids", "copies", "lengths", "items"]
-    packed = large.groupBy("cluster", "tile").applyInPandas(_pack, "cluster long, tile long, ids binary, copies binary, lengths binary, items binary")
+    packed = large.groupBy("cluster", "tile").applyInPandas(_pack, "cluster long, tile long, ids binary, copies binary, lengths binary, items binary, columns binary")
     last = large.select("cluster", "tiles").distinct()
     tiles = large.select("cluster", "tile").distinct()
     pairs = tiles.join(last, "cluster").withColumn("other", F.explode(F.expr("sequence(tile, tiles - 1)"))).select("cluster", "tile", "other")
-    second = packed.select("cluster", F.col("tile").alias("other"), *(F.col(c).alias(f"{c}2") for c in columns))
+    second = packed.select("cluster", F.col("tile").alias("other"), *(F.col(c).alias(f"{c}2") for c in _TILE))
     both = pairs.join(packed, ["cluster", "tile"]).join(second, ["cluster", "other"])
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                x = _unpack(*(row[c] for c in columns))
-                same = row["tile"] == row["other"]
-                y = x if same else _unpack(*(row[f"{c}2"] for c in columns))
-                yield pa.RecordBatch.from_pandas(_tile_links(x, y, same, percent), preserve_index=False)
+                x = _unpack(*(row[c] for c in _TILE))
+                y = x if row["tile"] == row["other"] else _unpack(*(row[f"{c}2"] for c in _TILE))
+                yield pa.RecordBatch.from_pandas(_tile_links(x, y, percent), preserve_index=False)
 
     return small.unionByName(both.mapInArrow(across, schema))
 
 
 # ------------------------------------------------- clusters by sketches
-def _sketch_links(a: tuple, b: tuple, same: bool, percent: int) -> pd.DataFrame:
+class SketchTile:
+    """Sets of a cluster with their sketches, as bits of -1 and 1 at the least
+    width, and packed at each wider one for the sets that have it."""
+
+    def __init__(self, ids: np.ndarray, n: np.ndarray, sketches: bytes):
+        self.ids, self.n = ids, n
+        width = np.array([sketch_bits(x) for x in n.tolist()], dtype=np.int64) // 8
+        ends, data = np.cumsum(width), np.frombuffer(sketches, dtype=np.uint8)
+        self.wide: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # bytes: place of each set or -1, sketches
+        rows, folded = np.zeros(0, dtype=np.int64), None
+        w = int(width.max(initial=SKETCH_BITS // 8))
+        while w >= SKETCH_BITS // 8:
+            own = np.flatnonzero(width == w)
+            found = [data[e - w : e] for e in ends[own].tolist()]
+            if folded is not None:
+                found = [folded[:, :w] ^ folded[:, w:], *(x[None] for x in found)]
+            folded, rows = np.vstack(found) if found else np.zeros((0, w), dtype=np.uint8), np.concatenate([rows, own])
+            place = np.full(len(n), -1, dtype=np.int64)
+            place[rows] = np.arange(len(rows))
+            self.wide[w] = place, folded.view(np.uint64)
+            w //= 2
+        place, _ = self.wide.pop(SKETCH_BITS // 8)
+        self.bits = np.unpackbits(folded[place], axis=1).astype(np.float32) * 2 - 1
+
+
+def _sketch_links(a: SketchTile, b: SketchTile, percent: int) -> pd.DataFrame:
     """Forest edges of the pairs that sizes and sketches do not rule out.
 
     Linked sets of ``x`` and ``y`` elements differ in at most
     ``(100 - percent) / (100 + percent) * (x + y)``, and their sketches in no
     more bits. With bits as -1 and 1 a product counts equal less unequal bits.
+    Pairs of larger sets that are left meet at each width that both have.
     """
-    (ids_a, n_a, bits_a), (ids_b, n_b, bits_b) = a, b
-    parent = np.arange(len(ids_a) + (0 if same else len(ids_b)))
-    shift = 0 if same else len(ids_a)
-    for at in range(0, len(ids_a), SKETCH_ROWS):
+    same = a is b
+    parent = np.arange(len(a.ids) + (0 if same else len(b.ids)))
+    shift = 0 if same else len(a.ids)
+    for at in range(0, len(a.ids), SKETCH_ROWS):
         rows = slice(at, at + SKETCH_ROWS)
-        unequal = (SKETCH_BITS - bits_a[rows] @ bits_b.T) / 2
-        x, y = n_a[rows, None], n_b[None]
+        unequal = (SKETCH_BITS - a.bits[rows] @ b.bits.T) / 2
+        x, y = a.n[rows, None], b.n[None]
         possible = ((100 + percent) * unequal <= (100 - percent) * (x + y)) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
         i, j = np.nonzero(possible)
         i += at
         if same:
             i, j = i[i < j], j[i < j]
+        for w in sorted(a.wide.keys() & b.wide.keys()):
+            left = _near_at(w, a, b, i, j, percent)
+            i, j = i[left], j[left]
         join_forest(parent, i, j + shift)
-    ids = ids_a if same else np.concatenate([ids_a, ids_b])
+    ids = a.ids if same else np.concatenate([a.ids, b.ids])
     some = np.flatnonzero(parent != np.arange(len(parent)))
     return pd.DataFrame({"id": ids[some], "root": ids[parent[some]]})
 
 
-def _sketch_tile(ids: np.ndarray, n: np.ndarray, sketches: bytes) -> tuple:
-    packed = np.frombuffer(sketches, dtype=np.uint8).reshape(len(ids), -1)
-    return ids, n, np.unpackbits(packed, axis=1).astype(np.float32) * 2 - 1
+def _near_at(width: int, a: SketchTile, b: SketchTile, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs sketches of ``width`` bytes do not rule out, or do not exist for."""
+    (place_a, wide_a), (place_b, wide_b) = a.wide[width], b.wide[width]
+    near, step = np.ones(len(i), dtype=bool), max(1, COMPARED // width)
+    both = np.flatnonzero((place_a[i] >= 0) & (place_b[j] >= 0))
+    for at in range(0, len(both), step):
+        k = both[at : at + step]
+        unequal = np.bitwise_count(wide_a[place_a[i[k]]] ^ wide_b[place_b[j[k]]]).sum(axis=1, dtype=np.int64)
+        near[k] = (100 + percent) * unequal <= (100 - percent) * (a.n[i[k]] + b.n[j[k]])
+    return near
 
 
 def _possible(placed: DataFrame, percent: int) -> DataFrame:
     """``id, root``: a spanning forest of what may link, from ``cluster, tiles, id, n, sketch``."""
 
-    def tile(rows: pd.DataFrame) -> tuple:
-        return _sketch_tile(rows["id"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), b"".join(rows["sketch"]))
+    def tile(rows: pd.DataFrame) -> SketchTile:
+        return SketchTile(rows["id"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), b"".join(rows["sketch"]))
 
     def inside(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         t = tile(rows)
-        return _sketch_links(t, t, True, percent)
+        return _sketch_links(t, t, percent)
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         columns = {"ids": rows["id"].to_numpy(np.int64).tobytes(), "sizes": rows["n"].to_numpy(np.int64).tobytes(), "sketches": b"".join(rows["sketch"])}
@@ -460,15 +537,15 @@ def _possible(placed: DataFrame, percent: int) -> DataFrame:
     second = packed.select("cluster", F.col("tile").alias("other"), *(F.col(c).alias(f"{c}2") for c in columns))
     both = pairs.join(packed, ["cluster", "tile"]).join(second, ["cluster", "other"])
 
-    def unpack(row: dict, end: str) -> tuple:
-        return _sketch_tile(*(np.frombuffer(row[c + end], dtype=np.int64) for c in columns[:2]), row[columns[2] + end])
+    def unpack(row: dict, end: str) -> SketchTile:
+        return SketchTile(*(np.frombuffer(row[c + end], dtype=np.int64) for c in columns[:2]), row[columns[2] + end])
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
                 x = unpack(row, "")
-                same = row["tile"] == row["other"]
-                yield pa.RecordBatch.from_pandas(_sketch_links(x, x if same else unpack(row, "2"), same, percent), preserve_index=False)
+                y = x if row["tile"] == row["other"] else unpack(row, "2")
+                yield pa.RecordBatch.from_pandas(_sketch_links(x, y, percent), preserve_index=False)
 
     return small.unionByName(both.mapInArrow(across, schema))
 
@@ -484,6 +561,11 @@ def _clusters(edges: DataFrame, a: str, b: str, tile: int, scratch: Scratch) ->
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``n_links`` (other documents linked
     directly, equal ones included) and ``component_id`` of every row."""
+    with small_batches(docs.sparkSession):  # packs and pairs of tiles are rows of some MB
+        return _joined(docs, words, percent)
+
+
+def _joined(docs: DataFrame, words: int, percent: int) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     signed = scratch.keep(_sets(docs, words, percent))
     key = ["n", "h1", "h2"]

@@ -185,6 +185,76 @@ def test_signatures_of_linked_sets_meet():
                     break
 
 
+def test_batches_of_wide_rows_are_small(spark):
+    """Pairs of tiles are rows of some MB: 64 MB of them at a time are too many."""
+    import pyarrow as pa
+
+    from tablesmith.llm.common import BATCH_BYTES, Scratch, small_batches
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, rows = spark.conf.get(key), spark.range(0, 20, 1, 1).selectExpr("encode(repeat('x', 1000000), 'utf-8') AS wide")
+    with small_batches(spark):
+        kept = Scratch(spark).keep(rows.mapInArrow(sizes, "n long"))
+    assert max(r["n"] for r in kept.collect()) <= BATCH_BYTES // 1_000_000 + 1
+    assert spark.conf.get(key) == before
+
+
+def test_join_runs_its_jobs_in_small_batches(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    seen, keep, before = [], ngram_jaccard.Scratch.keep, spark.conf.get(key)
+    monkeypatch.setattr(ngram_jaccard.Scratch, "keep", lambda self, df: seen.append((df.columns, spark.conf.get(key))) or keep(self, df))
+    ngram_jaccard.jaccard_components(frame(spark, ["a b c d e", "a b c d e f", None])).collect()
+    assert ["id", "links", "root"] in [c for c, _ in seen]
+    assert {int(v) for _, v in seen} == {4 << 20} and spark.conf.get(key) == before
+
+
+def test_wide_sketches_take_large_sets_apart_and_lose_no_link():
+    """Unrelated sets of thousands of elements fill 2,048 bits alike."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (5, 2048, 2049, 2300, 4097, 4600, 5600, 5700, 9000, 9100, 20000, 20100)]
+    near = [np.unique(np.concatenate([x[: max(1, len(x) * 9 // 10)], rng.integers(0, 2**63, len(x) // 50).astype(np.uint64)])) for x in sets]
+    both = [*sets, *near]
+    n = np.array([len(x) for x in both])
+    tile = ngram_jaccard.SketchTile(np.arange(len(both)), n, b"".join(map(ngram_jaccard.sketch, both)))
+    links = ngram_jaccard._sketch_links(tile, tile, 80)
+    linked = [i for i, (x, y) in enumerate(zip(sets, near)) if 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y))]
+    assert len(linked) >= 11
+    got = sorted(zip(links["id"], links["root"]))
+    assert got == [(len(sets) + i, i) for i in linked]
+    halves = [ngram_jaccard.SketchTile(np.arange(len(x)) + at, np.array([len(y) for y in x]), b"".join(map(ngram_jaccard.sketch, x))) for at, x in ((0, sets), (len(sets), near))]
+    links = ngram_jaccard._sketch_links(*halves, 80)
+    assert sorted(zip(links["id"], links["root"])) == got
+
+
+def test_tiles_of_near_copies_are_packed_small():
+    """A shared element takes its eight bytes once, not in each set."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(-(2**63), 2**63, 4000))
+    sets = [np.unique(np.concatenate([base[rng.random(len(base)) > 0.02], rng.integers(-(2**63), 2**63, 20)])) for _ in range(60)]
+    rows = pd.DataFrame({"id": [*range(59, -1, -1), 59], "copies": [*range(1, 61), 1], "items": [*sets, sets[0]]})
+    packed = ngram_jaccard._pack((7, 0), rows).iloc[0]
+    elements = sum(map(len, sets))
+    assert sum(len(packed[c]) for c in packed.index if isinstance(packed[c], bytes)) < 8 * elements / 3
+    tile = ngram_jaccard._unpack(*(packed[c] for c in ngram_jaccard._TILE))
+    assert tile.ids.tolist() == list(range(60)) and tile.copies.tolist() == list(range(60, 0, -1))
+    got = np.split(tile.items[tile.column], np.cumsum(tile.lengths)[:-1])
+    assert all((x == y).all() for x, y in zip(got, sets[::-1], strict=True))
+    other = ngram_jaccard._tile(np.arange(3), np.ones(3, dtype=np.int64), [sets[5], base, np.array([1, 2])])
+    want = [[len(np.intersect1d(x, y)) for y in (sets[5], base, [1, 2])] for x in got]
+    assert ngram_jaccard.common_counts(tile, other).tolist() == want
+    same = ngram_jaccard.common_counts(tile, tile)
+    assert all(same[i, j] == len(np.intersect1d(got[i], got[j])) for i in range(60) for j in range(60) if i != j)
+
+
 def test_sketches_bound_the_difference():
     import numpy as np
 
