@@ -4,16 +4,19 @@ Encoding works on *words*: runs of the space symbol with the text after them.
 No piece of the model may join a word's end to the next space symbol (checked
 when the model is loaded; otherwise a whole text is one word), so merges never
 cross a word. The symbols of many words lie in one flat numpy array. A round
-looks up the rank of every adjacent pair, takes the smallest rank of each word
-by a segmented minimum (the leftmost pair on ties), merges these pairs of all
-words at once and compacts the arrays; words without a mergeable pair are done.
-One merge per word and round keeps the exact order of the library, also where
+takes the pair of the smallest rank of each word by a segmented minimum (the
+leftmost pair on ties) and merges these pairs of all words at once; only the
+pairs beside a merge get a new rank. Symbols keep their places and know the next
+and previous one; words without a mergeable pair leave the arrays when they are
+many. One merge per word and round keeps the exact order of the library, also where
 a merge creates a pair of better rank than the one just used. Words longer
 than ``LONG`` symbols would need a round per merge over a long array; they are
 merged with a heap instead, with the same result.
 
-Each distinct word is encoded once per task (a bounded cache). Characters
-without a piece become byte pieces.
+Each distinct word is encoded once per task (a bounded cache): it gets a number,
+its ids lie in one flat array, and the ids of texts are gathered from there.
+Characters without a piece become byte pieces. Decoding takes the bytes of all
+pieces at once; texts that are not plain UTF-8 then are decoded one by one.
 
 Defined results: null and empty texts give the end id only and decode to the
 empty text; repeated rows and clashing extra columns pass through.
@@ -39,6 +42,8 @@ CACHE_WORDS = 400_000
 CHUNK_ROWS = 256
 _CODES = 0x110000
 _NO_RANK = 2**24  # above all ranks
+_PLACE = 16  # bits of a place within a word of at most LONG symbols
+_NO_PAIR = _NO_RANK << _PLACE
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -73,6 +78,18 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             at += size
 
 
+class _Numbers(dict):
+    """Numbers of words as they come, the new ones kept apart."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class PieceBpe:
     """Encoder and decoder of one model file."""
 
@@ -129,11 +146,21 @@ class PieceBpe:
         # a line feed that is in no longer piece ends a word, too
         line = "" if any("\n" in p for p in long_pieces) else "\n"
         self.words = re.compile("(?s:.+)") if crosses else re.compile(f"{SPACE}*[^{SPACE}{line}]+|{SPACE}+|\n")
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.forget()
         self.texts = [
             b"" if t == CONTROL else " ⁇ ".encode() if t == UNKNOWN else bytes([int(p[3:5], 16)]) if t == BYTE else p.replace(SPACE, " ").encode()
             for p, t in zip(self.pieces, self.types)
         ]
+        # behind them, as they begin a text: without the space put before it
+        spaced = [t == NORMAL and p[0] == SPACE for p, t in zip(self.pieces, self.types)]
+        self.bytes = pa.array(self.texts + [x[1:] if c else x for x, c in zip(self.texts, spaced)], pa.large_binary())
+        self.is_control = np.array(self.types) == CONTROL
+
+    def forget(self) -> None:
+        """The cache of words: the ids of number i are ``flat[first[i]:][:size[i]]``."""
+        self.cache = _Numbers()
+        self.flat, self.used = np.zeros(1 << 16, dtype=np.int32), 0
+        self.first, self.size_of = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
 
     def _symbol(self, part: str, ids: dict[str, int]) -> int | None:
         if len(part) == 1:
@@ -141,51 +168,88 @@ class PieceBpe:
         return ids.get(part)
 
     # ------------------------------------------------------------ encoding
-    def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of each word after all merges."""
-        out: list = [None] * len(words)
-        short = [i for i, w in enumerate(words) if len(w) <= LONG]
-        for i, w in enumerate(words):
-            if len(w) > LONG:
-                out[i] = self._ids(self._encode_long(w))
-        names = np.array(short, dtype=np.int64)
-        lengths = np.array([len(words[i]) for i in short], dtype=np.int64)
-        codes = np.frombuffer("".join([words[i] for i in short]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        sym = self.char_ids[codes]
+    def _learn(self, words: list[str]) -> None:
+        """Ids of the words numbered last."""
+        at = len(self.cache) - len(words)
+        names, sizes, ids = self.encode_words(words)
+        self.first, self.size_of = _room(self.first, len(self.cache)), _room(self.size_of, len(self.cache))
+        self.flat = _room(self.flat, self.used + len(ids))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.first[at + names] = self.used + np.cumsum(sizes) - sizes
+        self.size_of[at + names] = sizes
+        self.used += len(ids)
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of each word after all merges: places of the words, in the order
+        in which they were done, numbers of their ids, and these in a row."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        names = np.flatnonzero(lengths <= LONG)
+        done = []
+        for i in np.flatnonzero(lengths > LONG).tolist():
+            found = self._encode_long(words[i])
+            done.append((np.array([i]), np.array([len(found)]), np.array(found, dtype=np.int64)))
+        done += self._merge_rounds(names, lengths[names], "".join([words[i] for i in names.tolist()]))
+        names, sizes, sym = (np.concatenate(x) for x in zip(*done))
+        return names, *self._with_bytes(sizes, sym)
+
+    def _merge_rounds(self, names: np.ndarray, lengths: np.ndarray, joined: str) -> list[tuple[np.ndarray, ...]]:
+        """Some names at a time, their numbers of symbols after all merges, and the symbols."""
+        sym = self.char_ids[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        starts = np.cumsum(lengths) - lengths
+        place = np.arange(len(sym)) - np.repeat(starts, lengths)
+        after, before = place + 1, place - 1  # places of the next and previous symbol
         rank, into = self._pair_ranks(sym[:-1], sym[1:])
-        rank, into = np.append(rank, _NO_RANK), np.append(into, -1)  # of each symbol and the next one
-        rank[np.cumsum(lengths) - 1] = _NO_RANK  # no pair across words
-        ready: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        key, into = np.append((rank << _PLACE) + place[:-1], _NO_PAIR), np.append(into, -1)  # of each symbol and the next one
+        key[starts + lengths - 1] = _NO_PAIR  # no pair across words
+        ready = []
         while len(names):
-            starts = np.cumsum(lengths) - lengths
-            best = np.minimum.reduceat((rank << 32) + np.arange(len(sym)), starts)
-            going = best < _NO_RANK << 32
-            if not going.all():
+            best = np.minimum.reduceat(key, starts)
+            going = best < _NO_PAIR
+            go = np.flatnonzero(going)
+            if 4 * len(go) < 3 * len(names):
                 stay = np.repeat(going, lengths)
-                ready.append((names[~going], lengths[~going], sym[~stay]))
-            at = best[going] & 0xFFFFFFFF
-            ends = (starts + lengths)[going]
-            sym[at] = into[at]
-            # only the pairs on both sides of a merged symbol change; its second symbol goes
-            after = at + 2
-            inner = after < ends
-            rank[at] = _NO_RANK
-            rank[at[inner]], into[at[inner]] = self._pair_ranks(sym[at[inner]], sym[after[inner]])
-            before = at[at > starts[going]]
-            rank[before - 1], into[before - 1] = self._pair_ranks(sym[before - 1], sym[before])
-            left = np.repeat(going, lengths)
-            left[at + 1] = False
-            sym, rank, into = sym[left], rank[left], into[left]
-            names, lengths = names[going], lengths[going] - 1
-        if ready:
-            names, lengths, sym = (np.concatenate(x) for x in zip(*ready))
-            ends = np.cumsum(lengths)
-            firsts = ends - lengths
-            plain = np.maximum.reduceat(sym, firsts) < self.size
-            flat = sym.tolist()
-            for w, s, e, known in zip(names.tolist(), firsts.tolist(), ends.tolist(), plain.tolist()):
-                out[w] = tuple(flat[s:e]) if known else self._ids(flat[s:e])
-        return out
+                left = ~stay & (sym >= 0)
+                ready.append((names[~going], np.add.reduceat((sym >= 0).astype(np.int64), starts)[~going], sym[left]))
+                sym, key, into, after, before = sym[stay], key[stay], into[stay], after[stay], before[stay]
+                names, lengths, best = names[go], lengths[go], best[go]
+                starts = np.cumsum(lengths) - lengths
+                go = np.arange(len(names))
+            start, at = starts[go], best[go] & ((1 << _PLACE) - 1)
+            one = start + at
+            two = start + after[one]
+            far = after[two]  # the place after the pair
+            sym[one], sym[two] = into[one], -1
+            key[one] = key[two] = _NO_PAIR
+            after[one] = far
+            # only the pairs on both sides of a merged symbol change
+            has = np.flatnonzero(far < lengths[go])
+            right = start[has] + far[has]
+            before[right] = at[has]
+            near = before[one]
+            prior = np.flatnonzero(near >= 0)
+            first, second = np.concatenate([one[has], start[prior] + near[prior]]), np.concatenate([right, one[prior]])
+            rank, merged = self._pair_ranks(sym[first], sym[second])
+            key[first] = (rank << _PLACE) + np.concatenate([at[has], near[prior]])
+            into[first] = merged
+        return ready
+
+    def _with_bytes(self, sizes: np.ndarray, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes of words and their symbols, those without a piece as byte pieces."""
+        odd = np.flatnonzero(sym >= self.size)
+        if not len(odd):
+            return sizes, sym
+        symbols, which = np.unique(sym[odd], return_inverse=True)
+        parts = [[self.byte_ids[b] for b in chr(s - self.size).encode("utf-8", "surrogatepass")] for s in symbols.tolist()]
+        width = np.array([len(x) for x in parts])[which]
+        table = np.array([x + [0] * (4 - len(x)) for x in parts])[which]
+        times = np.ones(len(sym), dtype=np.int64)
+        times[odd] = width
+        out = np.repeat(sym, times)
+        ends = np.cumsum(times)
+        for i in range(4):
+            some = width > i
+            out[ends[odd[some]] - width[some] + i] = table[some, i]
+        return np.diff(ends[np.cumsum(sizes) - 1], prepend=0), out
 
     def _pair_ranks(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key = first * (self.size + _CODES) + second
@@ -220,28 +284,26 @@ class PieceBpe:
             offer(i)
         return [s for s in sym if s is not None]
 
-    def _ids(self, symbols: list[int]) -> tuple[int, ...]:
-        """Symbols without a piece as byte pieces."""
-        out: list[int] = []
-        for s in symbols:
-            if s < self.size:
-                out.append(s)
-            else:
-                out.extend(self.byte_ids[b] for b in chr(s - self.size).encode("utf-8", "surrogatepass"))
-        return tuple(out)
-
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of each text, the end id last."""
+        ids, ends = self.encode_flat(texts)
+        return [x.tolist() for x in np.split(ids, ends[:-1])] if texts else []
+
+    def encode_flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, the end id last in each, and where each ends."""
         split = [self.words.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        cache = self.cache
-        new = [w for w in set().union(*split) if w not in cache]
-        if new:
-            cache.update(zip(new, self.encode_words(new)))
-        get = cache.__getitem__
-        end = (self.eos,)
-        return [list(chain(chain.from_iterable(map(get, words)), end)) for words in split]
+            self.forget()
+        count = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        number = np.fromiter(map(self.cache.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(count.sum()))
+        if new := self.cache.new:
+            self.cache.new = []
+            self._learn(new)
+        size = self.size_of[number]
+        done = np.concatenate([[0], np.cumsum(size)])
+        ids = self.flat[np.repeat(self.first[number] - done[:-1], size) + np.arange(done[-1])]
+        ends = done[np.cumsum(count)]
+        return np.insert(ids, ends, np.int32(self.eos)), ends + np.arange(1, len(texts) + 1)
 
     # ------------------------------------------------------------ decoding
     def decode(self, ids: list[int]) -> str:
@@ -258,6 +320,23 @@ class PieceBpe:
         except UnicodeDecodeError:
             return self._decode_apart(ids)
 
+    def decode_flat(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts of ids in a row, none of them empty."""
+        starts = np.concatenate([[0], ends[:-1]])
+        control = self.is_control[ids]
+        control[ends - 1] = False
+        if not control.any():
+            taken = ids.astype(np.int64)
+            taken[starts] += self.size
+            pieces = self.bytes.take(pa.array(taken))
+            _, places, data = pieces.buffers()
+            at = np.frombuffer(places, dtype=np.int64, count=len(pieces) + 1)[np.concatenate([[0], ends])]
+            try:
+                return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(at), data]).cast(pa.string())
+            except pa.ArrowInvalid:  # not UTF-8
+                pass
+        return pa.array([self.decode(ids[s:e].tolist()) for s, e in zip(starts.tolist(), ends.tolist())], pa.string())
+
     def _decode_apart(self, ids: list[int]) -> str:
         """Each run of byte pieces by itself; a byte that is not UTF-8 becomes U+FFFD."""
         out, run, first = [], b"", True
@@ -285,6 +364,10 @@ class PieceBpe:
         return "".join(out)
 
 
+def _room(a: np.ndarray, n: int) -> np.ndarray:
+    return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), dtype=a.dtype)])
+
+
 _loaded: dict[str, PieceBpe] = {}
 
 
@@ -308,15 +391,13 @@ def encode_decode(docs: DataFrame, model_path: str, keep: list[str], with_text:
             for batch in batches:
                 for at in range(0, batch.num_rows, CHUNK_ROWS):
                     part = batch.slice(at, CHUNK_ROWS)
-                    ids = model.encode(part.column(len(keep)).to_pylist())
-                    ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
-                    flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
+                    ids, ends = model.encode_flat(part.column(len(keep)).to_pylist())
                     columns = [part.column(i) for i in range(len(keep))]
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)))
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids)))
                     if with_text:
-                        columns.append(pa.array([model.decode(x) for x in ids], pa.string()))
+                        columns.append(model.decode_flat(ids, ends))
                     yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
         finally:
-            model.cache.clear()  # the worker lives on, in stages that need the memory
+            model.forget()  # the worker lives on, in stages that need the memory
 
     return docs.select(*keep, "text").mapInArrow(run, T.StructType(fields))

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -46,6 +47,35 @@ def test_decode_of_any_ids_equals_the_library(library):
         assert model.decode(ids) == library.decode(ids), ids
 
 
+def test_ids_and_texts_of_many_documents_at_once(library, monkeypatch):
+    """No Python object for each id: plain texts are gathered and decoded as arrays."""
+    rng = random.Random(11)
+    path = public_tokenizers.path(PIECE_MODEL)
+    model = piece_bpe.PieceBpe(path)
+    syllables = ["an", "Ther", "ción", "ß", "漢", "🙂", "\x07", "#", ".", "e", "\n", "  "]
+    words = ["".join(rng.choices(syllables, k=rng.randrange(1, 9))) for _ in range(400)] + ["y" * 500]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(0, 60))) for _ in range(120)] + ["", None, " ", "▁"]
+    monkeypatch.setattr(piece_bpe, "CACHE_WORDS", 50)
+    monkeypatch.setattr(model, "decode", None)
+    wanted = [library.encode(t or "") + [2] for t in texts]
+    for at in range(0, len(texts), 31):
+        ids, ends = model.encode_flat(texts[at : at + 31])
+        assert ids.tolist() == [i for x in wanted[at : at + 31] for i in x]
+        assert ends.tolist() == [sum(map(len, wanted[at : at + i + 1])) for i in range(len(ends))]
+        assert model.decode_flat(ids, ends).to_pylist() == [library.decode(x) for x in wanted[at : at + 31]]
+    assert model.encode([]) == [] and model.encode_words(["abc", "a漢z"])[1].sum() == len(library.encode("\nabc\na漢z")) - 3
+
+
+def test_texts_of_any_ids_at_once(library):
+    rng = random.Random(12)
+    model = piece_bpe.load(public_tokenizers.path(PIECE_MODEL))
+    plain = [library.encode("abc é") + [2], [2]]
+    for odd in ([], [28705, 1, 300, 2], [200, 2], [2, 2], [rng.randrange(32000) for _ in range(50)]):
+        some = [*plain, *([odd] if odd else [])]
+        ends = np.cumsum([len(x) for x in some])
+        assert model.decode_flat(np.array([i for x in some for i in x], dtype=np.int32), ends).to_pylist() == [library.decode(x) for x in some]
+
+
 def test_encode_query(spark, library):
     rows = op4_sentencepiece(spark, SF).collect()
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
