@@ -300,6 +300,8 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_EXAMPLES and MAX_TERMS
     evidence = "array<struct<similarity:double,doc_id:bigint,toxic:int>>"
     fields = [docs.schema[c] for c in keep] + [T.StructField("score", T.DoubleType()), T.StructField("neighbours", T._parse_datatype_string(evidence))]
+    kept = "text" in keep  # then it is sent once
+    place = keep.index("text") if kept else len(keep)
     kind = pa.list_(pa.struct([("similarity", pa.float64()), ("doc_id", pa.int64()), ("toxic", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,11 +310,11 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK_ROWS):
                 part = batch.slice(at, CHUNK_ROWS)
-                found = [model.score(term_counts(t, terms)) for t in part.column(len(keep)).to_pylist()]
+                found = [model.score(term_counts(t, terms)) for t in part.column(place).to_pylist()]
                 near = [[{"similarity": s, "doc_id": i, "toxic": y} for s, i, y in n] for _, n in found]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(len(keep))), pa.array([s for s, _ in found], pa.float64()), pa.array(near, kind)],
                     names=[f.name for f in fields],
                 )
 
-    return docs.select(*keep, F.col("text").alias("scored_text")).mapInArrow(run, T.StructType(fields))
+    return docs.select(*keep, *([] if kept else [F.col("text").alias("scored_text")])).mapInArrow(run, T.StructType(fields))

@@ -364,3 +364,25 @@ def test_piece_cache_ends_with_the_task():
     out = list(run(iter([batch])))
     assert out[0].column(2).to_pylist() == ["some words", ""]
     assert piece_bpe.load(path).cache == {}
+
+
+def test_kept_text_is_sent_once(spark):
+    """A second copy of the texts is as much memory again in every Arrow batch."""
+    from tablesmith.llm import toxicity
+
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    path = public_tokenizers.path(BYTE_RANKS)
+
+    def inputs(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return [c for c in ("scored_text", "scanned_text") if c in plan]
+
+    def rows(df, *columns):
+        return sorted(map(repr, df.select("doc_id", *columns).collect()))
+
+    for run, column in ((lambda keep: toxicity.score(docs, model, keep), "score"), (lambda keep: secret_scan.find_secrets(docs, path, public_tokenizers.PATTERN, keep), "findings")):
+        both, alone = run(["doc_id", "text", "lang"]), run(["doc_id"])
+        assert inputs(both) == [] and len(inputs(alone)) == 1
+        assert rows(both, column) == rows(alone, column)
+        assert rows(both, "text", "lang") == rows(docs, "text", "lang")
