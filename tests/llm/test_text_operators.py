@@ -370,7 +370,8 @@ def test_kept_text_is_sent_once(spark):
     """A second copy of the texts is as much memory again in every Arrow batch."""
     from tablesmith.llm import toxicity
 
-    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    docs = frame(spark, [f"{'vile' if i % 4 == 0 else 'kind'} words number {i} token = abcdefgh{i}" for i in range(80)] + ["", None])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels)
     path = public_tokenizers.path(BYTE_RANKS)
 
