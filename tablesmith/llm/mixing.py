@@ -10,10 +10,11 @@ order of the md5 of their id, again from the start when the target exceeds the
 source; the mix is all passes, range-sorted by position.
 
 All of it is DataFrame expressions. Token offsets within a source are running
-sums; a source may hold any share of the rows, so each is dealt into about
+sums; a source may hold any share of the rows, so each is dealt into at most
 sqrt(rows) ranges of the md5: ranges are summed first, their offsets come from
 a window over the ranges of a source, and the sums inside a range from a
-window over that range only.
+window over that range only. Kept columns, such as texts, are moved twice: to
+their range, and once for each pass to its place in the order of training.
 
 Defined results: null texts and texts without words have size 0 and are taken
 0 times; a null source is a source of its own (last in the order); rows with
@@ -24,6 +25,8 @@ and ``source`` of the input are read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -120,23 +123,20 @@ def document_takes(docs: DataFrame, keep: list[str] | None = None, **params) ->
     narrow = Scratch(docs.sparkSession).keep(sized.select("doc_id", "source", "size", "h", "tie"))
     if not keep:
         sized = narrow
-    targets = source_targets(narrow.select("source", "size"), **params)
+    # the source as a key without nulls: the join and the window below then share one exchange of the rows
+    key = F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("s")
     # range of the md5: the first 32 bits, spread over sqrt(rows) ranges
-    part = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / F.lit(float(2**32)) * F.ceil(F.sqrt("n")))
-    targets = targets.select(F.col("source").alias("s"), "n", "source_size", "kind", "target")
-
-    def dealt(df: DataFrame) -> DataFrame:
-        return df.join(targets, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("part", part)
-
-    rows = dealt(sized)
+    n_ranges = math.ceil(math.sqrt(narrow.count()))
+    part = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / F.lit(float(2**32)) * F.lit(n_ranges)).alias("part")
+    targets = source_targets(narrow.select("source", "size"), **params).select(key, "source_size", "kind", "target")
     ranges = (
-        dealt(narrow).groupBy("source", "part").agg(F.sum("size").alias("part_size"))
-        .withColumn("part_offset", F.coalesce(F.sum("part_size").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .select(F.col("source").alias("s"), F.col("part").alias("p"), "part_offset")
+        narrow.select(key, part, "size").groupBy("s", "part").agg(F.sum("size").alias("part_size"))
+        .withColumn("part_offset", F.coalesce(F.sum("part_size").over(Window.partitionBy("s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .drop("part_size")
     )
-    inside = Window.partitionBy("source", "part").orderBy("h", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("s", "part").orderBy("h", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.col("part_offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    out = rows.join(ranges, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p"))).drop("s", "p").withColumn("offset", offset)
+    out = sized.select("*", key, part).join(ranges.join(targets, "s"), ["s", "part"]).withColumn("offset", offset)
     words = F.round("target").cast("long")
     passes = []
     for k in range(params.get("max_repeats", MAX_REPEATS)):

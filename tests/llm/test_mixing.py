@@ -105,3 +105,52 @@ def test_plan_is_native(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string, source string")
     plan = mixing.mix(docs, ["text"])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def exchanges_of(df, column):
+    """The exchanges of the first plan whose rows hold ``column``."""
+    seq = lambda x: [x.apply(i) for i in range(x.size())]
+    below = [df._jdf.queryExecution().executedPlan().initialPlan()]
+    found = 0
+    while below:
+        node = below.pop()
+        below += seq(node.children())
+        found += "Exchange" in node.nodeName() and column in [a.name() for a in seq(node.output())]
+    return found
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_texts_are_moved_twice(spark, no_broadcast):
+    """To their range and to their place, also where no side of a join is small."""
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string, source string")
+    assert exchanges_of(mixing.document_takes(docs, ["text"]), "text") == 1
+    assert exchanges_of(mixing.mix(docs, ["text"]), "text") == 2
+
+
+def test_many_sources_and_odd_names(spark, no_broadcast):
+    """Null, the empty text and names with the mark of the key are sources of their own."""
+    names = [None, "", "=", "==", *(f"s{i}" for i in range(60))]
+    rows = [(i, "w " * (i % 13), names[i % len(names)]) for i in range(3 * len(names))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = {}
+    for i, _, source in rows:
+        sizes[source] = sizes.get(source, 0) + i % 13
+    want = targets(sizes)
+    taken = mixing.document_takes(docs, ["text"]).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in taken) == [r[:2] for r in rows]
+    for source in names:
+        mine = [r for r in taken if r["source"] == source]
+        assert {(r["source_size"], round(r["target"], 6)) for r in mine} == {(sizes[source], round(want[source], 6))}
+        words, at = int(want[source] + 0.5), 0  # halves up, as Spark rounds
+        assert sum(r["taken"] for r in mine) == words
+        for r in sorted(mine, key=lambda r: hashlib.md5(str(r["doc_id"]).encode()).hexdigest()):
+            assert r["taken"] == sum(max(0, min(r["size"], words - at - k * sizes[source])) for k in range(2))
+            at += r["size"]
