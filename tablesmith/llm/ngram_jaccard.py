@@ -4,30 +4,36 @@ Efficient Exact Set-Similarity Joins, 2006).
 A document's set are its distinct word shingles; two documents link when
 ``100 * intersection >= percent * union``. Then their symmetric difference has
 at most ``(100 - percent) / (100 + percent) * (|A| + |B|)`` elements, at most
-``k`` of them for sets of one size band. The signatures of a set: shingles are
+``k`` of them for sets of one size family. The signatures of a set: shingles are
 dealt by hash to ``n1`` partitions, few enough differ that one partition holds
 at most ``k2`` differing elements; each partition is dealt to ``n2`` smaller
 ones, of which at most ``k2`` are touched; all subsets of ``n2 - k2`` smaller
 ones are enumerated, and the elements of each subset are hashed to a signature.
-Linked sets share at least one. A set also signs for the next larger band if a
-partner may lie there. The join is exact: signatures only propose pairs, the
-sets decide.
+Linked sets share at least one. The families are the size bands and, for
+partners on both sides of the bound of two bands, the sizes around it. The join
+is exact: signatures only propose pairs, the sets decide.
+
+A subset without elements says nothing, and a share of all sets have it. There
+is one partition more for every ``BLOCK``, so that in some block of them linked
+sets share two signatures of different partitions: one with elements, which
+stands by itself, or two without, which sign as a couple.
 
 Every row is a node of its own; rows of equal sets are one class, represented by
 the row of the smallest id. Signatures are many and nearly all occur once, so
-they move packed: a task sorts those of its rows, keeps one row for each (the
-others are linked to it at once) and writes the differences of neighbours by
+they move packed: a task sorts those of its rows (of equal sets in a pack one
+signs) and writes the differences of neighbours by
 byte places, which compress. Ranges of the signature space, as many as there are
-signatures for, then meet; a signature that any share of the rows hold reaches
-its range once per pack. Classes that share signatures, directly or through
-others, form a cluster. At lower similarities
-signatures hold few elements, and passages that many documents share tie
-unrelated sets into large clusters. A sketch takes them apart first: element
+signatures for, then meet. Of the classes that share a signature the one of the
+smallest node leads the others; all that one class leads are its star. Only the
+pairs of a star are compared: what signatures chain together through many stars
+grows with the square of the table. At lower similarities
+signatures hold few elements, and passages that many documents share bring
+unrelated sets into a star. A sketch takes them apart first: element
 hashes flip the bits of a bit set, so two sets whose sketches differ in more
 bits than their difference may have elements cannot link. The sketches
-of a cluster are compared in tiles by a matrix product, at one width; larger sets
+of a large star are compared in tiles by a matrix product, at one width; larger sets
 have wider sketches, which take apart the pairs that are left. The components of
-the pairs that then remain are the final clusters. Inside these the sets themselves are
+the pairs that then remain are the clusters. Inside these the sets themselves are
 compared, all pairs, but no pairs are emitted: its sets are dealt to tiles of
 about ``TILE`` sets, a task multiplies the incidence matrices of two tiles, and
 returns per set the number of documents linked to it and one edge of a
@@ -49,6 +55,7 @@ any name.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import combinations
 
 import numpy as np
@@ -65,6 +72,8 @@ from tablesmith.llm.common import Scratch, components, join_forest, own_exchange
 WORDS = 3
 PERCENT = 90
 K2, N2 = 1, 3
+#: Partitions for which there is one more.
+BLOCK = 16
 TILE = 512
 SKETCH_BITS = 2048
 SKETCH_TILE = 4096
@@ -72,6 +81,8 @@ COLUMNS = 4096  # of the incidence matrices at a time
 CHUNK_ROWS = 512
 CACHE_WORDS = 200_000
 SKETCH_ROWS = 128
+#: Sets of a star that is compared pair by pair, among others.
+SMALL_STAR = 64
 COMPARED = 4 << 20  # bytes of sketches at a time
 #: Signatures of one pack, and about those of one range of the signature space.
 PACK = 1 << 19
@@ -123,7 +134,7 @@ def sketch(items: np.ndarray) -> bytes:
 
 
 class Bands:
-    """Size bands, the difference bound of each, and the signatures."""
+    """Size bands, the families that sets sign for, and the signatures."""
 
     def __init__(self, percent: int):
         self.percent = percent
@@ -136,24 +147,31 @@ class Bands:
             self.lows.append(max(low + 1, low * 3 // 2 + 1, low * 100 // self.percent + 1))
         return self.lows[band]
 
-    def of(self, size: int) -> list[int]:
-        """The bands a set of this size signs for."""
+    def _difference(self, both: int) -> int:
+        """The most that linked sets of ``both`` elements together differ in."""
+        return both * (100 - self.percent) // (100 + self.percent)
+
+    def families(self, size: int) -> list[tuple[int, int]]:
+        """The families a set of this size signs for, with the difference bound
+        of each: its band, and the bounds of it that a partner may lie beyond."""
         band = 0
         while self._low(band + 1) <= size:
             band += 1
-        return [band, band + 1] if 100 * size >= self.percent * self._low(band + 1) else [band]
-
-    def difference(self, band: int) -> int:
-        largest = self._low(band + 1) - 1
-        return 2 * largest * (100 - self.percent) // (100 + self.percent)
+        out = [(2 * band, self._difference(2 * (self._low(band + 1) - 1)))]
+        for family, low in ((2 * band - 1, self._low(band)), (2 * band + 1, self._low(band + 1))):
+            largest = 100 * (low - 1) // self.percent  # of a partner of a set below
+            if low <= largest and (100 * size >= self.percent * low if size < low else size <= largest):
+                out.append((family, self._difference(low - 1 + largest)))
+        return out
 
     def signatures(self, items: np.ndarray) -> np.ndarray:
         out = []
-        for band in self.of(len(items)):
-            k = self.difference(band)
+        for family, k in self.families(len(items)):
             if k == 0:
                 continue  # only equal sets, which are one class already
             n1 = k // (K2 + 1) + 1
+            blocks = -(-n1 // BLOCK)
+            n1 += blocks  # linked sets agree in more partitions than there are blocks
             part = (_mix(items ^ _C2) % np.uint64(n1 * N2)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             counts = np.bincount(part, minlength=n1 * N2)
@@ -161,15 +179,39 @@ class Bands:
             np.cumsum(_mix(items[order] ^ _C3), out=sums[1:])
             ends = np.cumsum(counts)
             each = (sums[ends] - sums[ends - counts] + counts.astype(np.uint64) * _C1).reshape(n1, N2)
-            for s, subset in enumerate(combinations(range(N2), N2 - K2)):
-                name = np.full(n1, band * 64 + s, dtype=np.uint64) * _C2 + np.arange(n1, dtype=np.uint64) * _C3
-                value = np.zeros(n1, dtype=np.uint64)
+            filled = counts.reshape(n1, N2) > 0
+            subsets = list(combinations(range(N2), N2 - K2))
+            empty = np.empty((n1, len(subsets)), dtype=bool)
+            for s, subset in enumerate(subsets):
+                some = filled[:, subset[0]].copy()
+                for i in subset[1:]:
+                    some |= filled[:, i]
+                empty[:, s] = ~some
+                partition = np.flatnonzero(some)
+                name = np.full(len(partition), family * 64 + s, dtype=np.uint64) * _C2 + partition.astype(np.uint64) * _C3
+                value = np.zeros(len(partition), dtype=np.uint64)
                 for i in subset:
-                    value = _mix(value * _C1 + each[:, i])
+                    value = _mix(value * _C1 + each[partition, i])
                 out.append(_mix(value + name))
+            out += _couples(np.flatnonzero(empty), len(subsets), n1, blocks, family)
         return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
+def _couples(at: np.ndarray, subsets: int, n1: int, blocks: int, family: int) -> list[np.ndarray]:
+    """A signature for each two subsets without elements, of different partitions
+    of a block; ``at`` has the numbers of these subsets, rising by partition."""
+    out, partition = [], at // subsets
+    block = partition * blocks // n1
+    for step in range(1, len(at)):
+        near = block[step:] == block[:-step]
+        if not near.any():
+            break
+        two = near & (partition[step:] != partition[:-step])
+        first, second = at[:-step][two].astype(np.uint64), at[step:][two].astype(np.uint64)
+        out.append(_mix(_mix(first * _C1 + np.uint64(family)) * _C2 + second * _C3))
+    return out
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     """Its rows one by one: each holds whole packs or tiles."""
     for i in range(batch.num_rows):
@@ -177,35 +219,32 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
 
 
 class _Packs:
-    """Signatures of the rows of a task, packed ``PACK`` at a time."""
+    """Signatures of the rows of a task, packed ``PACK`` at a time. Of rows with
+    equal sets the first signs: they are one class."""
 
     def __init__(self):
         self.nodes: list[int] = []
         self.signatures: list[np.ndarray] = []
+        self.seen: set[tuple] = set()
         self.size = 0
 
-    def add(self, node: int, signatures: np.ndarray) -> None:
-        if not len(signatures):
+    def add(self, node: int, set_hash: tuple, signatures: np.ndarray) -> None:
+        if not len(signatures) or set_hash in self.seen:
             return
+        self.seen.add(set_hash)
         self.nodes.append(node)
         self.signatures.append(signatures)
         self.size += len(signatures)
 
-    def take(self) -> tuple[dict, np.ndarray, np.ndarray]:
-        """A pack, and links within it: row, first row of the same signature."""
+    def take(self) -> dict:
+        """A pack."""
         owner = np.repeat(np.arange(len(self.nodes), dtype=np.int32), np.fromiter(map(len, self.signatures), dtype=np.int64, count=len(self.nodes)))
         found = np.concatenate([np.zeros(0, dtype=np.uint64), *self.signatures])
         order = np.argsort(found, kind="stable")  # owners rise within a signature
-        found, owner = found[order], owner[order]
-        first = np.concatenate([np.ones(min(1, len(found)), dtype=bool), found[1:] != found[:-1]])
-        least = owner[np.maximum.accumulate(np.where(first, np.arange(len(found)), 0))]
-        pairs = np.unique(owner.astype(np.int64)[owner != least] * len(self.nodes) + least[owner != least])
-        nodes = np.array(self.nodes, dtype=np.int64)
-        links = nodes[pairs // max(1, len(nodes))], nodes[pairs % max(1, len(nodes))]
-        pack = _packed(found[first], owner[first])
-        pack["nodes"] = nodes.tobytes()
+        pack = _packed(found[order], owner[order])
+        pack["nodes"] = np.array(self.nodes, dtype=np.int64).tobytes()
         self.__init__()
-        return pack, *links
+        return pack
 
 
 def _planes(a: np.ndarray) -> bytes:
@@ -223,12 +262,12 @@ def _packed(signatures: np.ndarray, owners: np.ndarray) -> dict:
 
 
 _SETS = "kind int, node long, doc_id long, n long, h1 long, h2 long, digest long, sketch binary, count long, signatures binary, owners binary, nodes binary"
-_ROW, _PACK, _LINK = 0, 1, 2
+_ROW, _PACK = 0, 1
 
 
 def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Rows of three kinds: a document with its set size, 128-bit set hash and
-    sketch; a pack of signatures; a link of two nodes within a pack. No shuffle."""
+    """Rows of two kinds: a document with its set size, 128-bit set hash and
+    sketch; a pack of signatures. No shuffle."""
     names = [c.split()[0] for c in _SETS.split(", ")]
 
     def rows(kind: int, columns: dict) -> pa.RecordBatch:
@@ -239,11 +278,9 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, types)], names=names)
 
     def flush(packs: _Packs) -> Iterator[pa.RecordBatch]:
-        pack, a, b = packs.take()
+        pack = packs.take()
         if pack["count"]:
             yield rows(_PACK, {k: [v] for k, v in pack.items()})
-        if len(a):
-            yield rows(_LINK, {"node": a, "doc_id": b})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, bands, packs = _WordHashes(), Bands(percent), _Packs()
@@ -260,7 +297,7 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     for c, v in zip(found, (node, len(items), *(int(h.view(np.int64)) for h in set_hash), sketch(items))):
                         found[c].append(v)
                     if len(items) and doc_id is not None:
-                        packs.add(node, bands.signatures(items) >> np.uint64(64 - SIGNATURE_BITS))
+                        packs.add(node, (len(items), *set_hash), bands.signatures(items) >> np.uint64(64 - SIGNATURE_BITS))
                     node += 1
                 yield rows(_ROW, found | {"doc_id": part.column(0), "digest": part.column(2)})
                 if packs.size >= PACK:
@@ -438,8 +475,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
 
 # ------------------------------------------------- clusters by sketches
 class SketchTile:
-    """Sets of a cluster with their sketches, as bits of -1 and 1 at the least
-    width, and packed at each wider one for the sets that have it."""
+    """Sets with their sketches, packed at each width for the sets that have it."""
 
     def __init__(self, ids: np.ndarray, n: np.ndarray, sketches: bytes):
         self.ids, self.n = ids, n
@@ -458,8 +494,12 @@ class SketchTile:
             place[rows] = np.arange(len(rows))
             self.wide[w] = place, folded.view(np.uint64)
             w //= 2
-        place, _ = self.wide.pop(SKETCH_BITS // 8)
-        self.bits = np.unpackbits(folded[place], axis=1).astype(np.float32) * 2 - 1
+
+    @cached_property
+    def bits(self) -> np.ndarray:
+        """Bits of -1 and 1 at the least width."""
+        place, folded = self.wide[SKETCH_BITS // 8]
+        return np.unpackbits(folded.view(np.uint8)[place], axis=1).astype(np.float32) * 2 - 1
 
 
 def _sketch_links(a: SketchTile, b: SketchTile, percent: int) -> pd.DataFrame:
@@ -482,7 +522,7 @@ def _sketch_links(a: SketchTile, b: SketchTile, percent: int) -> pd.DataFrame:
         i += at
         if same:
             i, j = i[i < j], j[i < j]
-        for w in sorted(a.wide.keys() & b.wide.keys()):
+        for w in sorted(a.wide.keys() & b.wide.keys())[1:]:
             left = _near_at(w, a, b, i, j, percent)
             i, j = i[left], j[left]
         join_forest(parent, i, j + shift)
@@ -491,6 +531,34 @@ def _sketch_links(a: SketchTile, b: SketchTile, percent: int) -> pd.DataFrame:
     return pd.DataFrame({"id": ids[some], "root": ids[parent[some]]})
 
 
+def _star_links(rows: pa.RecordBatch, percent: int) -> pd.DataFrame:
+    """Forest edges of what may link in each star; ``cluster, id, n, sketch`` by star."""
+    cluster, ids, n = (rows.column(i).to_numpy() for i in range(3))
+    sketches = rows.column(3)
+    starts = np.flatnonzero(np.concatenate([[True], cluster[1:] != cluster[:-1]]))
+    sizes = np.diff(np.append(starts, len(cluster)))
+    out = []
+    for s, e in zip(starts[sizes > SMALL_STAR].tolist(), (starts + sizes)[sizes > SMALL_STAR].tolist()):
+        t = SketchTile(ids[s:e], n[s:e], b"".join(sketches[s:e].to_pylist()))
+        out.append(_sketch_links(t, t, percent))
+    few = np.flatnonzero(np.repeat(sizes <= SMALL_STAR, sizes))
+    if len(few):
+        t = SketchTile(ids[few], n[few], b"".join(sketches.take(pa.array(few)).to_pylist()))
+        after = np.repeat(np.cumsum(sizes[sizes <= SMALL_STAR]), sizes[sizes <= SMALL_STAR]) - np.arange(len(few)) - 1  # places of a star after each of its places
+        i = np.repeat(np.arange(len(few)), after)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(after) - after, after)
+        left = 100 * np.minimum(t.n[i], t.n[j]) >= percent * np.maximum(t.n[i], t.n[j])
+        i, j = i[left], j[left]
+        for w in sorted(t.wide):
+            left = _near_at(w, t, t, i, j, percent)
+            i, j = i[left], j[left]
+        parent = np.arange(len(few))
+        join_forest(parent, i, j)
+        some = np.flatnonzero(parent != np.arange(len(parent)))
+        out.append(pd.DataFrame({"id": t.ids[some], "root": t.ids[parent[some]]}))
+    return pd.concat(out)
+
+
 def _near_at(width: int, a: SketchTile, b: SketchTile, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
     """Which pairs sketches of ``width`` bytes do not rule out, or do not exist for."""
     (place_a, wide_a), (place_b, wide_b) = a.wide[width], b.wide[width]
@@ -506,19 +574,28 @@ def _near_at(width: int, a: SketchTile, b: SketchTile, i: np.ndarray, j: np.ndar
 def _possible(placed: DataFrame, percent: int) -> DataFrame:
     """``id, root``: a spanning forest of what may link, from ``cluster, tiles, id, n, sketch``."""
 
-    def tile(rows: pd.DataFrame) -> SketchTile:
-        return SketchTile(rows["id"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), b"".join(rows["sketch"]))
-
-    def inside(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        t = tile(rows)
-        return _sketch_links(t, t, percent)
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None  # a star may go on in the next batch
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if kept is None else [kept, batch]).combine_chunks()
+            kept = table.to_batches()[0] if table.num_rows else None
+            if kept is None:
+                continue
+            cluster = kept.column(0).to_numpy()
+            done = int(np.searchsorted(cluster, cluster[-1]))
+            if done:
+                yield pa.RecordBatch.from_pandas(_star_links(kept.slice(0, done), percent), preserve_index=False)
+                kept = kept.slice(done)
+        if kept is not None:
+            yield pa.RecordBatch.from_pandas(_star_links(kept, percent), preserve_index=False)
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         columns = {"ids": rows["id"].to_numpy(np.int64).tobytes(), "sizes": rows["n"].to_numpy(np.int64).tobytes(), "sketches": b"".join(rows["sketch"])}
         return pd.DataFrame({"cluster": [key[0]], "tile": [key[1]], **{k: [v] for k, v in columns.items()}})
 
     schema = "id long, root long"
-    small = placed.where("tiles = 1").groupBy("cluster").applyInPandas(inside, schema)
+    few = placed.where("tiles = 1").select("cluster", "id", "n", "sketch").repartition("cluster").sortWithinPartitions("cluster")
+    small = few.mapInArrow(stars, schema)
     # tiles of sets of about one size: most pairs of tiles have sizes too different
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent * 1.000001)))  # a little wider than partners can be
     large = placed.where("tiles > 1").withColumn("band", band)
@@ -552,7 +629,11 @@ def _possible(placed: DataFrame, percent: int) -> DataFrame:
 
 def _clusters(edges: DataFrame, a: str, b: str, tile: int, scratch: Scratch) -> DataFrame:
     """``id, cluster, tiles`` of all ids with an edge."""
-    joined = components(edges, a, b, scratch).withColumnRenamed("component_id", "cluster")
+    return _sized(components(edges, a, b, scratch).withColumnRenamed("component_id", "cluster"), tile)
+
+
+def _sized(joined: DataFrame, tile: int) -> DataFrame:
+    """``id, cluster, tiles`` from ``id, cluster`` of all but the ids that name a cluster."""
     members = joined.unionByName(joined.select(F.col("cluster").alias("id"), "cluster").distinct())
     sizes = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
     return members.join(sizes.select(own_exchange("cluster").alias("cluster"), "tiles"), "cluster")
@@ -577,10 +658,10 @@ def _joined(docs: DataFrame, words: int, percent: int) -> DataFrame:
     known = classes.select(F.col("n").alias("n_class"), own_exchange("h1").alias("h1"), "h2", "rep")
     of_class = (F.col("n") == F.col("n_class")) & (rows["h1"] == known["h1"]) & (rows["h2"] == known["h2"])
     stored = scratch.keep(rows.join(known, of_class, "left").select("node", "doc_id", "n", "rep"))
-    shared = _of_classes(_shared(signed.where(F.col("kind") == _PACK)), signed.where(F.col("kind") == _LINK), stored)
-    shared = scratch.keep(shared)
+    shared = scratch.keep(_of_classes(_shared(signed.where(F.col("kind") == _PACK)), stored))
     scratch.drop(signed)
-    weak = scratch.keep(_clusters(shared, "a", "b", SKETCH_TILE, scratch).join(classes.select(F.col("rep").alias("id"), "n", "sketch"), "id"))
+    stars = _sized(shared.select(F.col("a").alias("id"), F.col("b").alias("cluster")), SKETCH_TILE)
+    weak = scratch.keep(stars.join(classes.select(F.col("rep").alias("id"), "n", "sketch"), "id"))
     scratch.drop(shared)
     possible = scratch.keep(_possible(weak, percent))
     scratch.drop(weak)
@@ -605,9 +686,8 @@ def _joined(docs: DataFrame, words: int, percent: int) -> DataFrame:
     )
 
 
-def _of_classes(across: DataFrame, within: DataFrame, stored: DataFrame) -> DataFrame:
+def _of_classes(links: DataFrame, stored: DataFrame) -> DataFrame:
     """Links of nodes as links of their classes."""
-    links = across.unionByName(within.select(F.col("node").alias("a"), F.col("doc_id").alias("b")))
     copies = stored.where("rep <> node").select(own_exchange("node").alias("node"), "rep")
     for end in ("a", "b"):
         moved = copies.select(F.col("node").alias(f"{end}_node"), F.col("rep").alias(f"{end}_rep"))

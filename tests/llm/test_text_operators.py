@@ -215,6 +215,61 @@ def test_signatures_of_linked_sets_meet():
                     break
 
 
+@pytest.mark.parametrize("percent", [50, 80])
+def test_signatures_of_linked_sets_meet_across_bands(percent):
+    """Partners in one band and on both sides of a bound, as different as linked sets may be."""
+    import numpy as np
+
+    rng, bands = np.random.default_rng(3), ngram_jaccard.Bands(percent)
+    bands.families(3000)
+    for low in bands.lows[1:-1]:
+        for x, y in {(low - 1, 100 * (low - 1) // percent), (low - 1, low), (low, 100 * low // percent), (low, low), (low - 1, low - 1)}:
+            for _ in range(8):
+                both = -(-percent * (x + y) // (100 + percent))
+                if both <= x <= y and (both < x or x < y):
+                    items = rng.integers(0, 2**63, x + y - both).astype(np.uint64)
+                    a, b = np.unique(items[:x]), np.unique(items[x - both :])
+                    assert set(bands.signatures(a)) & set(bands.signatures(b)), (x, y)
+
+
+def test_sets_with_nothing_in_common_are_not_compared(spark, monkeypatch):
+    """Subsets without elements, which a share of all sets have, tie nothing
+    together: comparisons do not grow with the square of the table."""
+    rng, seen, keep = random.Random(4), [], ngram_jaccard.Scratch.keep
+    monkeypatch.setattr(ngram_jaccard.Scratch, "keep", lambda self, df: seen.append(keep(self, df)) or seen[-1])
+    monkeypatch.setattr(ngram_jaccard.Scratch, "drop", lambda self, kept: None)
+    texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(rng.randrange(60, 90))) for _ in range(600)]
+    texts += [texts[0] + " end", texts[0] + " more"]
+    links = ngram_jaccard.jaccard_components(frame(spark, texts), 5, 80).where("n_links > 0").collect()
+    assert len(links) == 3
+    stars = [df for df in seen if {"cluster", "sketch"} <= set(df.columns)]
+    assert len(stars) == 1
+    assert stars[0].groupBy("cluster").count().selectExpr("sum(count * count)").first()[0] < 600 * 600 / 50
+
+
+def test_stars_go_on_in_the_next_batch(spark):
+    """A star larger than a batch, small stars in one batch, and wide sketches."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    base = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (30, 60, 3000)]
+    rows, want = [], set()
+    for star in range(40):
+        sets = [x for i, x in enumerate(base) for _ in range(2 + star % 5 + 70 * (star == 3) * (i == 1))]
+        ids = [1000 * star + i for i in range(len(sets))]
+        rows += [(star, 1, i, len(x), ngram_jaccard.sketch(x)) for i, x in zip(ids, sets)]
+        want |= {(i, ids[[len(y) for y in sets].index(len(x))]) for i, x in zip(ids, sets)}
+    placed = spark.createDataFrame(rows, "cluster long, tiles long, id long, n long, sketch binary")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        got = {(r["id"], r["root"]) for r in ngram_jaccard._possible(placed, 80).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert got == {(i, r) for i, r in want if i != r}
+
+
 def test_batches_of_wide_rows_are_small(spark):
     """Pairs of tiles are rows of some MB: 64 MB of them at a time are too many."""
     import pyarrow as pa
