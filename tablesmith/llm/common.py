@@ -33,11 +33,11 @@ class Scratch:
         self.root = f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
         self.n = 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        """``df`` written and read again."""
+    def keep(self, df: DataFrame, wide: bool = False) -> DataFrame:
+        """``df`` written and read again; ``wide``: its rows hold megabytes each."""
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.parquet(path)
+        df.write.options(**WIDE_ROWS if wide else {}).parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         kept.scratch_path = path
         return kept
@@ -51,6 +51,8 @@ class Scratch:
 
 #: Bytes of an Arrow batch of rows that hold megabytes each.
 BATCH_BYTES = 4 << 20
+#: How a task writes such rows: it otherwise looks at its buffers every 100 rows only.
+WIDE_ROWS = {"parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1", "parquet.page.size.row.check.min": "1"}
 
 
 @contextmanager
@@ -58,9 +60,22 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
     """Jobs within hand rows to Python about ``BATCH_BYTES`` at a time. Rows of
     some MB otherwise fill batches of 64 MB, which a task's JVM and its Python
     worker hold several times, outside the heap."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    with _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)):
+        yield
+
+
+@contextmanager
+def wide_rows(spark: SparkSession) -> Iterator[None]:
+    """Jobs within read rows that hold megabytes each, one at a time. The Parquet
+    reader otherwise fills batches of 4,096 rows, as many as a file has of such."""
+    with small_batches(spark), _setting(spark, "spark.sql.parquet.columnarReaderBatchSize", "1"):
+        yield
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     before = spark.conf.get(key)
-    spark.conf.set(key, str(BATCH_BYTES))
+    spark.conf.set(key, value)
     try:
         yield
     finally:

@@ -25,7 +25,7 @@ searched first, and rise while a task goes through its blocks.
 The score of a document is in 64-bit integers: see ``impacts`` and ``weight``.
 To the driver come two numbers of the corpus, the terms of a batch of queries
 and at most ``k`` scores for each of its queries, none of which grows with the
-documents; a task holds one block.
+documents; a task holds one block, which it also writes and reads alone.
 
 Defined results: null and empty texts have no terms, match nothing and do not
 count as documents; a query without known terms returns no rows; a document
@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablesmith.llm.common import Scratch
+from tablesmith.llm.common import Scratch, wide_rows
 
 TOP = 50
 BLOCK_ROWS = 2048
@@ -103,7 +103,7 @@ def build_index(docs: DataFrame, scratch: Scratch) -> DataFrame:
         if texts:
             yield _block_row(block, ids, texts)
 
-    return scratch.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _INDEX))
+    return scratch.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _INDEX), wide=True)
 
 
 # ----------------------------------------------------------------- scores
@@ -265,7 +265,7 @@ def _batch_lists(index: DataFrame, batch: Batch, n_docs: int, n_terms: int, scra
                 columns = [pa.array([row["block"].as_py()], pa.int64()), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in arrays)]
                 yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _LISTS.split(", ")])
 
-    return scratch.keep(index.select("block", "ids", "lengths", "terms", "counts", "places", "tfs").mapInArrow(run, _LISTS))
+    return scratch.keep(index.select("block", "ids", "lengths", "terms", "counts", "places", "tfs").mapInArrow(run, _LISTS), wide=True)
 
 
 # ------------------------------------------------------------------ search
@@ -367,9 +367,10 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     n_docs, n_terms = index.agg(F.sum("n_filled"), F.sum("n_terms")).first()
     out = spark.createDataFrame([], "item long, doc_id long, score long")
     for batch in _batches(items.select("item", "terms")) if n_docs else ():
-        batch.weigh(_document_frequencies(index, batch), n_docs)
-        lists = _batch_lists(index, batch, n_docs, n_terms, scratch)
-        found = scratch.keep(_search(lists, batch, _first_thresholds(lists, batch, k), k).drop("scored"))
+        with wide_rows(spark):
+            batch.weigh(_document_frequencies(index, batch), n_docs)
+            lists = _batch_lists(index, batch, n_docs, n_terms, scratch)
+            found = scratch.keep(_search(lists, batch, _first_thresholds(lists, batch, k), k).drop("scored"))
         scratch.drop(lists)
         out = out.unionByName(found)
     scratch.drop(index)

@@ -5,6 +5,7 @@ import re
 import uuid
 import zlib
 from itertools import permutations
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablesmith.llm import filter_audit, lexical_search, queries, token_files
-from tablesmith.llm.common import Scratch
+from tablesmith.llm.common import Scratch, wide_rows
 
 SF = "/root/testdata/sf0.001"
 CLASHING = "doc_id long, text string, source string, part string, cell int, digest long, item long, block long, ids string, shard string, before string"
@@ -298,3 +299,20 @@ def test_query_of_the_whole_table(spark, library):
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
         assert tuple(r) == (d, at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
         at += len(ids)
+
+
+def test_rows_of_megabytes_are_written_and_read_a_few_at_a_time(spark, monkeypatch):
+    """A file of many blocks of the search index is not held whole by a task."""
+    rows = spark.range(0, 60, 1, 1).selectExpr("id", "transform(sequence(1, 100000), x -> xxhash64(id, x)) AS wide")
+    kept = Scratch(spark).keep(rows, wide=True)
+    files = [pq.ParquetFile(f).metadata for f in Path(kept.scratch_path.removeprefix("file:")).glob("*.parquet")]
+    assert max(m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)) < 20 << 20
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before, seen, search = spark.conf.get(key), [], lexical_search._search
+    monkeypatch.setattr(lexical_search, "_search", lambda *a: seen.append(spark.conf.get(key)) or search(*a))
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a d"), (3, None)], "doc_id long, text string")
+    queries = spark.createDataFrame([(7, "A c")], "item_id long, text string")
+    assert [(r["item_id"], r["rank"], r["doc_id"]) for r in lexical_search.search(docs, queries).orderBy("rank").collect()] == [(7, 1, 1), (7, 2, 2)]
+    assert seen and set(seen) == {"1"} and spark.conf.get(key) == before
+    with wide_rows(spark):
+        assert kept.selectExpr("sum(size(wide))").first()[0] == 6_000_000
