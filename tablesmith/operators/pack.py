@@ -1,0 +1,49 @@
+"""Wide rows of text as one text, for a shuffle.
+
+A shuffled row holds eight bytes for each column and each text padded to eight
+bytes more; for tens of short columns that is most of the row, also compressed.
+:func:`packed` joins the text columns by a separator, with a mark for NULL;
+:func:`unpacked` takes them apart again: the same values, byte by byte, in the
+same columns. Rows whose texts hold the separator, the mark or bytes that are no
+UTF-8 keep their texts as they are, in a second column, which is NULL otherwise.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+PACKED, PLAIN = "__packed", "__plain"
+_SEP, _NULL = "\x1f", "\x1b"
+
+
+def text_columns(df: DataFrame, *apart: str) -> list[str]:
+    """What :func:`packed` can join: the text columns but those ``apart``."""
+    return [f.name for f in df.schema.fields if f.dataType == T.StringType() and f.name not in apart]
+
+
+def packed(df: DataFrame, texts: Sequence[str]) -> DataFrame:
+    """``df`` with the text columns ``texts`` in two columns, the last."""
+    if not texts:
+        return df
+    whole = F.concat_ws(_SEP, *[F.coalesce(F.col(c), F.lit(_NULL)) for c in texts])
+    joined = F.concat_ws("", *texts)
+    odd = F.contains(joined, F.lit(_SEP)) | F.contains(joined, F.lit(_NULL)) | ~F.is_valid_utf8(whole)
+    rest = [c for c in df.columns if c not in texts]
+    return df.select(*rest, F.when(odd, None).otherwise(whole).alias(PACKED), F.when(odd, F.struct(*texts)).alias(PLAIN))
+
+
+def unpacked(df: DataFrame, columns: Sequence[str], texts: Sequence[str]) -> DataFrame:
+    """``columns`` of the rows of :func:`packed`; a row whose packed columns are
+    NULL, as an outer join makes it, has NULL texts."""
+    place = {c: i for i, c in enumerate(texts)}
+
+    def restored(c: str) -> Column:
+        part = F.get(F.split(PACKED, _SEP), F.lit(place[c]))
+        # the part comes first, where it is always evaluated: the split is then made once
+        return F.coalesce(F.nullif(part, F.lit(_NULL)), F.col(PLAIN).getField(c)).alias(c)
+
+    return df.select(*[restored(c) if c in place else F.col(c) for c in columns])

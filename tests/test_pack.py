@@ -1,0 +1,47 @@
+"""Packed text columns come back as they were, and wide shuffles move them packed."""
+
+import itertools
+
+from tablesmith.operators import pack as P
+from tablesmith.operators.ids import assign_id
+from tablesmith.operators.upsert import upsert_by_key
+from tablesmith.plans import firm_transport_rate as FTR
+
+ODD = [None, "", "a", "\x1f", "\x1b", "\x1b0", "\x1b1", "\x1b2", "\x1b\x1f", "x\x1fy\x1b1", "é\u0000 2", "\x1b\x1b2\x1f\x1f"]
+
+
+def test_any_text_comes_back(spark):
+    rows = [(i, a, i * 0.5, b, None if i % 3 else "k") for i, (a, b) in enumerate(itertools.product(ODD, ODD))]
+    df = spark.createDataFrame(rows, "id long, a string, x double, b string, c string").repartition(3)
+    texts = P.text_columns(df, "c")
+    assert texts == ["a", "b"]
+    moved = P.packed(df, texts)
+    assert moved.columns == ["id", "x", "c", P.PACKED, P.PLAIN]
+    got = P.unpacked(moved.repartition(2), df.columns, texts)
+    assert got.dtypes == df.dtypes
+    assert sorted(map(tuple, got.collect())) == rows
+    assert P.packed(df, []) is df and P.unpacked(df, df.columns, []).columns == df.columns
+
+
+def test_bytes_that_are_no_utf8_come_back(spark):
+    df = spark.sql("SELECT cast(x'61ff62c3' AS string) AS a, cast(x'a9' AS string) AS b")
+    got = P.unpacked(P.packed(df, ["a", "b"]).repartition(1), df.columns, ["a", "b"]).selectExpr("hex(cast(a AS binary)) AS a", "hex(cast(b AS binary)) AS b")
+    assert [tuple(r) for r in got.collect()] == [("61FF62C3", "A9")]
+
+
+def test_rows_of_a_firm_meet_packed(spark):
+    """The wide rows of all raw tables are packed before their shuffle."""
+    from tablesmith.sources.adapter import raw_tables
+
+    plan = FTR.build(raw_tables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    below = [plan.splitlines()[i + 1] for i, line in enumerate(plan.splitlines()) if "RepartitionByExpression" in line]
+    assert len(below) == 3 and all(P.PACKED in line for line in below)
+
+
+def test_an_upsert_moves_packed_rows_and_keeps_their_values(spark):
+    target = assign_id(spark.createDataFrame([("a", t, "x", 1) for t in ("1", "2", "3")], "k string, u string, v string, n int"), ["k", "u"], "id")
+    incoming = spark.createDataFrame([(None, 7, "a", "2"), ("\x1f", None, "b", "1"), ("", 9, "a", "3")], "v string, n int, k string, u string")
+    out = upsert_by_key(target, incoming, ["k", "u"], "id")
+    assert out.columns == target.columns
+    assert sorted(map(tuple, out.collect())) == [(1, "a", "1", "x", 1), (2, "a", "2", None, 7), (3, "a", "3", "", 9), (4, "b", "1", "\x1f", None)]
+    assert P.PACKED in out._jdf.queryExecution().optimizedPlan().toString()
